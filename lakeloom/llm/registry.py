@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from . import url_filter
+from .sharding import op10_fixed_slot_sharding
 from .simhash import op8_simhash_near_dedup
+from .url_filter import op1_url_filters
 
-QUERIES = {f.__name__: f for f in (op8_simhash_near_dedup,)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_url_filters, op8_simhash_near_dedup, op10_fixed_slot_sharding)}
+ORACLES: dict[str, str] = {"op1_url_filters": url_filter.ORACLE_SQL}
