@@ -5,12 +5,14 @@ from __future__ import annotations
 from . import url_filter
 from .byte_bpe import op9_byte_bpe
 from .packing import op3_cost_balanced_packing
+from .quality import op2_robust_quality_rules
 from .sharding import op10_fixed_slot_sharding
 from .simhash import op8_simhash_near_dedup
 from .url_filter import op1_url_filters
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filters,
+    op2_robust_quality_rules,
     op3_cost_balanced_packing,
     op8_simhash_near_dedup,
     op9_byte_bpe,
