@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import url_filter
+from . import embedding_dedup, url_filter
 from .byte_bpe import op9_byte_bpe
+from .embedding_dedup import op6_embedding_near_dedup
 from .packing import op3_cost_balanced_packing
 from .quality import op2_robust_quality_rules
 from .sharding import op10_fixed_slot_sharding
@@ -14,8 +15,12 @@ QUERIES = {f.__name__: f for f in (
     op1_url_filters,
     op2_robust_quality_rules,
     op3_cost_balanced_packing,
+    op6_embedding_near_dedup,
     op8_simhash_near_dedup,
     op9_byte_bpe,
     op10_fixed_slot_sharding,
 )}
-ORACLES: dict[str, str] = {"op1_url_filters": url_filter.ORACLE_SQL}
+ORACLES: dict[str, str] = {
+    "op1_url_filters": url_filter.ORACLE_SQL,
+    "op6_embedding_near_dedup": embedding_dedup.ORACLE_SQL,
+}
