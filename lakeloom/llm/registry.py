@@ -6,7 +6,9 @@ from . import embedding_dedup, url_filter
 from .byte_bpe import op9_byte_bpe
 from .embedding_dedup import op6_embedding_near_dedup
 from .packing import op3_cost_balanced_packing
+from .pii import op4_weakly_supervised_pii
 from .quality import op2_robust_quality_rules
+from .secret_scan import op7_inferred_secret_formats
 from .sharding import op10_fixed_slot_sharding
 from .simhash import op8_simhash_near_dedup
 from .url_filter import op1_url_filters
@@ -15,7 +17,9 @@ QUERIES = {f.__name__: f for f in (
     op1_url_filters,
     op2_robust_quality_rules,
     op3_cost_balanced_packing,
+    op4_weakly_supervised_pii,
     op6_embedding_near_dedup,
+    op7_inferred_secret_formats,
     op8_simhash_near_dedup,
     op9_byte_bpe,
     op10_fixed_slot_sharding,
