@@ -53,6 +53,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 BLOCK_TOKENS = 4 << 20
 #: Distinct pieces, and distinct words, that a task remembers between blocks.
 REMEMBERED = 400_000
+#: Bytes of text that are encoded at once.
+BLOCK_BYTES = 16 << 20
 
 
 class WordBpe:
@@ -183,7 +185,7 @@ def pack_documents(
             return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in cols], names)
 
         for batch in batches:
-            for b in blocks(batch):
+            for b in blocks(batch, BLOCK_BYTES):
                 ids, lens = bpe.encode_block(b.column(1))
                 ends = np.cumsum(lens)
                 ids = np.insert(ids, ends, END_ID)
