@@ -5,6 +5,7 @@ from __future__ import annotations
 from . import embedding_dedup, url_filter
 from .byte_bpe import op9_byte_bpe
 from .embedding_dedup import op6_embedding_near_dedup
+from .html_extract import op5_tag_path_ratios
 from .packing import op3_cost_balanced_packing
 from .pii import op4_weakly_supervised_pii
 from .quality import op2_robust_quality_rules
@@ -18,6 +19,7 @@ QUERIES = {f.__name__: f for f in (
     op2_robust_quality_rules,
     op3_cost_balanced_packing,
     op4_weakly_supervised_pii,
+    op5_tag_path_ratios,
     op6_embedding_near_dedup,
     op7_inferred_secret_formats,
     op8_simhash_near_dedup,
