@@ -33,9 +33,9 @@ from .merge_replay import Lexicon, Merges, join_lens
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Distinct pieces, and distinct matches, that a task remembers between blocks.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: Bytes of text after which a block ends.
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 
 
 class ByteBpe:
