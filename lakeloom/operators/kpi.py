@@ -128,6 +128,12 @@ def pair_history(ratings: DataFrame, user: int, movie: int) -> DataFrame:
     return mine.orderBy("interaction_timestamp")
 
 
+def pair_histories(ratings: DataFrame, pairs: DataFrame) -> DataFrame:
+    """All versions of each of a few pairs, in order."""
+    mine = ratings.join(pairs.select("user_id", "movie_id"), ["user_id", "movie_id"])
+    return mine.orderBy("user_id", "movie_id", "interaction_timestamp")
+
+
 def layer_latency(df: DataFrame, ingested: str, processed: str, batch: str) -> DataFrame:
     minutes = (F.unix_timestamp(processed) - F.unix_timestamp(ingested)) / 60
     return df.groupBy(batch).agg(F.avg(minutes).alias("avg_minutes"))

@@ -662,20 +662,19 @@ def kpi_rerated_pairs(r):
     return kpi.rerated_pairs(checks.passing(r.versions))
 
 
-@query(f"SELECT user_id, movie_id, rating, {_AT} AS interaction_timestamp, is_current FROM v WHERE user_id = 13 AND movie_id = 44")
+@query(f"""SELECT user_id, movie_id, rating, {_AT} AS interaction_timestamp, is_current FROM v JOIN (SELECT user_id, movie_id FROM v
+    WHERE user_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1 ORDER BY count(*) DESC, user_id, movie_id LIMIT 5) USING (user_id, movie_id)""")
 def kpi_pair_history(r):
-    return kpi.pair_history(r.versions, 13, 44).select("user_id", "movie_id", "rating", TS, "is_current")
+    most = kpi.rerated_pairs(r.versions.filter("user_id is not null"), 5)
+    return kpi.pair_histories(r.versions, most).select("user_id", "movie_id", "rating", TS, "is_current")
 
 
-@query("SELECT batch AS _batch_year, sum(epoch(moment) - epoch(ingested)) / 60 / count(*) AS avg_minutes FROM r WHERE status = 'PASS' GROUP BY batch")
+@query("SELECT batch AS _batch_year, round(avg((epoch(moment) - epoch(ingested)) / 60), 6) AS avg_minutes FROM r WHERE status = 'PASS' GROUP BY batch")
 def kpi_layer_latency(r):
     latency = kpi.layer_latency(checks.passing(r.ratings), "_ingestion_timestamp", TS, "_batch_year")
     return latency.withColumn("avg_minutes", F.round("avg_minutes", 6))
 
 
-ORACLES["kpi_layer_latency"] = ORACLES["kpi_layer_latency"].replace("sum(epoch(moment) - epoch(ingested)) / 60 / count(*)", "round(avg((epoch(moment) - epoch(ingested)) / 60), 6)")
-
-
 @query("""SELECT count(*) AS rows, count(DISTINCT movie_sk) AS unique_movies, count(DISTINCT user_id) AS unique_users, min(rating_year) AS first_year,
     max(rating_year) AS last_year, (SELECT avg_rating FROM k_all) AS avg_rating FROM f""")
 def coverage_fact(r):

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -27,3 +29,22 @@ def shared_dir(spark: SparkSession) -> str:
         found = tempfile.mkdtemp(prefix="spark-lakeloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let the session's Python workers import this package, once per application.
+
+    A cluster that has it installed needs no such call.
+    """
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(__file__).parent
+        name = Path(tempfile.mkdtemp(prefix="spark-lakeloom-")) / "lakeloom.zip"
+        with zipfile.ZipFile(name, "w") as z:
+            for f in root.rglob("*.py"):
+                z.write(f, f.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(name))  # Spark serves it to the executors
+        _shipped.add(app)
