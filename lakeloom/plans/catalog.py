@@ -1,8 +1,8 @@
 """One query per operator, each with the SQL it must equal where SQL can say it.
 
 Times are shown as text and arrays joined by a bar, so that both engines
-render them alike. Entries without SQL write and read tables in the shared
-folder, or carry clocks and file names.
+render them alike. Writers and streams work in the shared folder and return
+what they read back; clocks are left out.
 """
 
 from __future__ import annotations
@@ -50,6 +50,10 @@ def _work(r: Roles, name: str) -> str:
 
 
 _AT = "strftime(moment, '%Y-%m-%d %H:%M:%S')"
+_TABLE = "SELECT user_id, movie_id, rating, rating_year, batch AS _batch_year FROM r"
+_HISTORY = f"""SELECT user_id, movie_id, rating, {_AT} AS interaction_timestamp, is_current, strftime(start_at, '%Y-%m-%d %H:%M:%S') AS effective_start_date,
+    strftime(end_at, '%Y-%m-%d %H:%M:%S') AS effective_end_date"""
+_VERSION = ["user_id", "movie_id", "rating", TS, "is_current", "effective_start_date", "effective_end_date"]
 
 # Scans and incremental state.
 
@@ -86,6 +90,10 @@ def table_profile(r):
     return src.table_profile(r.table("customer").select("c_custkey", "c_mktsegment"))
 
 
+def _file():
+    return F.regexp_extract("_input_file_name", "[^/]*$", 0).alias("file")
+
+
 def _csv_folder(r: Roles) -> str:
     """The raw ratings as one CSV file per batch year, named by year."""
     folder = _work(r, "csv")
@@ -103,104 +111,113 @@ def _csv_folder(r: Roles) -> str:
     return folder
 
 
-@query()
+@query('SELECT TRY_CAST(userId AS INTEGER) AS "userId", TRY_CAST(movieId AS INTEGER) AS "movieId", TRY_CAST(rating AS DOUBLE) AS rating, ts AS "timestamp" FROM r_raw')
 def scan_csv_typed(r):
     return src.scan_csv_typed(r.spark, f"{_csv_folder(r)}/ratings_*.csv", "ratings")
 
 
-@query()
+@query("SELECT DISTINCT batch FROM r")
 def discover_batches(r):
     return src.discover_batches(r.spark, _csv_folder(r), "ratings")
 
 
-@query()
+@query("SELECT p_partkey, 'part.parquet' AS file, 'run-1' AS _job_run_id, 'jobs/load' AS _notebook_path, 'files' AS _source_system FROM part")
 def lineage_static(r):
-    return conform.lineage_static(r.spark.read.parquet(f"{r.folder}/part.parquet"), "run-1", "jobs/load", "files")
+    rows = conform.lineage_static(r.spark.read.parquet(f"{r.folder}/part.parquet"), "run-1", "jobs/load", "files")
+    return rows.select("p_partkey", _file(), "_job_run_id", "_notebook_path", "_source_system")
 
 
-@query()
+@query(f"""SELECT TRY_CAST(userId AS INTEGER) AS "userId", TRY_CAST(movieId AS INTEGER) AS "movieId", 'ratings_' || batch || '.csv' AS file, batch AS _batch_year,
+    'ratings_' || batch AS _batch_id, 'run-1' AS _job_run_id, 'jobs/load' AS _notebook_path, 'files' AS _source_system FROM r_raw""")
 def lineage_incremental(r):
     scan = src.scan_csv_typed(r.spark, f"{_csv_folder(r)}/ratings_*.csv", "ratings")
-    return conform.lineage_incremental(scan, "ratings", "run-1", "jobs/load", "files")
+    rows = conform.lineage_incremental(scan, "ratings", "run-1", "jobs/load", "files")
+    return rows.select("userId", "movieId", _file(), "_batch_year", "_batch_id", "_job_run_id", "_notebook_path", "_source_system")
 
 
-@query()
+@query("""SELECT movie_id, title, '2020-01-01 00:00:00' AS _bronze_ingestion_timestamp, 'run-1' AS _job_run_id, 'jobs/movies' AS _notebook_path,
+    'files' AS _source_system FROM m""")
 def lineage_silver_static(r):
-    return conform.lineage_silver_static(r.movies, "run-1", "jobs/movies", "files")
+    return conform.lineage_silver_static(r.movies, "run-1", "jobs/movies", "files").select(
+        "movie_id", "title", "_bronze_ingestion_timestamp", "_job_run_id", "_notebook_path", "_source_system"
+    )
 
 
-@query()
+@query("""SELECT user_id, movie_id, strftime(ingested, '%Y-%m-%d %H:%M:%S') AS _bronze_ingestion_timestamp, batch AS _batch_year, 'run-1' AS _job_run_id,
+    'jobs/ratings' AS _notebook_path, 'files' AS _source_system FROM r""")
 def lineage_silver_incremental(r):
-    return conform.lineage_silver_incremental(r.ratings, "run-1", "jobs/ratings", "files", F.col("_batch_year"))
+    rows = conform.lineage_silver_incremental(r.ratings, "run-1", "jobs/ratings", "files", F.col("_batch_year"))
+    return rows.select("user_id", "movie_id", "_bronze_ingestion_timestamp", "_batch_year", "_job_run_id", "_notebook_path", "_source_system")
 
 
-@query()
+@query("""SELECT *, 'silver.movies' AS _source_table, 'run-1' AS _job_run_id, 'jobs/dim' AS _notebook_path, '1.0' AS _model_version, 0 AS _source_silver_version
+    FROM dim_m""")
 def lineage_gold(r):
-    return conform.lineage_gold(r.dim_movies, "silver.movies", "run-1", "jobs/dim", "1.0", 0)
+    return conform.lineage_gold(r.dim_movies, "silver.movies", "run-1", "jobs/dim", "1.0", 0).drop("_aggregation_timestamp")
 
 
 def _ratings_table(r: Roles) -> DataFrame:
     return r.ratings.select("user_id", "movie_id", "rating", "rating_year", "_batch_year")
 
 
-@query()
+@query(_TABLE)
 def write_overwrite(r):
     path = _work(r, "overwrite")
     src.write_overwrite(_ratings_table(r), path, ["_batch_year"])
     src.write_overwrite(_ratings_table(r), path, ["_batch_year"])
-    return r.spark.read.parquet(path)
+    return r.spark.read.parquet(path).select(_ratings_table(r).columns)
 
 
-@query()
+@query(f"{_TABLE} WHERE batch <> 1999 OR rating > 2")
 def write_replace_partition(r):
     path, rows = _work(r, "replace"), _ratings_table(r)
     src.write_overwrite(rows, path, ["_batch_year"])
     src.write_replace_partition(rows.filter("_batch_year = 1999 and rating > 2"), path, "_batch_year", 1999)
-    return r.spark.read.parquet(path)
+    return r.spark.read.parquet(path).select(_ratings_table(r).columns)
 
 
-@query()
+@query(f"{_TABLE} WHERE rating_year IS NULL OR rating_year NOT IN (1998, 1999) OR rating > 2")
 def write_replace_touched_partitions(r):
     path, rows = _work(r, "touched"), _ratings_table(r)
     src.write_overwrite(rows, path, ["rating_year"])
     src.write_replace_touched_partitions(rows.filter("rating_year in (1998, 1999) and rating > 2"), path, "rating_year")
-    return r.spark.read.parquet(path)
+    return r.spark.read.parquet(path).select(_ratings_table(r).columns)
 
 
-@query()
+@query(f"{_TABLE} UNION ALL {_TABLE}")
 def write_append(r):
     path = _work(r, "append")
     for _ in range(2):
         src.write_append(_ratings_table(r), path)
-    return r.spark.read.parquet(path)
+    return r.spark.read.parquet(path).select(_ratings_table(r).columns)
 
 
-@query()
+@query("SELECT * FROM k_dist")
 def write_parquet_kpi(r):
     folder = _work(r, "kpi")
     src.write_parquet_kpi(kpi.rating_distribution(r.fact), folder, "rating_distribution")
     return r.spark.read.parquet(f"{folder}/rating_distribution.parquet")
 
 
-@query()
+@query("SELECT count(*) AS rows, CAST(count(*) AS INTEGER) AS committed FROM r")
 def committed_row_count(r):
     rows = _ratings_table(r)
     n = src.write_overwrite(rows, _work(r, "counted"))
     return rows.agg(F.count("*").alias("rows")).withColumn("committed", F.lit(n))
 
 
-@query()
+@query("SELECT user_id, movie_id, CAST(NULL AS DOUBLE) AS rating, rating_year, batch AS _batch_year, 1 AS extra FROM r")
 def schema_guard(r):
     rows = _ratings_table(r)
     return src.schema_guard(rows.drop("rating").withColumn("extra", F.lit(1)), rows.schema, "null")
 
 
-@query()
+@query(_TABLE)
 def register_table(r):
     path, name = _work(r, "registered"), f"lakeloom_{uuid.uuid4().hex}"
     src.write_overwrite(_ratings_table(r), path, ["_batch_year"])
     src.register_table(r.spark, name, path, {"layer": "silver"})
-    return r.spark.table(name)
+    return r.spark.table(name).select(_ratings_table(r).columns)
 
 
 def _two_snapshots(r: Roles) -> str:
@@ -210,34 +227,35 @@ def _two_snapshots(r: Roles) -> str:
     return root
 
 
-@query()
+@query("SELECT * REPLACE (strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate) FROM orders WHERE o_orderkey % 10 <> 0")
 def snapshot_read_as_of(r):
     return src.snapshot_read_as_of(r.spark, _two_snapshots(r), 0)
 
 
-@query()
+@query("SELECT CAST(count(*) + count(*) FILTER (o_orderkey % 10 <> 0) AS BIGINT) AS rows, 1 AS version FROM orders")
 def current_version(r):
     root = _two_snapshots(r)
     found = r.spark.read.parquet(f"{root}/versions").agg(F.sum("rows").alias("rows"))
     return found.withColumn("version", F.lit(src.current_version(r.spark, root)))
 
 
-@query()
+@query(_TABLE)
 def rewrite_clustered(r):
     path = _work(r, "clustered")
     src.rewrite_clustered(_ratings_table(r), path, ["movie_id", "user_id"], 4)
-    return r.spark.read.parquet(path)
+    return r.spark.read.parquet(path).select(_ratings_table(r).columns)
 
 
-@query()
+@query(f"{_HISTORY}, 0 AS version FROM v")
 def stream_ingest_incremental_files(r):
     folder, root, mark = _csv_folder(r), _work(r, "stream"), _work(r, "stream-checkpoint")
     version = stream_ingest_incremental(r.spark, folder, root, mark)
     again = stream_ingest_incremental(r.spark, folder, root, mark)  # nothing new
-    return src.snapshot_read_as_of(r.spark, root, again).withColumn("version", F.lit(version))
+    return src.snapshot_read_as_of(r.spark, root, again).select(*_VERSION, F.lit(version).alias("version"))
 
 
-QUERIES["stream_ingest_incremental"] = QUERIES.pop("stream_ingest_incremental_files")
+for _all in (QUERIES, ORACLES):
+    _all["stream_ingest_incremental"] = _all.pop("stream_ingest_incremental_files")
 
 # Conform transforms and flags.
 
@@ -485,11 +503,6 @@ def dedup_latest(r):
     return r.genome_scores.select("movie_id", "tag_id", "relevance")
 
 
-_HISTORY = f"""SELECT user_id, movie_id, rating, {_AT} AS interaction_timestamp, is_current, strftime(start_at, '%Y-%m-%d %H:%M:%S') AS effective_start_date,
-    strftime(end_at, '%Y-%m-%d %H:%M:%S') AS effective_end_date"""
-_VERSION = ["user_id", "movie_id", "rating", TS, "is_current", "effective_start_date", "effective_end_date"]
-
-
 @query(f"{_HISTORY} FROM v")
 def scd2_bootstrap(r):
     return r.versions.select(*_VERSION)
@@ -610,7 +623,9 @@ def audit_latest_version(r):
     return versioning.audit_latest_version(_audit(r), "gold.fact", "silver.ratings")
 
 
-@query()
+@query(f"""SELECT user_id, movie_id, {_AT} AS interaction_timestamp, f.rating, v.status AS _dq_status, 'ratings_' || r_raw.batch || '.csv' AS file
+    FROM f JOIN v USING (user_id, movie_id, moment) JOIN r_raw ON TRY_CAST(userId AS INTEGER) = f.user_id AND TRY_CAST(movieId AS INTEGER) = f.movie_id
+    AND make_timestamp(ts * 1000000) = moment""")
 def lineage_trace(r):
     scan = src.scan_csv_typed(r.spark, f"{_csv_folder(r)}/ratings_*.csv", "ratings")
     raw = conform.lineage_incremental(scan, "ratings", "run-1", "jobs/load", "files")
@@ -619,7 +634,8 @@ def lineage_trace(r):
     silver = src.snapshot_read_as_of(r.spark, root, version).select("user_id", "movie_id", TS, "_dq_status")
     bronze = raw.withColumn("_at", fn.from_epoch("timestamp"))
     gold = r.fact.join(r.dim_movies, "movie_sk").select("user_id", "movie_id", TS, "rating")
-    return versioning.lineage_trace(gold, silver, bronze, ["user_id", "movie_id", TS], ["userId", "movieId", "_at"])
+    traced = versioning.lineage_trace(gold, silver, bronze, ["user_id", "movie_id", TS], ["userId", "movieId", "_at"])
+    return traced.select("user_id", "movie_id", TS, "rating", "_dq_status", _file())
 
 
 # KPIs and coverage.

@@ -1,4 +1,4 @@
-"""Every registered query equals its SQL; those without SQL return rows."""
+"""Every registered query equals its SQL."""
 
 import os
 
@@ -7,12 +7,6 @@ import pytest
 from lakeloom.plans import catalog
 
 TABLES = "region nation customer supplier part orders lineitem events documents labels".split()
-#: Rows that the write-and-read-back queries must return at sf0.001.
-ROWS = {
-    "scan_csv_typed": 6000, "discover_batches": 7, "lineage_static": 200, "lineage_incremental": 6000, "write_append": 12000,
-    "write_overwrite": 6000, "committed_row_count": 1, "schema_guard": 6000, "register_table": 6000, "snapshot_read_as_of": 1350,
-    "current_version": 1, "rewrite_clustered": 6000, "stream_ingest_incremental": 5998, "lineage_trace": 4116,
-}
 
 
 @pytest.fixture(scope="module")
@@ -34,9 +28,7 @@ def test_query(spark, sf_dir, duck, name):
     df = catalog.QUERIES[name](spark, sf_dir)
     rows = df.collect()
     assert rows
-    if name not in catalog.ORACLES:
-        assert len(rows) == ROWS.get(name, len(rows))
-        return
+    assert name in catalog.ORACLES
     found = duck.execute(catalog.ORACLES[name])
     names = [d[0] for d in found.description]
     assert sorted(names) == sorted(df.columns)
