@@ -154,7 +154,11 @@ class Merges:
 def spans(starts: np.ndarray, lens: np.ndarray) -> np.ndarray:
     """Indexes of all elements of the spans, one span after another."""
     ends = np.cumsum(lens)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - lens), lens)
+    total = int(ends[-1]) if len(ends) else 0
+    small = np.int32 if total < 1 << 31 and starts.max(initial=0) < 1 << 31 else np.int64
+    out = np.repeat((starts - (ends - lens)).astype(small), lens)
+    out += np.arange(total, dtype=small)
+    return out
 
 
 class Lexicon(dict):

@@ -49,12 +49,12 @@ VOCABULARY = "word_bpe_49k.json"
 END_ID = 2
 SEQUENCE = 4096
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
-#: Tokens packed together; about 1,000 sequences.
-BLOCK_TOKENS = 4 << 20
+#: Tokens packed together; about 500 sequences.
+BLOCK_TOKENS = 2 << 20
 #: Distinct pieces, and distinct words, that a task remembers between blocks.
-REMEMBERED = 400_000
+REMEMBERED = 300_000
 #: Bytes of text that are encoded at once.
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 
 
 class WordBpe:
