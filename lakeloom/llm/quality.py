@@ -151,8 +151,12 @@ def _bin(d2: Column) -> Column:
 
 
 def _quantile(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """Per key, the first bin at which ``share`` of the rows is reached."""
-    seen = rows.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
+    """Per key, the first bin at which ``share`` of the rows is reached.
+
+    The counts are written out: they are then summed by key and bin, and what
+    a hot key sends to its window is one row per bin, not one per task and bin.
+    """
+    seen = materialize(rows.groupBy(*keys, "bin").agg(F.count("*").alias("n")), "bins")
     so_far = Window.partitionBy(*keys).orderBy("bin")
     whole = Window.partitionBy(*keys)
     reached = seen.withColumn("c", F.sum("n").over(so_far)).withColumn("all", F.sum("n").over(whole))
