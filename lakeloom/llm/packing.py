@@ -16,7 +16,7 @@ bits.
 
 The tokenizer lower-cases and drops white space, so a text's ids are those of
 its distinct pieces between white space; these are encoded once per block by
-merge replay, and those with non-ASCII characters are prepared by the
+merge replay, and those with characters beyond U+00FF are prepared by the
 tokenizer's own normalizer and splitter. Strings of special tokens in a text
 are ordinary text.
 
@@ -75,7 +75,9 @@ class WordBpe:
         self.byte = {c: x for x, c in spelled.items()}
         self.inner = np.array([vocab[spelled[x]] for x in range(256)], np.int32)
         self.last = np.array([vocab[spelled[x] + suffix] for x in range(256)], np.int32)
-        self.ascii = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t-\ra-z0-9]+").findall
+        # The tokenizer's own pattern over the characters up to U+00FF, all of which its normalizer only lower-cases.
+        letter, number, blank = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", " \t-\r\x85\xa0"
+        self.latin = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{blank}{letter}{number}]+").findall
         self._forget()
 
     def _forget(self) -> None:
@@ -89,8 +91,8 @@ class WordBpe:
         return self.merges.replay(ids, lens)
 
     def _words(self, piece: str) -> list[bytes]:
-        if piece.isascii():
-            return [w.encode() for w in self.ascii(piece.lower())]
+        if piece.isascii() or max(piece) <= "\xff":
+            return [w.encode() for w in self.latin(piece.lower())]
         return [bytes(map(self.byte.__getitem__, w)) for w, _ in self.split(self.normalize(piece))]
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:

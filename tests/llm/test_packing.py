@@ -2,6 +2,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 from lakeloom.llm import packing
 from tokenizers import Tokenizer
 
@@ -52,6 +53,15 @@ def test_odd_texts(spark):
     assert {r.id for r in nameless.collect()} == {None}
 
 
+def test_every_character_up_to_ff_is_split_as_the_library_does():
+    with open(P.path(packing.VOCABULARY), encoding="utf-8") as f:
+        bpe = packing.WordBpe(f.read())
+    encode = library()
+    texts = [f"a{chr(c)}b {chr(c)}{chr(c)} 1{chr(c)}É '{chr(c)}" for c in range(1, 256)]
+    ids, lens = bpe.encode_block(pa.array(texts))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lens)[:-1])] == [encode(t)[:-1] for t in texts]
+
+
 def test_costs_are_balanced():
     rng = np.random.default_rng(0)
     lens = np.minimum(rng.lognormal(6, 1, 4000).astype(np.int64) + 1, 20_000)
