@@ -6,10 +6,11 @@ notices, adverts, forms or reader comments (by tag, role, class or id) are
 out. Over the rest, text length and punctuation are aggregated per path: a
 path's ratio is the mean length of its blocks, fused with its mean
 punctuation and the share of its text outside links (tag-path ratios, Wu et
-al. 2013). Block scores are smoothed along the page; the deepest element that
-holds most of the score is the content element, and its blocks on paths above
-a threshold, and its headings, are the text. So a short paragraph stays as
-its path is that of the long ones.
+al. 2013). The article and main elements are the content if they hold at least
+half of the text on paths above a threshold; else the lowest element around
+all such paths is. Scores are smoothed along the content; its blocks on paths
+above the threshold, its headings and those that lead to it are the text. So
+a short paragraph stays as its path is that of the long ones.
 
 Edge cases: null, empty and text-free pages give an empty text; unclosed
 comments, scripts and tags end with the page; mismatched end tags are
@@ -33,10 +34,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Share of the page's score that the content element holds.
-MOST = 0.7
-#: Share of the best smoothed score that a path needs.
+#: Share of the best score that a path needs.
 LEAST = 0.05
+#: Best score that counts there, about that of a plain paragraph: a far longer block does not outdo others.
+PARAGRAPH = 1000.0
 #: Open elements that nest; deeper ones are not told apart.
 DEPTH = 512
 _KERNEL = [math.exp(-(d**2) / 2) for d in range(3)]
@@ -49,6 +50,7 @@ _BLOCK = frozenset(
     "thead tr ul".split()
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_CONTAINERS = frozenset(["", *"html body div center article main section".split()])
 _OUTSIDE = frozenset("head nav footer aside form menu dialog fieldset".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _NAMES = re.compile(
@@ -216,6 +218,39 @@ def _smooth(x: list[float]) -> list[float]:
     return out
 
 
+def _inside(kept: list[Block], score: list[float]) -> list[int]:
+    """The blocks of the article or main elements, or else of the lowest element around all paths over the threshold."""
+    bound = LEAST * min(max(score), PARAGRAPH)
+    body = [k for k, s in enumerate(score) if s >= bound]
+    named = [k for k, b in enumerate(kept) if "article" in b.tags or "main" in b.tags]
+    held = set(named)
+    if 2 * sum(len(kept[k].text) for k in body if k in held) >= sum(len(kept[k].text) for k in body):
+        return named
+    first, last = min(kept[k].ids for k in body), max(kept[k].ids for k in body)
+    depth = next((d for d, (x, y) in enumerate(zip(first, last)) if x != y), min(len(first), len(last)))
+    tags = kept[body[0]].tags
+    # A lone long paragraph, list or table is no container: what is around it holds the content.
+    while tags[depth - 1] not in _CONTAINERS:
+        depth -= 1
+    content = first[depth - 1]
+    inside = [k for k, b in enumerate(kept) if content in b.ids]
+    # Blocks that are all links and lie before or after everything else are the page's, not the content's.
+    own = [i for i, k in enumerate(inside) if kept[k].linked < len(kept[k].text) or kept[k].tags[-1] in _HEADINGS]
+    own = own or range(len(inside))
+    return inside[own[0] : own[-1] + 1]
+
+
+def _title(kept: list[Block], inside: list[int]) -> list[int]:
+    """Headings just before the content, and the last h1 before it if it has none."""
+    near = inside[0]
+    while near and kept[near - 1].tags[-1] in _HEADINGS:
+        near -= 1
+    title = list(range(near, inside[0]))
+    if not any(kept[k].tags[-1] == "h1" for k in title + inside):
+        title = [k for k in range(near) if kept[k].tags[-1] == "h1"][-1:] + title
+    return title
+
+
 def main_text(page: str | None) -> str:
     kept = [b for b in blocks(page or "") if not b.out]
     if not kept:
@@ -223,23 +258,12 @@ def main_text(page: str | None) -> str:
     score = _scores(kept)
     if not any(score):
         score = [float(len(b.text)) for b in kept]
-    mass: dict[int, float] = defaultdict(float)
-    for b, s in zip(kept, score):
-        for e in b.ids:
-            mass[e] += s * len(b.text)
-    whole = sum(s * len(b.text) for b, s in zip(kept, score))
-    holders = [e for e, m in mass.items() if m >= MOST * whole]
-    depth = {e: d for b in kept for d, e in enumerate(b.ids)}
-    parents = {e: b.tags[d] for b in kept for d, e in enumerate(b.ids)}
-    # A lone long paragraph is no container: its parent holds the content.
-    holders = [e for e in holders if parents[e] not in ("p", "pre", "blockquote", "li", *_HEADINGS)] or holders
-    content = max(holders, key=lambda e: depth[e])
-    inside = [k for k, b in enumerate(kept) if content in b.ids]
+    inside = _inside(kept, score)
     smooth = _smooth([score[k] for k in inside])
-    best = max(smooth)
-    bound = LEAST * best
+    bound = LEAST * min(max(smooth), PARAGRAPH)
     paths = {kept[k].tags for k, s in zip(inside, smooth) if s >= bound}
-    return "\n".join(kept[k].text for k in inside if kept[k].tags in paths or kept[k].tags[-1] in _HEADINGS)
+    chosen = [k for k in inside if kept[k].tags in paths or kept[k].tags[-1] in _HEADINGS]
+    return "\n".join(kept[k].text for k in _title(kept, inside) + chosen)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -45,3 +45,28 @@ def test_odd_pages(spark):
     assert got[6] == "ok" and got[10] == "1 < 2 < 3" and got[11] == "deep" and got[12] == "Caps" and got[13] == got[14] == "dup"
     assert len(got[15]) == 6 * 60_000 - 1 and len(got) == len(odd)
     assert h.extract(df.limit(0)).count() == 0
+
+
+def paragraph(k, n=100):
+    return (f"Number {k}, so it is said, has words " + "and more words " * n)[: n - 1] + "."
+
+
+def page(body):
+    return f"<html><body><div class='top'><a href=/>Home</a></div>{body}<div><a href=/x>Next</a></div></body></html>"
+
+
+def test_nothing_beside_the_largest_element_is_lost():
+    few, items = [paragraph(k) for k in range(10)], [paragraph(k, 400).replace("words", "words,", 10) for k in range(20, 23)]
+    ps = lambda texts: "".join(f"<p>{t}</p>" for t in texts)
+    title, lis = "<h1>Title</h1>", "<ul>" + "".join(f"<li>{t}</li>" for t in items) + "</ul>"
+    cells = "<table>" + "".join(f"<tr><td>{t}</td></tr>" for t in items) + "</table>"
+    terms = "<dl>" + "".join(f"<dd>{t}</dd>" for t in items) + "</dl>"
+    for wrap in ("<article>{}</article>", "<main>{}</main>", "<div>{}</div>", "{}"):
+        for more in (lis, cells, terms, f"<section>{ps(items)}</section>", f"<div>{'<br>'.join(items)}</div>"):
+            got = h.main_text(page(wrap.format(title + ps(few) + more)))
+            assert got.replace("\n", " ") == " ".join(["Title", *few, *items]), (wrap, more[:20])
+        parts = f"<div>{ps(few[:8])}</div><div>{ps(few[8:])}</div>"
+        assert h.main_text(page(wrap.format(title + parts))).split("\n") == ["Title", *few]
+    assert h.main_text(page(f"<div>{title}<div>{ps(few)}</div></div>")).split("\n") == ["Title", *few]
+    assert h.main_text(page(f"{title}<div>By, me</div><article>{ps(few)}</article>")).split("\n") == ["Title", *few]
+    assert h.main_text(page(f"<div>{ps(few)}</div><article>{few[0]}</article>")).split("\n") == [*few, few[0]]
