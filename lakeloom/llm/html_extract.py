@@ -1,9 +1,10 @@
 """Main text of web pages by tag-path ratios.
 
 A page is cut into block texts, each with its root-to-leaf path of tags.
-Blocks in elements that name themselves as menus, headers, footers, sidebars,
-notices, adverts, forms or reader comments (by tag, role, class or id) are
-out. Over the rest, text length and punctuation are aggregated per path: a
+Blocks in menus, headers and footers by tag, and hidden ones, are out. Names
+of sidebars, adverts, forms, reader comments and the like (by tag, role, or
+whole words of class or id) are votes: they put an element out unless it
+holds the article or most of the page's text, or nothing would be left. Over the rest, text length and punctuation are aggregated per path: a
 path's ratio is the mean length of its blocks, fused with its mean
 punctuation and the share of its text outside links (tag-path ratios, Wu et
 al. 2013). The article and main elements are the content if they hold at least
@@ -51,15 +52,18 @@ _BLOCK = frozenset(
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CONTAINERS = frozenset(["", *"html body div center article main section".split()])
-_OUTSIDE = frozenset("head nav footer aside form menu dialog fieldset".split())
+_OUTSIDE = frozenset("head nav footer menu".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+_VOTED = frozenset("aside form dialog fieldset".split())
+#: Whole words of a class or id that name what is no content: as its first word or its last.
 _NAMES = re.compile(
-    r"(?:^|[-_ ])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|gdpr|notices?|comments?|discuss\w*|disqus|"
-    r"replies|respond|side-?bar|aside|menu\w*|nav\w*|breadcrumbs?|footer|masthead|site-?header|page-?header|top-?bar|share|sharing|"
-    r"social|related|recommend\w*|newsletter|subscribe|signup|login|pop-?up|modal|overlay|toolbar|pagination|pager|widgets?|tags|skip)"
-    r"(?:$|[-_ ]|\d)",
-    re.IGNORECASE,
+    r"ads?|advert(?:s|isement|ising)?|sponsor(?:s|ed)?|cookies?|consent|gdpr|comments?|disqus|replies|respond|sidebar|menus?|nav|navbar|navigation|"
+    r"breadcrumbs?|footer|masthead|siteheader|pageheader|topbar|share|sharing|social|newsletter|subscribe|signup|login|popup|toolbar|pagination|pager"
 )
+#: Words that content may have as well; they count where most of the text is in links.
+_MAYBE = re.compile(r"promos?|banner|notices?|discuss(?:ion|ions)?|aside|related|recommend(?:ed|ations?)|modal|overlay|widgets?|tags|skip")
+#: With such a word the element only has, or lacks, what is named.
+_HAVING = frozenset("has have with without no not hide show layout page content contains".split())
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.IGNORECASE)
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*+)>")
@@ -95,24 +99,63 @@ class _Open:
 _ROOT = _Open("", -1, False, False)
 
 
-def _is_out(tag: str, attributes: str, parent: _Open | None) -> bool:
+def _named(value: str) -> int:
+    """2 if a class or id names what is no content, 1 if it may."""
+    vote = 0
+    for token in value.lower().replace("side-bar", "sidebar").replace("pop-up", "popup").replace("top-bar", "topbar").split():
+        if token in ("site-header", "page-header"):
+            return 2
+        words = [w for w in re.split(r"[-_]+|\d+", token) if w]
+        if len(words) > 1 and not _HAVING.isdisjoint(words):
+            continue
+        for w in words[:1] + words[-1:]:
+            vote = max(vote, 2 if _NAMES.fullmatch(w) else 1 if _MAYBE.fullmatch(w) else 0)
+    return vote
+
+
+def _is_out(tag: str, attributes: str, parent: _Open | None) -> tuple[bool, int]:
+    """Whether an element is out, and else its vote to be: 2, or 1 where links have to agree."""
     inside = parent is not None and parent.article
     if parent is not None and parent.out or tag in _OUTSIDE or tag == "header" and not inside:
-        return True
+        return True, 0
     if tag in ("html", "body", "main"):
-        return False
+        return False, 0
+    vote = 2 if tag in _VOTED else 0
     for name, a, b, c in _ATTRIBUTE.findall(attributes) if attributes else ():
         name, value = name.lower(), a or b or c
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
-        if name == "role" and value.lower() in _ROLES or name in ("class", "id") and _NAMES.search(value):
-            return True
-    return False
+            return True, 0
+        if name == "role" and value.lower() in _ROLES:
+            vote = 2
+        elif name in ("class", "id"):
+            vote = max(vote, _named(value))
+    return False, vote
+
+
+def _vote(found: list[Block], votes: dict[int, int]) -> None:
+    """Put out the blocks of elements voted out, unless these hold the article or most of the page's text."""
+    open_ = [b for b in found if not b.out]
+    total, linked, holds = defaultdict(int), defaultdict(int), set()
+    for b in open_:
+        for e in b.ids:
+            total[e] += len(b.text)
+            linked[e] += min(b.linked, len(b.text))
+        holds.update(b.ids[: next((d for d, tag in enumerate(b.tags) if tag in ("article", "main")), 0)])
+    out = {
+        e for e, v in votes.items()
+        if e not in holds and 2 * total[e] <= total[-1] and (v == 2 or 2 * linked[e] > total[e])
+    }
+    for b in open_:
+        b.out = not out.isdisjoint(b.ids)
+    if all(b.out for b in open_):
+        for b in open_:
+            b.out = False
 
 
 def blocks(page: str) -> list[Block]:
     """The page's block texts in order; white space is one space."""
     found: list[Block] = []
+    votes: dict[int, int] = {}
     stack: list[_Open] = []
     buffer: list[str] = []
     pos, number, links, linked, loose, last = 0, 0, 0, 0, False, page.rfind(">")
@@ -192,8 +235,13 @@ def blocks(page: str) -> list[Block]:
                 continue  # as browsers do: the text counts, the element does not
             number += 1
             article = tag in ("article", "main") or parent is not None and parent.article
-            stack.append(_Open(tag, number, _is_out(tag, m[3], parent), article))
+            out, vote = _is_out(tag, m[3], parent)
+            if vote:
+                votes[number] = vote
+            stack.append(_Open(tag, number, out, article))
     flush()
+    if votes:
+        _vote(found, votes)
     return found
 
 

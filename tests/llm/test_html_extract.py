@@ -70,3 +70,21 @@ def test_nothing_beside_the_largest_element_is_lost():
     assert h.main_text(page(f"<div>{title}<div>{ps(few)}</div></div>")).split("\n") == ["Title", *few]
     assert h.main_text(page(f"{title}<div>By, me</div><article>{ps(few)}</article>")).split("\n") == ["Title", *few]
     assert h.main_text(page(f"<div>{ps(few)}</div><article>{few[0]}</article>")).split("\n") == [*few, few[0]]
+
+
+def test_names_are_votes():
+    few = [paragraph(k) for k in range(10)]
+    ps = "".join(f"<p>{t}</p>" for t in few)
+    out = '<div class="sidebar"><p>Other stories, which are long.</p></div>'
+    for name in ("site has-sidebar", "content-with-sidebar", "layout-right-sidebar", "page no-comments", "entry has-related", "sidebar", "comments"):
+        for inner in (f"<div>{ps}</div>", f"<article>{ps}</article>"):
+            assert h.main_text(page(f"<div class='{name}'>{inner}{out}</div>")).split("\n") == few, name
+    for name in ("discussion", "navy", "promoted-by", "tags", "notice", "menuhin"):
+        for wrap in ("<article>{}</article>", "<div>{}</div>"):
+            part = f"<div id='{name}' class='{name}'><p>{few[0]}</p></div>"
+            assert h.main_text(page(wrap.format(part + ps))).split("\n") == [few[0], *few], name
+    assert h.main_text(page(f"<form>{ps}</form>")).split("\n") == few
+    assert h.main_text(f"<div class=share><p>{few[0]}</p></div><div class=login><p>{few[1]}</p></div>").split("\n") == few[:2]
+    for name in ("sidebar", "left-sidebar", "cookie-notice", "comments-area", "site-nav", "comment-2"):
+        assert h.main_text(page(f"<article>{ps}</article><div class={name}><p>{few[0]}</p></div>")).split("\n") == few
+        assert h.main_text(page(f"<div>{ps}</div><div class={name}><p>{few[0]}</p></div>")).split("\n") == few
