@@ -7,11 +7,14 @@ whose outgoing frequencies are compatible (ALERGIA, Carrasco and Oncina
 1994); ordinary long strings give a background automaton in the same way.
 Every candidate, a run of at least ``CANDIDATE`` credential characters, gets
 the gain per character of the best format over the background (a run without
-both a letter and a digit gains nothing), and those above a threshold learned
-from both samples become spans of kind ``format``.
+both a letter and a digit gains nothing), and those above a threshold become
+spans of kind ``format``.
 
 The automata are fitted on at most ``SAMPLE`` distinct values per kind, those
-of least hash; candidates are scored in all texts.
+of least hash. The background starts from runs without both a letter and a
+digit, so unlabelled credentials are no part of it. The threshold comes from
+the gains of all distinct labelled values and all distinct runs, counted by
+bin; candidates are scored in all texts.
 
 Edge cases: null and empty texts have no spans; long texts are scanned whole;
 repeated rows are scanned each; without labelled values no format is
@@ -39,6 +42,10 @@ KINDS = ("assign", "access", "hex")
 CANDIDATE = 16
 SAMPLE = 400
 ALPHA = 0.05
+#: Rounds in which mixed runs may join the background.
+ROUNDS = 4
+#: Bins per unit of gain, and the gain at which bins end.
+BINS, LIMIT = 64, 20
 #: Least gain per character that a format needs, whatever the samples say.
 LEAST_GAIN = 0.5
 _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -173,8 +180,9 @@ class Formats:
 
     def gain(self, value: str) -> float:
         classes = symbols(value)
-        if not _MIXED.search(classes):
-            return -math.inf
+        return self.gain_of(classes) if _MIXED.search(classes) else -math.inf
+
+    def gain_of(self, classes: str) -> float:
         base = self.background.log_likelihood(classes)
         return max((a.log_likelihood(classes) - base) / len(classes) for a in self.kinds.values())
 
@@ -211,31 +219,72 @@ _SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end
 
 
 def learn(scanned: DataFrame, sample: int = SAMPLE) -> Formats | None:
-    """Fit the automata; None if no base span labels a credential."""
+    """Fit the automata; None if no base span labels a credential.
+
+    Runs that cannot be spans start the background, so credentials among the
+    others do not count as ordinary; those that it explains then join it.
+    """
     base = scanned.select(F.explode("base").alias("s")).select("s.kind", "s.text")
-    other = scanned.select(F.explode("candidates").alias("s")).select(F.lit("").alias("kind"), "s.text")
+    other = scanned.select(F.explode("candidates").alias("s")).select("s.text")
+    mixed = F.col("text").rlike("[0-9]") & F.col("text").rlike("[A-Za-z]")
+    other = other.select(F.when(mixed, "mixed").otherwise("").alias("kind"), "text")
     values = base.unionByName(other).groupBy("kind", "text").agg(F.count("*").alias("n"))
     labelled: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
-    for kind in (*KINDS, ""):  # at most ``sample`` rows each
+    for kind in (*KINDS, "", "mixed"):  # at most ``sample`` rows each
         rows = values.filter(F.col("kind") == kind).orderBy(F.xxhash64("text"), "text").limit(sample).collect()
         for r in rows:
-            labelled[kind][symbols(value_of(kind, r.text) if kind else r.text)] += 1
+            labelled[kind][symbols(value_of(kind, r.text) if kind in KINDS else r.text)] += 1
     if not any(labelled[k] for k in KINDS):
         return None
     kinds = {k: infer(labelled[k]) for k in KINDS if labelled[k]}
-    found = Formats(kinds, infer(labelled[""] or {"a" * CANDIDATE: 1}), 0.0)
-    score = lambda vs: sorted(
-        max(a.log_likelihood(v) - found.background.log_likelihood(v) for a in kinds.values()) / len(v)
-        for v, n in vs for _ in range(n)
-    )
-    credentials = score((v, n) for k in KINDS for v, n in labelled[k].items() if len(v) >= CANDIDATE)
-    ordinary = score(labelled[""].items())
-    low = credentials[len(credentials) // 2] / 2 if credentials else math.inf
-    high = ordinary[-1 - len(ordinary) // 100] if ordinary else -math.inf
-    found.threshold = max(LEAST_GAIN, low, high)
+    long = sorted(v for k in KINDS for v, n in labelled[k].items() if len(v) >= CANDIDATE for _ in range(n))
+    ordinary: dict[str, int] = {}
+    for _ in range(ROUNDS):
+        found = Formats(kinds, infer({**labelled[""], **ordinary} or {"a" * CANDIDATE: 1}), 0.0)
+        gains = sorted(map(found.gain_of, long))
+        bound = max(LEAST_GAIN, gains[len(gains) // 2] / 2) if gains else math.inf
+        joined = {v: n for v, n in labelled["mixed"].items() if found.gain_of(v) <= bound}
+        if joined == ordinary:
+            break
+        ordinary = joined
+    found.threshold = _threshold(*_histograms(values, found))
     return found
 
 
+def _histograms(values: DataFrame, formats: Formats) -> tuple[dict[int, int], dict[int, int]]:
+    """Distinct labelled values and distinct mixed runs, all of them, by their gain's bin."""
+    shared = values.sparkSession.sparkContext.broadcast(formats)  # a few automata of bounded samples
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out: dict[tuple[bool, int], int] = defaultdict(int)
+            for kind, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                value = value_of(kind, text) if kind in KINDS else text
+                if len(value) >= CANDIDATE:
+                    gain = shared.value.gain_of(symbols(value))
+                    out[kind in KINDS, math.floor(min(max(gain, -LIMIT), LIMIT) * BINS)] += 1
+            cols = zip(*((k, g, n) for (k, g), n in out.items())) if out else ([], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.bool_(), pa.int32(), pa.int64()))], ["own", "bin", "n"])
+
+    each = values.filter("kind <> ''").select("kind", "text").mapInArrow(run, "own boolean, bin int, n long")
+    rows = each.groupBy("own", "bin").agg(F.sum("n").alias("n")).collect()  # at most 4 * LIMIT * BINS + 2
+    return {r.bin: r.n for r in rows if r.own}, {r.bin: r.n for r in rows if not r.own}
+
+
+def _threshold(own: dict[int, int], mixed: dict[int, int]) -> float:
+    """Where runs are fewest between half the labelled values' median gain and the gain that all but a twentieth exceed."""
+    total, seen, low, high = sum(own.values()), 0, None, None
+    for g in sorted(own):
+        seen += own[g]
+        high = g if high is None and 20 * seen > total else high
+        low = max(LEAST_GAIN, g / BINS / 2) if low is None and 2 * seen > total else low
+    if low is None:
+        return math.inf
+    first = math.ceil(low * BINS)
+    near = lambda g: sum(mixed.get(g + d, 0) for d in (-2, -1, 0, 1, 2))
+    return max(low, min(range(first, max(first, high - 2) + 1), key=lambda g: (near(g), g)) / BINS)
+
+
 def with_formats(scanned: DataFrame, formats: Formats | None) -> DataFrame:
     """Rows (id, base, spans): base spans and those that a format adds."""
     shared = scanned.sparkSession.sparkContext.broadcast(formats)  # a few automata of bounded samples

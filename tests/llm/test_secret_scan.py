@@ -66,3 +66,21 @@ def test_merging_keeps_a_language_and_its_odds():
     assert len(a.count) <= 3
     b = s.infer(Counter({"a0" * 10: 500, "h" * 8: 500}))
     assert b.log_likelihood("a0" * 10) > b.log_likelihood("0a" * 10) + 5
+
+
+def test_more_credentials_do_not_hide_each_other(spark):
+    code = lambda k: hashlib.sha1(str(k).encode()).hexdigest()
+    parts = ["donau", "dampf", "schiff", "inter", "national", "counter", "revolution", "ization", "wiederum"]
+    words = ["".join(p) for p in itertools.permutations(parts, 4)]
+    for share in (0.05, 0.3, 0.6):
+        n = 600
+        bare = int(share * n)
+        texts = [f"some token = {code(k)} here" for k in range(200)]
+        texts += [f"plain {code(1000 + k)[:22]} text" for k in range(bare)]
+        ordinary = [w if k % 2 else f"{w[:9]}/{2000 + k % 20}-{k % 12:02}-{w[9:]}" for k, w in enumerate(words[:: len(words) // n][: n - bare])]
+        texts += [f"see {w} alone" for w in ordinary]
+        got = s.find_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+        hits = {r.id for r in got for x in r.spans if x.kind == "format"}
+        able = {k for k in range(200, 200 + bare) if re.search("[a-f]", texts[k][6:28]) and s.base_spans(texts[k]) == []}
+        assert len(hits & able) >= 0.95 * len(able), share
+        assert not hits - able, share
