@@ -125,7 +125,7 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
     """The base spans, and wider matches outside of them."""
     out = list(base)
     for kind in KINDS:
-        if kind == "email" and not ("at)" in text or "at]" in text or "at}" in text or " dot " in text):
+        if kind == "email" and not ("at)" in text or "at]" in text or "at}" in text or " at " in text):
             continue
         out += [(kind, *m.span()) for m in _WIDE[kind].finditer(text) if free(*m.span(), out)]
     return out

@@ -83,3 +83,16 @@ def test_classifier_accepts_what_labelers_agree_on(spark):
     assert all(got[500 + k].spans for k in range(40))
     assert not any(got[2000 + k].spans for k in range(50))
     assert all([tuple(x) for x in got[1000 + k].spans] == [tuple(x) for x in got[1000 + k].base] for k in range(200))
+
+
+def test_a_spelt_out_address_needs_no_other_marker(spark):
+    text = "write to jane at example.com"
+    assert pii.candidates(text, []) == [("email", 9, 28)]
+    for t in (text, "a(at)b.de", "a [at] b.de", "a{at}b (dot) de", "a at b dot de", "x at y[dot]org", "no one dot de"):
+        assert [c[1:] for c in pii.candidates(t, [])] == [m.span() for m in pii._WIDE["email"].finditer(t)], t
+    rows = [(k, f"write an email to user{k}@mail.example.com now") for k in range(200)]
+    rows += [(500 + k, f"write email to user{k} at mail.example.com") for k in range(40)]
+    rows += [(2000 + k, f"they came from there at and. Of course word{k} was said") for k in range(50)]
+    got = {r.id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[500 + k].spans for k in range(40))
+    assert not any(got[2000 + k].spans for k in range(50))
