@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators import checks, conform, keys, kpi, versioning
-from ..session import shared_dir
+from ..session import work_dir
 from ..sources import tables as src
 from ..streaming.ingest import EVENT_KEY, NATURAL_KEY, event_order, flagged_ratings, stream_ingest_incremental
 from .roles import TS, Roles, pct, sql
@@ -46,7 +46,7 @@ def query(oracle: str | None = None, name: str | None = None):
 
 
 def _work(r: Roles, name: str) -> str:
-    return f"{shared_dir(r.spark)}/lakeloom/{name}-{uuid.uuid4().hex}"
+    return f"{work_dir(r.spark)}/{name}-{uuid.uuid4().hex}"
 
 
 _AT = "strftime(moment, '%Y-%m-%d %H:%M:%S')"

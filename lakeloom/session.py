@@ -23,14 +23,47 @@ def build(master: str | None = None, **settings: str) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; where none is set, a new one."""
+    """The folder that driver and executors share.
+
+    Where none is set, a local master gets a new temporary folder; a cluster
+    raises, as its executors could not see one.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that the driver and executors of {master} share")
         found = tempfile.mkdtemp(prefix="spark-lakeloom-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+_swept: set[str] = set()
+
+
+def work_dir(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables; its end deletes them."""
+    path = f"{shared_dir(spark)}/lakeloom/{spark.sparkContext.applicationId}"
+    if path not in _swept:
+        fs, folder = _files(spark, path)
+        fs.mkdirs(folder)
+        fs.deleteOnExit(folder)
+        _swept.add(path)
+    return path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder or file of any file system that Spark reads."""
+    fs, folder = _files(spark, path)
+    fs.delete(folder, True)
+
+
+def _files(spark: SparkSession, path: str) -> tuple:
+    sc = spark.sparkContext
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(sc._jsc.hadoopConfiguration()), folder
+
+
 _shipped: set[str] = set()
 
 
