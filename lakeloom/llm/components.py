@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .storage import materialize
+from .storage import discard, materialize
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -47,7 +47,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     for _ in range(max_rounds):
         if not mark[0]:
             break
-        now = materialize(_small_star(_large_star(now).distinct()), "edges")
+        old, now = now, materialize(_small_star(_large_star(now).distinct()), "edges")
+        discard(old)
         before, mark = mark, _mark(now)
         if mark == before:
             break
