@@ -17,8 +17,8 @@ bits.
 The tokenizer lower-cases and drops white space, so a text's ids are those of
 its distinct pieces between white space; these are encoded once per block by
 merge replay, and those with characters beyond U+00FF are prepared by the
-tokenizer's own normalizer and splitter. Strings of special tokens in a text
-are ordinary text.
+tokenizer's own normalizer and splitter. As the library does, a text is cut at
+the strings of the file's special tokens first, which become one id each.
 
 Edge cases: null and empty texts are the end token alone; ties go by order;
 repeated rows are packed each; null ids are kept; an empty table gives an
@@ -61,7 +61,10 @@ class WordBpe:
     """The ids of a tokenizer file whose words are split at white space."""
 
     def __init__(self, data: str):
-        model = json.loads(data)["model"]
+        file = json.loads(data)
+        model = file["model"]
+        self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
+        self.specials = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         vocab, suffix = model["vocab"], model["end_of_word_suffix"]
         own = Tokenizer.from_str(data)
         self.normalize, self.split = own.normalizer.normalize_str, own.pre_tokenizer.pre_tokenize_str
@@ -84,10 +87,12 @@ class WordBpe:
         self.words = Lexicon(self._encode_words)
         self.pieces = Lexicon(self._encode_pieces)
 
-    def _encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        raw, lens = join_lens(words)
+    def _encode_words(self, words: list[bytes | str]) -> tuple[np.ndarray, np.ndarray]:
+        whole = {k: self.special[w] for k, w in enumerate(words) if isinstance(w, str)}
+        raw, lens = join_lens([b"\0" if k in whole else w for k, w in enumerate(words)] if whole else words)
         ids, ends = self.inner[raw], np.cumsum(lens) - 1
         ids[ends] = self.last[raw[ends]]
+        ids[[ends[k] for k in whole]] = list(whole.values())  # the id of a special token is part of no merge
         return self.merges.replay(ids, lens)
 
     def _words(self, piece: str) -> list[bytes]:
@@ -96,7 +101,7 @@ class WordBpe:
         return [bytes(map(self.byte.__getitem__, w)) for w, _ in self.split(self.normalize(piece))]
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        words = list(map(self._words, pieces))
+        words = [[x] if x in self.special else self._words(x) for x in pieces]
         counts = np.fromiter(map(len, words), np.int64, len(words))
         code = self.words.__getitem__
         codes = np.fromiter((code(w) for ws in words for w in ws), np.int64, counts.sum())
@@ -108,7 +113,11 @@ class WordBpe:
         """The texts' ids, end to end, and how many each has."""
         if max(len(self.words), len(self.pieces)) > REMEMBERED:
             self._forget()
-        cut = pc.ascii_split_whitespace(texts.fill_null(""))
+        texts = texts.fill_null("")
+        if self.specials and pc.any(pc.match_substring_regex(texts, self.specials.pattern)).as_py():
+            # White space parts words and is dropped, so a special token between blanks is a piece of its own.
+            texts = pa.array([self.specials.sub(r" \g<0> ", t) for t in texts.to_pylist()], texts.type)
+        cut = pc.ascii_split_whitespace(texts)
         flat = cut.flatten().dictionary_encode()
         code = self.pieces.__getitem__
         known = np.fromiter(map(code, flat.dictionary.to_pylist()), np.int64, len(flat.dictionary))

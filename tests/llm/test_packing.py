@@ -12,7 +12,6 @@ ODD = [None, "", " \n ", "İstanbul ΣΑΣ ΟΔΟΣ ﬁ ½²", "a b c\x1cd\x8
 
 def library():
     lib = Tokenizer.from_file(P.path(packing.VOCABULARY))
-    lib.encode_special_tokens = True
     return lambda t: [*lib.encode(t or "", add_special_tokens=False).ids, packing.END_ID]
 
 
