@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .spans import SPANS, count_of, free, joined
+from .spans import SPANS, SpanIndex, count_of, joined
 from .storage import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -127,11 +127,14 @@ def candidates(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
     for kind in KINDS:
         if kind == "email" and not ("at)" in text or "at]" in text or "at}" in text or " at " in text):
             continue
-        out += [(kind, *m.span()) for m in _WIDE[kind].finditer(text) if free(*m.span(), out)]
+        found = [m.span() for m in _WIDE[kind].finditer(text)]
+        if found:
+            taken = SpanIndex(out)
+            out += [(kind, *span) for span in found if taken.free(*span)]
     return out
 
 
-def votes(text: str, kind: str, start: int, end: int, base: list[tuple[str, int, int]]) -> str:
+def votes(text: str, kind: str, start: int, end: int, base: SpanIndex) -> str:
     """One character per labeler: + for, - against, . no vote."""
     span = text[start:end]
     digits = "".join(_DIGIT.findall(span))
@@ -158,7 +161,7 @@ def votes(text: str, kind: str, start: int, end: int, base: list[tuple[str, int,
     before = [w.lower() for w in _WORD.findall(text[max(0, start - _NEAR) : start])][-4:]
     named = sign(any(w in _NAMING[kind] for w in before), False)
     other = sign(False, any(w in _OTHER_NUMBERS for w in before) or text[max(0, start - 2) : start].strip() in ("$", "€", "£"))
-    beside = sign(any((k, s, e) != (kind, start, end) and s - _NEAR <= end and start <= e + _NEAR for k, s, e in base), False)
+    beside = sign(base.near(start, end, _NEAR) > own, False)
     return strict + check + form + listed + named + other + beside
 
 
@@ -184,10 +187,11 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataF
             for text in b.column(1).to_pylist():
                 text = text or ""
                 found = base_spans(text)
+                index = SpanIndex(found)
                 base.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
                 wide.append(
                     [
-                        {"kind": k, "start": s, "end": e, "votes": votes(text, k, s, e, found), "shape": shape(text[s:e])}
+                        {"kind": k, "start": s, "end": e, "votes": votes(text, k, s, e, index), "shape": shape(text[s:e])}
                         for k, s, e in candidates(text, found)
                     ]
                 )

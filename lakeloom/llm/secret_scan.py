@@ -1,60 +1,73 @@
 """Secret scans: base patterns, and formats inferred from what those find.
 
 The base patterns find assignments, access keys and long hex strings. Their
-values are labelled credentials. Per kind, a prefix tree of the values'
-character classes is folded into a probabilistic automaton by merging states
-whose outgoing frequencies are compatible (ALERGIA, Carrasco and Oncina
-1994); ordinary long strings give a background automaton in the same way.
-Every candidate, a run of at least ``CANDIDATE`` credential characters, gets
-the gain per character of the best format over the background (a run without
-both a letter and a digit gains nothing), and those above a threshold become
-spans of kind ``format``.
+values are labelled credentials. Per kind, a prefix tree of the values is
+folded into a probabilistic automaton by merging states whose outgoing
+frequencies are compatible (ALERGIA, Carrasco and Oncina 1994). A symbol is a
+character itself where many labelled values agree on it after the same start
+(so ``AKIA`` stays literal), else the character's class. Ordinary strings give
+a background automaton in the same way.
+
+A candidate is a maximal run of at least ``CANDIDATE`` credential characters
+with a letter and a digit, outside the base spans. All candidates of all texts
+are scored: the log-likelihood of the best format over the background, each
+class spread evenly over its characters. A run becomes a span of kind
+``format`` where that gain outweighs the odds against it, which are counted
+over all distinct candidates and labelled values, at ``ACCEPT``.
 
 The automata are fitted on at most ``SAMPLE`` distinct values per kind, those
-of least hash. The background starts from runs without both a letter and a
-digit, so unlabelled credentials are no part of it. The threshold comes from
-the gains of all distinct labelled values and all distinct runs, counted by
-bin; candidates are scored in all texts.
-
-Edge cases: null and empty texts have no spans; long texts are scanned whole;
-repeated rows are scanned each; without labelled values no format is
-inferred; an empty table gives an empty table; only the id and text columns
-are read unless rows are redacted, which keeps every column.
+of least hash, of at most ``LEARNED`` characters. The background starts from
+long runs without a letter or without a digit, so unlabelled credentials are
+no part of it; candidates that gain under a quarter of what labelled values
+do, or under half a character, then join it.
+
+Edge cases: null and empty texts have no spans; long texts and long runs are
+scanned whole, in linear time; repeated rows are scanned each; kinds of
+fewer than ``LEAST_VALUES`` labelled values infer no format; an empty table gives an empty table;
+only the id and text columns are read unless rows are redacted, which keeps
+every column.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
-from collections.abc import Iterator
+from collections import Counter, defaultdict
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from statistics import median
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .spans import SPANS, count_of, free, joined, replace
+from .spans import SPANS, SpanIndex, count_of, joined, replace
 from .storage import materialize
 
 KINDS = ("assign", "access", "hex")
-CANDIDATE = 16
-SAMPLE = 400
+#: Least length of a candidate, as of an assigned value, and of a string that starts the background.
+CANDIDATE, ORDINARY = 6, 16
+SAMPLE, LEARNED = 400, 256
+#: Distinct labelled values that a kind needs before a format is inferred from them.
+LEAST_VALUES = 20
 ALPHA = 0.05
-#: Rounds in which mixed runs may join the background.
+#: Rounds in which candidates may join the background.
 ROUNDS = 4
-#: Bins per unit of gain, and the gain at which bins end.
-BINS, LIMIT = 64, 20
-#: Least gain per character that a format needs, whatever the samples say.
-LEAST_GAIN = 0.5
+#: Probability from which a candidate becomes a span, and the least gain for it.
+ACCEPT, LEAST_GAIN = 0.99, 8.0
+#: Values that a literal edge needs before it, and the share of them that take it.
+LITERAL_MASS, LITERAL_SHARE = 20, 0.2
 _WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII
 )
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % CANDIDATE)
+_FROM_DIGIT = re.compile(r"[0-9][A-Za-z0-9+/_=-]*+")
+_LONG = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % ORDINARY)
+_RUN_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-")
+_LETTER, _DIGIT = re.compile("[A-Za-z]"), re.compile("[0-9]")
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -73,15 +86,54 @@ def value_of(kind: str, match: str) -> str:
     return _ASSIGN.match(match)[2] if kind == "assign" else match
 
 
-def symbols(value: str) -> str:
-    """Character classes: hex and other letters by case, digits, the rest as is."""
-    return value.translate(_CLASSES)
+def candidates(text: str, base: SpanIndex) -> list[tuple[int, int]]:
+    """Runs with a letter and a digit outside the base spans, by start."""
+    out, last = [], 0
+    for m in _FROM_DIGIT.finditer(text):
+        start, end = m.span()
+        while start > last and text[start - 1] in _RUN_CHARS:
+            start -= 1
+        last = end
+        if end - start >= CANDIDATE and _LETTER.search(text, start, end) and base.free(start, end):
+            out.append((start, end))
+    return out
 
 
-_CLASSES = {ord(c): "h" if c in "abcdef" else "H" if c in "ABCDEF" else "a" if c.islower() else "A" if c.isupper() else "0"
-            for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"}
-_ALPHABET = "haHA0+/_=.-"
-_MIXED = re.compile("0.*[haHA]|[haHA].*0")
+def ordinary(text: str, base: SpanIndex) -> list[str]:
+    """Long runs that cannot be candidates."""
+    runs = (m for m in _LONG.finditer(text) if m.end() - m.start() <= LEARNED and base.free(*m.span()))
+    return [m[0] for m in runs if not (_LETTER.search(m[0]) and _DIGIT.search(m[0]))]
+
+
+#: Classes of characters: hex and other letters by case, digits, the rest as is.
+_MEMBERS = {"h": "abcdef", "a": "ghijklmnopqrstuvwxyz", "H": "ABCDEF", "A": "GHIJKLMNOPQRSTUVWXYZ", "0": "0123456789",
+            **{c: c for c in "+/_=.-"}}
+_CLASS = {c: k for k, members in _MEMBERS.items() for c in members}
+#: Log-probability of one character within its class; a literal symbol is its character.
+_WITHIN = {k: -math.log(len(members)) for k, members in _MEMBERS.items()}
+
+
+def literal_tree(values: dict[str, int]) -> dict:
+    """The starts on which labelled values agree, as nested edges."""
+
+    def node(part: list[tuple[str, int]], depth: int) -> dict:
+        mass, by = sum(n for _, n in part), defaultdict(list)
+        for v, n in part:
+            if len(v) > depth:
+                by[v[depth]].append((v, n))
+        often = {c: x for c, x in by.items() if sum(n for _, n in x) >= max(LITERAL_MASS, LITERAL_SHARE * mass)}
+        return {c: node(x, depth + 1) for c, x in sorted(often.items())} if mass >= LITERAL_MASS else {}
+
+    return node([(v[:LEARNED], n) for v, n in values.items()], 0)
+
+
+def symbols(value: str, tree: dict | None = None) -> tuple[str, ...]:
+    """``=c`` for characters on a literal start, then character classes."""
+    out, at = [], 0
+    while tree and at < len(value) and value[at] in tree:
+        out.append("=" + value[at])
+        tree, at = tree[value[at]], at + 1
+    return (*out, *map(_CLASS.__getitem__, value[at:]))
 
 
 @dataclass
@@ -92,18 +144,27 @@ class Automaton:
     target: list[dict[str, int]] = field(default_factory=list)
     end: list[float] = field(default_factory=list)
 
-    def log_likelihood(self, value: str) -> float:
+    def __post_init__(self) -> None:
+        self._logs: list[dict[str, float]] = []
+
+    def log_likelihood(self, word: Sequence[str]) -> float:
+        """Of the characters that spell these symbols, and of ending there."""
+        if not self._logs:
+            for have, end in zip(self.count, self.end):
+                mass = math.log(end + sum(have.values()) + 0.5 * (len(_MEMBERS) + 1))
+                logs = {c: math.log(have.get(c, 0) + 0.5) - mass + _WITHIN[c] for c in _MEMBERS}
+                logs |= {c: math.log(n + 0.5) - mass for c, n in have.items() if c not in _MEMBERS}
+                self._logs.append(logs | {"": math.log(end + 0.5) - mass})
         state, total = 0, 0.0
-        for c in value:
-            have = self.count[state]
-            mass = self.end[state] + sum(have.values())
-            total += math.log((have.get(c, 0) + 0.5) / (mass + 0.5 * (len(_ALPHABET) + 1)))
+        for c in word:
+            logs = self._logs[state]
+            total += logs[c] if c in logs else logs[""]  # a literal that this state never saw
             state = self.target[state].get(c, state)
-        return total
+        return total + self._logs[state][""]
 
 
-def infer(values: dict[str, int], alpha: float = ALPHA) -> Automaton:
-    """Merge compatible prefix-tree states of weighted class strings."""
+def infer(values: dict[Sequence[str], int], alpha: float = ALPHA) -> Automaton:
+    """Merge compatible prefix-tree states of weighted symbol strings."""
     count: list[dict[str, float]] = [{}]
     target: list[dict[str, int]] = [{}]
     end = [0.0]
@@ -172,117 +233,105 @@ def infer(values: dict[str, int], alpha: float = ALPHA) -> Automaton:
 
 @dataclass
 class Formats:
-    """Format automata by kind, the background, and the gain a span needs."""
+    """Format automata with their literal starts by kind, the background, and the gain a span needs."""
 
-    kinds: dict[str, Automaton]
+    kinds: dict[str, tuple[dict, Automaton]]
     background: Automaton
     threshold: float
 
-    def gain(self, value: str) -> float:
-        classes = symbols(value)
-        return self.gain_of(classes) if _MIXED.search(classes) else -math.inf
+    def gains(self, value: str) -> dict[str, float]:
+        base = self.background.log_likelihood(symbols(value))
+        return {k: a.log_likelihood(symbols(value, tree)) - base for k, (tree, a) in self.kinds.items()}
 
-    def gain_of(self, classes: str) -> float:
-        base = self.background.log_likelihood(classes)
-        return max((a.log_likelihood(classes) - base) / len(classes) for a in self.kinds.values())
+    def found(self, text: str, base: SpanIndex) -> list[tuple[str, int, int]]:
+        return [("format", s, e) for s, e in candidates(text, base) if max(self.gains(text[s:e]).values()) > self.threshold]
+
+
+_RUN = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())])
+_SPAN = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())])
+_BASE = pa.struct([*_SPAN, ("text", pa.string())])
+_SCANNED = (
+    "base array<struct<kind:string,start:int,end:int,text:string>>, candidates array<struct<start:int,end:int,text:string>>, "
+    "ordinary array<string>"
+)
 
 
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, base, candidates): base spans and runs outside of them."""
+    """Rows (id, base, candidates, ordinary): base spans, runs outside of them, and background strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            base, runs = [], []
+            base, runs, other = [], [], []
             for text in b.column(1).to_pylist():
-                found = base_spans(text or "")
+                text = text or ""
+                found = base_spans(text)
+                index = SpanIndex(found)
                 base.append([{"kind": k, "start": s, "end": e, "text": text[s:e]} for k, s, e in found])
-                runs.append(
-                    [
-                        {"start": m.start(), "end": m.end(), "text": m[0]}
-                        for m in _RUN.finditer(text or "")
-                        if free(m.start(), m.end(), found)
-                    ]
-                )
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(base, _BASE), pa.array(runs, _RUNS)], ["id", "base", "candidates"]
-            )
-
-    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType)])
-    schema.add("base", T.ArrayType(T._parse_datatype_string("struct<kind:string,start:int,end:int,text:string>")))
-    schema.add("candidates", T.ArrayType(T._parse_datatype_string("struct<start:int,end:int,text:string>")))
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
-
+                runs.append([{"start": s, "end": e, "text": text[s:e]} for s, e in candidates(text, index)])
+                other.append(ordinary(text, index))
+            cols = [pa.array(base, pa.list_(_BASE)), pa.array(runs, pa.list_(_RUN)), pa.array(other, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["id", "base", "candidates", "ordinary"])
 
-_RUNS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())]))
-_BASE = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("text", pa.string())]))
-_SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
+    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), *T._parse_datatype_string(_SCANNED)])
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
 def learn(scanned: DataFrame, sample: int = SAMPLE) -> Formats | None:
     """Fit the automata; None if no base span labels a credential.
 
-    Runs that cannot be spans start the background, so credentials among the
-    others do not count as ordinary; those that it explains then join it.
+    Distinct values are counted once; per kind the ``sample`` of least hash
+    and the number of all of them reach the driver.
     """
-    base = scanned.select(F.explode("base").alias("s")).select("s.kind", "s.text")
-    other = scanned.select(F.explode("candidates").alias("s")).select("s.text")
-    mixed = F.col("text").rlike("[0-9]") & F.col("text").rlike("[A-Za-z]")
-    other = other.select(F.when(mixed, "mixed").otherwise("").alias("kind"), "text")
-    values = base.unionByName(other).groupBy("kind", "text").agg(F.count("*").alias("n"))
-    labelled: dict[str, dict[str, int]] = defaultdict(lambda: defaultdict(int))
-    for kind in (*KINDS, "", "mixed"):  # at most ``sample`` rows each
-        rows = values.filter(F.col("kind") == kind).orderBy(F.xxhash64("text"), "text").limit(sample).collect()
-        for r in rows:
-            labelled[kind][symbols(value_of(kind, r.text) if kind in KINDS else r.text)] += 1
-    if not any(labelled[k] for k in KINDS):
+    one = lambda kind, text: F.struct(kind.alias("kind"), text.alias("text"))
+    each = F.concat(
+        F.transform("base", lambda s: one(s["kind"], s["text"])),
+        F.transform("candidates", lambda s: one(F.lit("mixed"), s["text"])),
+        F.transform("ordinary", lambda s: one(F.lit(""), s)),
+    )
+    values = scanned.select(F.explode(each).alias("v")).select("v.kind", "v.text").distinct()
+    values = materialize(values.withColumn("hash", F.xxhash64("text")), "values")
+    number = {r.kind: r.n for r in values.groupBy("kind").agg(F.count("*").alias("n")).collect()}  # five kinds
+    if not any(number.get(k) for k in KINDS):
         return None
-    kinds = {k: infer(labelled[k]) for k in KINDS if labelled[k]}
-    long = sorted(v for k in KINDS for v, n in labelled[k].items() if len(v) >= CANDIDATE for _ in range(n))
-    ordinary: dict[str, int] = {}
+    short = values.filter(F.length("text") <= LEARNED)
+    rank = F.row_number().over(Window.partitionBy("kind").orderBy("hash", "text"))
+    drawn: dict[str, Counter] = defaultdict(Counter)
+    for r in short.withColumn("k", rank).filter(F.col("k") <= sample).collect():  # ``sample`` rows per kind
+        drawn[r.kind][value_of(r.kind, r.text) if r.kind in KINDS else r.text] += 1
+    return fit(drawn, number)
+
+
+def fit(drawn: dict[str, dict[str, int]], number: dict[str, int]) -> Formats | None:
+    """Formats from drawn values by kind, and how many distinct ones there are of each kind."""
+    kinds = {}
+    for k in KINDS:
+        if len(drawn.get(k) or ()) >= LEAST_VALUES:
+            tree = literal_tree(drawn[k])
+            kinds[k] = tree, infer(_spelled(drawn[k], tree))
+    if not kinds:
+        return None
+    start, mixed, joined = drawn.get("") or {"g" * ORDINARY: 1}, drawn.get("mixed") or {}, {}
     for _ in range(ROUNDS):
-        found = Formats(kinds, infer({**labelled[""], **ordinary} or {"a" * CANDIDATE: 1}), 0.0)
-        gains = sorted(map(found.gain_of, long))
-        bound = max(LEAST_GAIN, gains[len(gains) // 2] / 2) if gains else math.inf
-        joined = {v: n for v, n in labelled["mixed"].items() if found.gain_of(v) <= bound}
-        if joined == ordinary:
+        formats = Formats(kinds, infer(_spelled({**start, **joined})), 0.0)
+        whole, each = {}, {}
+        for k in kinds:
+            gains = {v: formats.gains(v)[k] for v in drawn[k]}
+            whole[k], each[k] = median(gains.values()), median(g / len(v) for v, g in gains.items())
+        plain = lambda v, k, g: g <= max(LEAST_GAIN, whole[k] / 4) or g <= len(v) * each[k] / 2
+        explained = {v: n for v, n in mixed.items() if all(plain(v, k, g) for k, g in formats.gains(v).items())}
+        if explained == joined:
             break
-        ordinary = joined
-    found.threshold = _threshold(*_histograms(values, found))
-    return found
+        joined = explained
+    against = number.get("mixed", 0) / sum(number.get(k, 0) for k in kinds)
+    formats.threshold = max(LEAST_GAIN, math.log(max(against, 1.0)) + math.log(ACCEPT / (1 - ACCEPT)))
+    return formats
 
 
-def _histograms(values: DataFrame, formats: Formats) -> tuple[dict[int, int], dict[int, int]]:
-    """Distinct labelled values and distinct mixed runs, all of them, by their gain's bin."""
-    shared = values.sparkSession.sparkContext.broadcast(formats)  # a few automata of bounded samples
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            out: dict[tuple[bool, int], int] = defaultdict(int)
-            for kind, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                value = value_of(kind, text) if kind in KINDS else text
-                if len(value) >= CANDIDATE:
-                    gain = shared.value.gain_of(symbols(value))
-                    out[kind in KINDS, math.floor(min(max(gain, -LIMIT), LIMIT) * BINS)] += 1
-            cols = zip(*((k, g, n) for (k, g), n in out.items())) if out else ([], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.bool_(), pa.int32(), pa.int64()))], ["own", "bin", "n"])
-
-    each = values.filter("kind <> ''").select("kind", "text").mapInArrow(run, "own boolean, bin int, n long")
-    rows = each.groupBy("own", "bin").agg(F.sum("n").alias("n")).collect()  # at most 4 * LIMIT * BINS + 2
-    return {r.bin: r.n for r in rows if r.own}, {r.bin: r.n for r in rows if not r.own}
-
-
-def _threshold(own: dict[int, int], mixed: dict[int, int]) -> float:
-    """Where runs are fewest between half the labelled values' median gain and the gain that all but a twentieth exceed."""
-    total, seen, low, high = sum(own.values()), 0, None, None
-    for g in sorted(own):
-        seen += own[g]
-        high = g if high is None and 20 * seen > total else high
-        low = max(LEAST_GAIN, g / BINS / 2) if low is None and 2 * seen > total else low
-    if low is None:
-        return math.inf
-    first = math.ceil(low * BINS)
-    near = lambda g: sum(mixed.get(g + d, 0) for d in (-2, -1, 0, 1, 2))
-    return max(low, min(range(first, max(first, high - 2) + 1), key=lambda g: (near(g), g)) / BINS)
+def _spelled(values: dict[str, int], tree: dict | None = None) -> dict[tuple[str, ...], int]:
+    out: Counter = Counter()
+    for v, n in values.items():
+        out[symbols(v, tree)] += n
+    return out
 
 
 def with_formats(scanned: DataFrame, formats: Formats | None) -> DataFrame:
@@ -290,25 +339,20 @@ def with_formats(scanned: DataFrame, formats: Formats | None) -> DataFrame:
     shared = scanned.sparkSession.sparkContext.broadcast(formats)  # a few automata of bounded samples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = shared.value
+        f, order = shared.value, (*KINDS, "format").index
         for b in batches:
             out, bare = [], []
             for base, runs in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 base = [{k: s[k] for k in ("kind", "start", "end")} for s in base]
-                more = [
-                    {"kind": "format", "start": r["start"], "end": r["end"]}
-                    for r in runs
-                    if f and f.gain(r["text"]) > f.threshold
-                ]
-                order = (*KINDS, "format").index
+                new = [r for r in runs if f and max(f.gains(r["text"]).values()) > f.threshold]
+                more = [{"kind": "format", "start": r["start"], "end": r["end"]} for r in new]
                 bare.append(base)
                 out.append(sorted(base + more, key=lambda s: (s["start"], order(s["kind"]))))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(bare, _SPANS), pa.array(out, _SPANS)], ["id", "base", "spans"]
-            )
+            cols = [pa.array(x, pa.list_(_SPAN)) for x in (bare, out)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *cols], ["id", "base", "spans"])
 
     schema = T.StructType([scanned.schema["id"]]).add("base", T._parse_datatype_string(SPANS))
-    return scanned.mapInArrow(run, schema.add("spans", T._parse_datatype_string(SPANS)))
+    return scanned.select("id", "base", "candidates").mapInArrow(run, schema.add("spans", T._parse_datatype_string(SPANS)))
 
 
 def find_secrets(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -334,8 +378,7 @@ def redact_secrets(df: DataFrame, text_col: str = "text", length_col: str | None
             for text in b.column(at).to_pylist():
                 spans = base_spans(text or "")
                 if f:
-                    runs = (m for m in _RUN.finditer(text or "") if free(*m.span(), spans))
-                    spans = spans + [("format", *m.span()) for m in runs if f.gain(m[0]) > f.threshold]
+                    spans = spans + f.found(text or "", SpanIndex(spans))
                 texts.append(replace(text, spans) if spans else text)
             b = b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
             n = b.schema.get_field_index(length_col or "")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
@@ -21,8 +22,24 @@ def count_of(spans: str, kind: str) -> Column:
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
-def free(start: int, end: int, taken: Iterable[tuple[str, int, int]]) -> bool:
-    return all(end <= s or e <= start for _, s, e in taken)
+class SpanIndex:
+    """Which of a text's spans lie at or near a place, by binary search."""
+
+    def __init__(self, spans: Iterable[tuple[str, int, int]]):
+        self.spans = set(spans)
+        self.starts = sorted(s for _, s, _ in self.spans)
+        self.ends = sorted(e for _, _, e in self.spans)
+
+    def __contains__(self, span: tuple[str, int, int]) -> bool:
+        return span in self.spans
+
+    def free(self, start: int, end: int) -> bool:
+        """Whether no span covers a place of [start, end)."""
+        return bisect_left(self.starts, end) == bisect_right(self.ends, start)
+
+    def near(self, start: int, end: int, gap: int) -> int:
+        """Spans that begin at most ``gap`` after ``end`` and end at most ``gap`` before ``start``."""
+        return bisect_right(self.starts, end + gap) - bisect_left(self.ends, start - gap)
 
 
 def replace(text: str, spans: Sequence[tuple[str, int, int]], mark: str = "[{}]") -> str:

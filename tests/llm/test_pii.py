@@ -1,5 +1,7 @@
 import hashlib
+import itertools
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -96,3 +98,54 @@ def test_a_spelt_out_address_needs_no_other_marker(spark):
     got = {r.id: r for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert all(got[500 + k].spans for k in range(40))
     assert not any(got[2000 + k].spans for k in range(50))
+
+
+def test_odds_are_the_posterior_of_the_rates():
+    """Bayes by hand over every vote of three labelers, from the rates that EM ends with."""
+    rng = np.random.default_rng(4)
+    patterns = Counter({"".join(v): int(rng.integers(1, 60)) for v in itertools.product("+-.", repeat=3)})
+    odds, rates = pii.em(patterns, rounds=400)
+    again = {k: odds[k] for k in patterns}
+    prior = (sum(n * again[k] for k, n in patterns.items()) + 1) / (sum(patterns.values()) + 2)
+    for k in patterns:
+        yes, no = prior, 1 - prior
+        for i, v in enumerate(k):
+            yes *= rates[1, i, "+-.".index(v)]
+            no *= rates[0, i, "+-.".index(v)]
+        assert abs(odds[k] - yes / (yes + no)) < 1e-3, k
+    for c in (0, 1):  # and the rates are the weighted counts under these odds
+        for i in range(3):
+            mass = {v: sum(n * (again[k] if c else 1 - again[k]) for k, n in patterns.items() if k[i] == v) + 1 for v in "+-."}
+            mass["+" if c else "-"] += 1
+            for j, v in enumerate("+-."):
+                assert abs(rates[c, i, j] - mass[v] / sum(mass.values())) < 1e-3
+
+
+def test_votes_look_at_other_base_spans_nearby():
+    text = "mail a@b.cd or 555-010-4477, or " + "x" * 60 + " 555-010-4478"
+    base = pii.base_spans(text)
+    index = pii.SpanIndex(base)
+    got = {span: pii.votes(text, *span, index)[-1] for span in pii.candidates(text, base)}
+    slow = {(k, s, e): "+" if any((k, s, e) != (k2, s2, e2) and s2 - 48 <= e and s <= e2 + 48 for k2, s2, e2 in base) else "."
+            for k, s, e in pii.candidates(text, base)}
+    assert got == slow and set(slow.values()) == {"+", "."}
+
+
+def test_adds_and_refuses_by_other_forms(spark):
+    """Grouped numbers and spelt addresses with and without words that name them."""
+    rng = np.random.default_rng(6)
+    number = lambda: f"{rng.integers(200, 999)}-{rng.integers(200, 999)}-{rng.integers(1000, 9999)}"
+    rows = [(k, f"call us by phone +1 {number()} or mail x{k}@mail.example.com") for k in range(200)]
+    rows += [(1000 + k, f"telephone {number()}, mail y{k}@mail.example.com") for k in range(60)]
+    rows += [(2000 + k, f"serial no {number()} of the build") for k in range(60)]
+    got = {r.id: {x.kind for x in r.spans} for r in pii.find_personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum("phone" in got[1000 + k] for k in range(60)) >= 57
+    assert sum("phone" in got[2000 + k] for k in range(60)) <= 3
+
+
+def test_long_texts_take_linear_time(spark):
+    text = " ".join(f"user{k}@mail.example.com +1 555 010 {k % 9000 + 1000} or 555-010-4477" for k in range(50_000))
+    text += " " + "1" * 500_000 + " " + "a" * 500_000
+    began = time.perf_counter()
+    (row,) = pii.find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    assert len(text) > 3_500_000 and len(row.base) == 100_000 and time.perf_counter() - began < 90

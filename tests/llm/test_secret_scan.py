@@ -1,6 +1,9 @@
 import hashlib
 import itertools
+import math
+import random
 import re
+import time
 from collections import Counter
 
 from lakeloom.llm import secret_scan as s
@@ -60,6 +63,78 @@ def test_formats_find_credentials_without_context(spark):
     assert not any(x.kind == "format" for i, v in got.items() if i < 1000 or i >= 2000 for x in v)
 
 
+def hexes(n, salt):
+    return [hashlib.sha1(f"{salt}{k}".encode()).hexdigest() for k in range(n)]
+
+
+WORDS = ["page12ab", "b2b", "v1alpha2", "covid19", "mp3player", "2nd", "r2d2c3po", "utf8mb4", "sha256sum", "4thquarter", "x86_64", "A4paper", "3d-printer",
+         "donaudampfschifffahrt", "counterrevolutionary", "5927243074273351", "THONLYOUTHTIONINGER"]
+
+
+def scanned(spark, bare, others):
+    """Which of ``bare`` are found, and which of ``others`` by mistake, beside 300 labelled values."""
+    rows = [(k, f"some token = {h} and {WORDS[k % len(WORDS)]} for all") for k, h in enumerate(hexes(300, "l"))]
+    rows += [(1000 + k, f"plain {v} text") for k, v in enumerate(bare)]
+    rows += [(100_000 + k, f"{w} alone") for k, w in enumerate(others)]
+    got = {r.id: [x for x in r.spans if x.kind == "format"] for r in s.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert not any(v for i, v in got.items() if i < 1000)
+    return sum(bool(v) for i, v in got.items() if 1000 <= i < 100_000), sum(bool(v) for i, v in got.items() if i >= 100_000)
+
+
+def test_unlabelled_credentials_do_not_hide_each_other(spark):
+    others = [f"{w}{k}" for k in range(20) for w in WORDS[:10]]
+    for n in (10, 90):  # 5 % and 30 % of the candidates
+        found, wrong = scanned(spark, [h[:20] for h in hexes(n, "u") if re.search("[a-f]", h[:20])], others)
+        assert found >= 0.95 * n and wrong == 0, (n, found, wrong)
+
+
+def test_literal_starts_are_learnt():
+    rng = random.Random(5)
+    value = lambda n: "pk_live_" + "".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(n))
+    drawn = {"assign": {value(12): 1 for _ in range(200)}, "mixed": {f"{w}{k}": 1 for k in range(20) for w in WORDS[:10]}}
+    f = s.fit(drawn, {"assign": 200, "mixed": 200})
+    assert s.symbols(value(3), f.kinds["assign"][0])[:8] == tuple("=" + c for c in "pk_live_")
+    new = [value(12) for _ in range(50)]
+    assert sum(max(f.gains(v).values()) > f.threshold for v in new) >= 48
+    assert not any(max(f.gains(v).values()) > f.threshold for v in drawn["mixed"])
+    # The same letters and digits behind another start of the same classes say less.
+    assert all(f.gains(v)["assign"] > f.gains("qx_moto_" + v[8:])["assign"] + 10 for v in new)
+    assert s.literal_tree({h: 1 for h in hexes(400, "t")}) == {}
+
+
+def test_likelihood_is_that_of_the_counts():
+    """Against the product of relative frequencies along an automaton's own path, for every short word."""
+    a = s.infer(Counter({s.symbols(w): n for w, n in {"ab1": 40, "zz9": 25, "a": 10, "1": 5}.items()}))
+    for n in range(4):
+        for word in itertools.product("a0h", repeat=n):
+            state, total = 0, 1.0
+            for c in word:
+                mass = a.end[state] + sum(a.count[state].values()) + 0.5 * 12
+                total *= (a.count[state].get(c, 0) + 0.5) / mass / {"a": 20, "0": 10, "h": 6}[c]
+                state = a.target[state].get(c, state)
+            total *= (a.end[state] + 0.5) / (a.end[state] + sum(a.count[state].values()) + 0.5 * 12)
+            assert abs(a.log_likelihood(word) - math.log(total)) < 1e-9
+
+
+def test_candidates_are_all_mixed_runs():
+    rng = random.Random(2)
+    for _ in range(3000):
+        text = "".join(rng.choice(["a", "Z", "1", "-", "/", " ", ".", "é", "=", "token=", "AKIA", "x1y2z3"]) for _ in range(rng.randrange(30)))
+        base = slow_base(text)
+        want = [m.span() for m in re.finditer("[A-Za-z0-9+/_=-]{6,}", text) if re.search("[0-9]", m[0]) and re.search("[A-Za-z]", m[0])]
+        want = [(a, b) for a, b in want if all(b <= x or y <= a for _, x, y in base)]
+        assert s.candidates(text, s.SpanIndex(s.base_spans(text))) == want, text
+
+
+def test_long_texts_take_linear_time(spark):
+    text = " ".join(f"token={h} a{h[:9]}b" for h in hexes(60_000, "n"))
+    text += " " + "x" * 1_000_000 + "1" + " 9" * 100_000
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    began = time.perf_counter()
+    (row,) = s.find_secrets(df).collect()
+    assert len(text) > 4_000_000 and len(row.base) == 120_000 and time.perf_counter() - began < 90
+
+
 def test_merging_keeps_a_language_and_its_odds():
     values = Counter({"a" * n: 2 ** (12 - n) for n in range(1, 12)})
     a = s.infer(values)
