@@ -4,14 +4,18 @@ Equal vectors form one class, and classes are compared instead of rows.
 Spherical k-means on a bounded sample (``SAMPLE`` classes of least hash, at
 most ``SAMPLE_BYTES``) gives cells; every class is assigned to its home cell
 and also visits later cells whose border with its home is near: a vector at
-the threshold's angle in a random direction crosses a border that is not
-visited with the probability of a normal beyond ``Z``. Within a cell, blocks
-of home vectors meet blocks of home and visiting vectors, each pair of blocks
-in one task, as products in double precision; per block only link counts and
-a spanning forest leave the task. The smallest id of a group is kept.
+the threshold's angle, in a direction drawn from the spread that the sample
+shows around its centroids, crosses a border that is not visited with the
+probability of a normal beyond ``Z``. A cell's home and visiting vectors are
+cut into blocks, and each pair of blocks is compared in one task, as products
+in double precision; two visitors meet in another cell. Per pair of blocks
+only link counts and a spanning forest leave the task. The smallest id of a
+group is kept.
 
 Cells hold about ``max(1024, 4 sqrt(n))`` classes, so small tables have one
-cell and are compared exactly; at most ``CELLS`` centroids travel to tasks.
+cell and are compared exactly; at most ``CELLS`` centroids travel to tasks. A
+vector is sent once per block of the cells that it is in, so blocks are as
+large as a task can hold (``BLOCK`` vectors, at most ``BLOCK_BYTES``).
 
 Edge cases: vectors that are null, empty or zero, or hold null or non-finite
 components, link with nothing; vectors of different lengths do not link;
@@ -36,8 +40,10 @@ from .storage import materialize
 
 SAMPLE, SAMPLE_BYTES = 20_000, 32 << 20
 CELLS = 4096
-BLOCK = 1024
+BLOCK, BLOCK_BYTES = 8192, 16 << 20
 Z = 2.5
+#: Rows of a block whose products are held at once.
+_STEP = 256
 _ROUNDS = 12
 
 
@@ -64,16 +70,27 @@ def spherical_kmeans(x: np.ndarray, k: int) -> np.ndarray:
     return c[np.unique((x @ c.T).argmax(axis=1))]
 
 
-def visits(x: np.ndarray, c: np.ndarray, threshold: float, z: float = Z) -> tuple[np.ndarray, np.ndarray]:
-    """Home cell of each unit vector, and which later cells it visits."""
+def spread(x: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Centroids in coordinates where distance is the deviation of a step from a vector to a neighbour.
+
+    A step has unit length and the directions of the sample around its
+    centroids; no direction counts for less than one of all ``d`` alike.
+    """
+    rest = x - c[(x @ c.T).argmax(axis=1)]
+    values, axes = np.linalg.eigh(rest.T @ rest)
+    share = values / max(values.sum(), 1e-300)
+    return (c @ axes) * np.sqrt(np.maximum(share, 1 / max(x.shape[1] - 1, 1)))
+
+
+def visits(x: np.ndarray, c: np.ndarray, wide: np.ndarray, threshold: float, z: float = Z) -> tuple[np.ndarray, np.ndarray]:
+    """Home cell of each unit vector, and which later cells it visits; ``wide`` is the centroids' ``spread``."""
     dots = x @ c.T
     home = dots.argmax(axis=1)
-    apart = np.linalg.norm(c[home][:, None, :] - c[None, :, :], axis=2) if len(x) * c.size < 1 << 22 else np.sqrt(
-        np.maximum(2 - 2 * (c[home] @ c.T), 0)
-    )
-    gap = (dots[np.arange(len(x)), home][:, None] - dots) / np.maximum(apart, 1e-12)
-    reach = z * math.sqrt((1 - threshold**2) / max(x.shape[1] - 1, 1)) / threshold
-    return home, (gap <= reach) & (np.arange(len(c))[None, :] > home[:, None])
+    own, norm = wide[home], (wide**2).sum(axis=1)
+    sd = np.sqrt(np.maximum(norm[home][:, None] + norm[None, :] - 2 * (own @ wide.T), 0))
+    gap = dots[np.arange(len(x)), home][:, None] - dots
+    reach = z * math.sqrt(1 - threshold**2) / threshold
+    return home, (gap <= reach * sd) & (np.arange(len(c))[None, :] > home[:, None])
 
 
 def _classes(rows: DataFrame) -> DataFrame:
@@ -85,8 +102,8 @@ def _classes(rows: DataFrame) -> DataFrame:
     return found.withColumn("node", F.monotonically_increasing_id())
 
 
-def _train(classes: DataFrame) -> tuple[int, np.ndarray | None]:
-    """Number of components that most vectors have, and their centroids."""
+def _train(classes: DataFrame) -> tuple[int, tuple[np.ndarray, np.ndarray] | None]:
+    """Number of components that most vectors have, their centroids and the centroids' spread."""
     sizes = classes.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "d").first()
     if sizes is None:
         return 0, None
@@ -96,22 +113,24 @@ def _train(classes: DataFrame) -> tuple[int, np.ndarray | None]:
         return d, None
     take = min(SAMPLE, SAMPLE_BYTES // (8 * d))
     sample = classes.filter(F.size("v") == d).select("v").orderBy(F.xxhash64("v"), "v").limit(take)
-    return d, spherical_kmeans(_unit(np.array([r.v for r in sample.collect()])), k)
+    x = _unit(np.array([r.v for r in sample.collect()]))
+    c = spherical_kmeans(x, k)
+    return d, (c, spread(x, c))
 
 
-def _assign(classes: DataFrame, d: int, centroids: np.ndarray | None, threshold: float) -> DataFrame:
-    shared = classes.sparkSession.sparkContext.broadcast(centroids)  # at most CELLS vectors
+def _assign(classes: DataFrame, d: int, trained: tuple[np.ndarray, np.ndarray] | None, threshold: float) -> DataFrame:
+    shared = classes.sparkSession.sparkContext.broadcast(trained)  # at most 2 * CELLS vectors
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = shared.value
+        trained = shared.value
         for b in batches:
             homes, others = np.zeros(b.num_rows, np.int32), [[]] * b.num_rows
             lens = b.column(1).value_lengths().to_numpy()
             at = np.flatnonzero(lens == d)
-            if c is not None and len(at):
+            if trained is not None and len(at):
                 x = b.column(1).take(pa.array(at)).flatten().to_numpy().reshape(-1, d)
                 for k in range(0, len(at), 2048):
-                    home, visit = visits(_unit(x[k : k + 2048]), c, threshold)
+                    home, visit = visits(_unit(x[k : k + 2048]), *trained, threshold)
                     homes[at[k : k + 2048]] = home
                     for i, row in zip(at[k : k + 2048].tolist(), visit):
                         others[i] = np.flatnonzero(row).tolist()
@@ -124,67 +143,62 @@ def _assign(classes: DataFrame, d: int, centroids: np.ndarray | None, threshold:
 
 
 def _dealt(placed: DataFrame) -> DataFrame:
-    """Rows per pair of blocks: (d, cell, i, kind, j, side, node, n, v).
-
-    Kind 0 pairs two home blocks i <= j, kind 1 a home and a visiting block.
-    """
-    blocks = lambda n: F.ceil(F.coalesce(n, F.lit(0)) / BLOCK).cast("int")
-    home = placed.select("d", F.col("home").alias("cell"), "node", "n", "v")
-    visit = placed.select("d", F.explode("visits").alias("cell"), "node", "n", "v")
-    sizes = home.groupBy("d", "cell").agg(F.count("*").alias("h"))
-    seen = visit.groupBy("d", "cell").agg(F.count("*").alias("w"))
-    sizes = materialize(
-        sizes.join(seen, ["d", "cell"], "left").select("d", "cell", blocks(F.col("h")).alias("nh"), blocks(F.col("w")).alias("nv")),
-        "sizes",
-    )
-    upto = lambda a, b: F.when(b >= a, F.sequence(a, b)).otherwise(F.array().cast("array<int>"))
-    pair = lambda i, kind, j, side: F.struct(
-        i.cast("int").alias("i"), F.lit(kind).alias("kind"), j.cast("int").alias("j"), F.lit(side).alias("side")
-    )
-    one, zero = F.lit(1), F.lit(0)
-    homes = home.join(sizes, ["d", "cell"]).withColumn("b", F.pmod(F.xxhash64("node"), F.col("nh")).cast("int"))
-    b, nh, nv = F.col("b"), F.col("nh"), F.col("nv")
-    homes = homes.withColumn(
-        "to",
-        F.concat(
-            F.transform(upto(b, nh - one), lambda j: pair(b, 0, j, 0)),
-            F.transform(upto(zero, b - one), lambda j: pair(j, 0, b, 1)),
-            F.transform(upto(zero, nv - one), lambda j: pair(b, 1, j, 0)),
-        ),
-    )
-    guests = visit.join(sizes, ["d", "cell"]).withColumn("b", F.pmod(F.xxhash64("node"), F.col("nv")).cast("int"))
-    guests = guests.withColumn("to", F.transform(upto(zero, nh - one), lambda j: pair(j, 1, b, 1)))
-    out = [x.select("d", "cell", F.explode("to").alias("to"), "node", "n", "v") for x in (homes, guests)]
-    return out[0].unionByName(out[1]).select("d", "cell", "to.i", "to.kind", "to.j", "to.side", "node", "n", "v")
+    """Rows per pair of blocks i <= j of a cell: (d, cell, i, j, side, own, node, n, v)."""
+    home = placed.select("d", F.col("home").alias("cell"), F.lit(True).alias("own"), "node", "n", "v")
+    visit = placed.select("d", F.explode("visits").alias("cell"), F.lit(False).alias("own"), "node", "n", "v")
+    rows = home.unionByName(visit)
+    most = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("d")))))
+    sizes = rows.groupBy("d", "cell").agg(F.count("*").alias("m"))
+    sizes = materialize(sizes.select("d", "cell", F.ceil(F.col("m") / most).cast("int").alias("blocks")), "sizes")
+    pair = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
+    none = F.array().cast("array<int>")
+    b, last = F.col("b"), F.col("blocks") - 1
+    earlier = F.when(b > 0, F.sequence(F.lit(0), b - 1)).otherwise(none)
+    to = F.concat(F.transform(F.sequence(b, last), lambda j: pair(b, j, 0)), F.transform(earlier, lambda i: pair(i, b, 1)))
+    cut = rows.join(sizes, ["d", "cell"]).withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    sent = cut.select("d", "cell", F.explode(to).alias("to"), "own", "node", "n", "v")
+    return sent.select("d", "cell", "to.i", "to.j", "to.side", "own", "node", "n", "v")
 
 
 def _compare(threshold: float):
+    def found(x: np.ndarray, n: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.ndarray, links: np.ndarray):
+        """Near pairs of rows, a few left rows at a time; adds to ``links``."""
+        same = left is right
+        for mine in (left[own[left]], left[~own[left]]):
+            others = right if mine.size and own[mine[0]] else right[own[right]]
+            y = x[others].T
+            for k in range(0, len(mine), _STEP):
+                at = mine[k : k + _STEP]
+                near = x[at] @ y >= threshold
+                if same:
+                    near &= at[:, None] != others[None, :]
+                else:
+                    links[others] += n[at] @ near
+                links[at] += near @ n[others]
+                a, b = np.nonzero(near)
+                if len(a):
+                    yield at[a], others[b]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in runs(batches, 5):
-            d, i, kind, j = (t.column(k)[0].as_py() for k in (0, 2, 3, 4))
-            side = t.column(5).to_numpy()
+        for t in runs(batches, 4):
+            d, i, j = (t.column(k)[0].as_py() for k in (0, 2, 3))
+            side, own = t.column(4).to_numpy(), t.column(5).to_numpy()
             node, n = t.column(6).to_numpy(), t.column(7).to_numpy()
             x = _unit(t.column(8).combine_chunks().flatten().to_numpy().reshape(-1, d))
-            left = side == 0
-            own = kind == 0 and i == j
-            right = left if own else ~left
-            if not left.any() or not right.any():
-                continue
-            near = x[left] @ x[right].T >= threshold
-            if own:
-                np.fill_diagonal(near, False)
-            a, b = np.nonzero(near)
-            if not len(a):
+            left = np.flatnonzero(side == 0)
+            right = left if i == j else np.flatnonzero(side == 1)
+            links, trees = np.zeros(len(x), np.int64), []
+            for a, b in found(x, n, own, left, right, links):
+                trees.append(forest(node[a], node[b]))
+            if not trees:
                 continue
-            credit = [(node[left], near @ n[right])] + ([] if own else [(node[right], n[left] @ near)])
-            who, links = (np.concatenate(c) for c in zip(*credit))
-            who, links = who[links > 0], links[links > 0]
-            low, high = forest(node[left][a], node[right][b])
+            low, high = forest(*(np.concatenate(side) for side in zip(*trees)))
+            who = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate([who, low])),
+                    pa.array(np.concatenate([node[who], low])),
                     pa.array([None] * len(who) + high.tolist(), pa.int64()),
-                    pa.array(np.concatenate([links, np.zeros(len(low), np.int64)]).astype(np.int64)),
+                    pa.array(np.concatenate([links[who], np.zeros(len(low), np.int64)])),
                 ],
                 ["a", "b", "links"],
             )
@@ -198,9 +212,8 @@ def embedding_groups(
     """Rows (id, n_links, component_id, kept), one per row of ``df``."""
     rows = df.select(F.col(id_col).alias("id"), F.col(vector_col).alias("v"))
     classes = materialize(_classes(rows), "classes")
-    d, centroids = _train(classes)
-    placed = materialize(_assign(classes, d, centroids, threshold), "placed")
-    keys = ["d", "cell", "i", "kind", "j"]
+    placed = materialize(_assign(classes, *_train(classes), threshold), "placed")
+    keys = ["d", "cell", "i", "j"]
     dealt = _dealt(placed).repartition(*keys).sortWithinPartitions(*keys)
     found = materialize(dealt.mapInArrow(_compare(threshold), "a long, b long, links long"), "links")
     links = found.filter("b is null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))

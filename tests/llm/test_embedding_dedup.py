@@ -58,14 +58,40 @@ def test_cells_and_blocks_against_brute_force(spark, monkeypatch):
     assert found <= there and found >= 0.99 * there
 
 
+def planted(rng, n, d, rank):
+    """Vectors of the given rank, half of them partners of the other half at cosine 0.90 to 0.93."""
+    axes = np.linalg.qr(rng.normal(size=(d, rank)))[0].T
+    a = e._unit(rng.normal(size=(n // 2, rank)) @ axes)
+    step = rng.normal(size=(n // 2, rank)) @ axes
+    step = e._unit(step - (step * a).sum(1, keepdims=True) * a)
+    t = rng.uniform(0.90, 0.93, size=(n // 2, 1))
+    return np.concatenate([a, t * a + np.sqrt(1 - t**2) * step])
+
+
 def test_recall_on_larger_table(spark):
-    sf_dir = "/root/testdata/check_s"
-    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").toPandas()
-    x = e._unit(np.stack(rows.embedding))
-    want = dict(zip(rows.vec_id, (x @ x.T >= 0.9).sum(axis=1) - 1))
-    got = {r.vec_id: r.n_links for r in e.op6_embedding_near_dedup(spark, sf_dir).collect()}
-    assert set(got) == set(want) and all(got[i] <= want[i] for i in got)
-    assert sum(got.values()) >= 0.99 * sum(want.values()) > 0
+    """Over 5,000 classes in several cells, with links planted just over the threshold."""
+    x = planted(np.random.default_rng(1), 5000, 48, 48).astype(np.float32)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    y = e._unit(x)
+    want = (y @ y.T >= 0.9).sum(axis=1) - 1
+    groups = e.embedding_groups(df)
+    got = {r.id: r.n_links for r in groups.collect()}
+    assert e._train(e._classes(df.selectExpr("vec_id id", "embedding v")))[1][0].shape[0] >= 4
+    assert len(got) == len(x) and all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= 0.99 * want.sum() > 4000
+
+
+def test_pairs_meet_in_hundreds_of_cells():
+    """Share of planted pairs in one cell, for vectors of full and of low rank."""
+    rng = np.random.default_rng(8)
+    for d, rank, n in ((64, 64, 20_000), (64, 8, 20_000), (256, 24, 12_000)):
+        x = planted(rng, n, d, rank)
+        c = e.spherical_kmeans(x[rng.permutation(n)[:6000]], 200)
+        home, visit = e.visits(x, c, e.spread(x[:6000], c), 0.9)
+        a, b = home[: n // 2], home[n // 2 :]
+        meet = (a == b) | visit[np.arange(n // 2), b] | visit[n // 2 + np.arange(n // 2), a]
+        assert len(c) >= 150 and meet.mean() >= 0.99, (d, rank, meet.mean())
+        assert visit.sum(axis=1).mean() < 0.7 * len(c)
 
 
 def test_odd_vectors(spark):
