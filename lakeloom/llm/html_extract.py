@@ -4,14 +4,17 @@ A page is cut into block texts, each with its root-to-leaf path of tags.
 Blocks in menus, headers and footers by tag, and hidden ones, are out. Names
 of sidebars, adverts, forms, reader comments and the like (by tag, role, or
 whole words of class or id) are votes: they put an element out unless it
-holds the article or most of the page's text, or nothing would be left. Over the rest, text length and punctuation are aggregated per path: a
-path's ratio is the mean length of its blocks, fused with its mean
-punctuation and the share of its text outside links (tag-path ratios, Wu et
-al. 2013). The article and main elements are the content if they hold at least
-half of the text on paths above a threshold; else the lowest element around
-all such paths is. Scores are smoothed along the content; its blocks on paths
-above the threshold, its headings and those that lead to it are the text. So
-a short paragraph stays as its path is that of the long ones.
+holds the article or most of the page's text, or nothing would be left. Over
+the rest, text length and punctuation are aggregated per path: a path's ratio
+is the mean length of its blocks, fused with its mean punctuation and the
+share of its text outside links (tag-path ratios, Wu et al. 2013). The article
+and main elements are the content if they hold at least half of the text on
+paths above a threshold; else the lowest element around all such paths is.
+Scores are smoothed along the content; its blocks on paths above the
+threshold, its headings and those that lead to it are the text. So a short
+paragraph stays as its path is that of the long ones. Elements are nodes with
+a parent, and a path is its last tag after the parent's path, so a page takes
+time by its length, however deep it nests.
 
 Edge cases: null, empty and text-free pages give an empty text; unclosed
 comments, scripts and tags end with the page; mismatched end tags are
@@ -26,9 +29,9 @@ import html as entities
 import math
 import re
 import string
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,8 +42,6 @@ from pyspark.sql import types as T
 LEAST = 0.05
 #: Best score that counts there, about that of a plain paragraph: a far longer block does not outdo others.
 PARAGRAPH = 1000.0
-#: Open elements that nest; deeper ones are not told apart.
-DEPTH = 512
 _KERNEL = [math.exp(-(d**2) / 2) for d in range(3)]
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -81,22 +82,38 @@ _PUNCTUATION = frozenset(string.punctuation) - frozenset("#$%&*+/<=>@\\^_`|~") |
 
 @dataclass
 class Block:
-    tags: tuple[str, ...]
-    ids: tuple[int, ...]
+    """A text, the element that holds it, and the characters in links."""
+
+    element: int
     text: str
     linked: int
-    out: bool
 
 
 @dataclass
-class _Open:
-    tag: str
-    number: int
-    out: bool
-    article: bool
+class Page:
+    """Elements by number (0 is the page, parents come before their children) and block texts in order.
+
+    ``path`` numbers the root-to-leaf tag paths, ``inside`` tells elements
+    of an article or main, ``vote`` is a name's vote to put an element out.
+    """
+
+    blocks: list[Block] = field(default_factory=list)
+    tag: list[str] = field(default_factory=lambda: [""])
+    parent: list[int] = field(default_factory=lambda: [0])
+    path: list[int] = field(default_factory=lambda: [0])
+    out: list[bool] = field(default_factory=lambda: [False])
+    inside: list[bool] = field(default_factory=lambda: [False])
+    vote: list[int] = field(default_factory=lambda: [0])
 
+    def summed(self, values: dict[int, int]) -> list[int]:
+        """Each element's values with those of all elements in it."""
+        total = [values.get(e, 0) for e in range(len(self.tag))]
+        for e in range(len(total) - 1, 0, -1):
+            total[self.parent[e]] += total[e]
+        return total
 
-_ROOT = _Open("", -1, False, False)
+    def heading(self, block: Block) -> bool:
+        return self.tag[block.element] in _HEADINGS
 
 
 def _named(value: str) -> int:
@@ -113,10 +130,9 @@ def _named(value: str) -> int:
     return vote
 
 
-def _is_out(tag: str, attributes: str, parent: _Open | None) -> tuple[bool, int]:
-    """Whether an element is out, and else its vote to be: 2, or 1 where links have to agree."""
-    inside = parent is not None and parent.article
-    if parent is not None and parent.out or tag in _OUTSIDE or tag == "header" and not inside:
+def _is_out(tag: str, attributes: str, inside: bool) -> tuple[bool, int]:
+    """Whether an element is out by itself, and else its vote: 2, or 1 where links have to agree."""
+    if tag in _OUTSIDE or tag == "header" and not inside:
         return True, 0
     if tag in ("html", "body", "main"):
         return False, 0
@@ -132,33 +148,37 @@ def _is_out(tag: str, attributes: str, parent: _Open | None) -> tuple[bool, int]
     return False, vote
 
 
-def _vote(found: list[Block], votes: dict[int, int]) -> None:
-    """Put out the blocks of elements voted out, unless these hold the article or most of the page's text."""
-    open_ = [b for b in found if not b.out]
-    total, linked, holds = defaultdict(int), defaultdict(int), set()
-    for b in open_:
-        for e in b.ids:
-            total[e] += len(b.text)
-            linked[e] += min(b.linked, len(b.text))
-        holds.update(b.ids[: next((d for d, tag in enumerate(b.tags) if tag in ("article", "main")), 0)])
-    out = {
-        e for e, v in votes.items()
-        if e not in holds and 2 * total[e] <= total[-1] and (v == 2 or 2 * linked[e] > total[e])
-    }
-    for b in open_:
-        b.out = not out.isdisjoint(b.ids)
-    if all(b.out for b in open_):
-        for b in open_:
-            b.out = False
+def _shown(page: Page) -> list[Block]:
+    """Blocks that no element around them puts out.
 
-
-def blocks(page: str) -> list[Block]:
-    """The page's block texts in order; white space is one space."""
-    found: list[Block] = []
-    votes: dict[int, int] = {}
-    stack: list[_Open] = []
+    An element voted out stays if it holds the article or most of the page's
+    text, and all stay if none would be left.
+    """
+    open_ = [b for b in page.blocks if not page.out[b.element]]
+    if not any(page.vote):
+        return open_
+    length, links, article = Counter(), Counter(), Counter()
+    for b in open_:
+        length[b.element] += len(b.text)
+        links[b.element] += min(b.linked, len(b.text))
+        article[b.element] += page.inside[b.element]
+    total, linked, holds = page.summed(length), page.summed(links), page.summed(article)
+    away = [False] * len(page.tag)
+    for e in range(1, len(away)):
+        vote = page.vote[e]
+        around = holds[e] and not page.inside[e]  # the article is in it
+        own = vote and not around and 2 * total[e] <= total[0] and (vote == 2 or 2 * linked[e] > total[e])
+        away[e] = bool(own) or away[page.parent[e]]
+    return [b for b in open_ if not away[b.element]] or open_
+
+
+def parse(html: str) -> Page:
+    """The page's elements and block texts; white space is one space."""
+    page = Page()
+    paths: dict[tuple[int, str], int] = {}
+    stack, opened = [0], Counter()
     buffer: list[str] = []
-    pos, number, links, linked, loose, last = 0, 0, 0, 0, False, page.rfind(">")
+    pos, links, linked, loose, last = 0, 0, 0, False, html.rfind(">")
     low = None
 
     def take(text: str) -> None:
@@ -171,29 +191,36 @@ def blocks(page: str) -> list[Block]:
         nonlocal linked
         text = " ".join(entities.unescape("".join(buffer)).split()) if buffer else ""
         if text:
-            shown = [_ROOT, *stack]
-            found.append(Block(tuple(o.tag for o in shown), tuple(o.number for o in shown), text, linked, shown[-1].out))
+            page.blocks.append(Block(stack[-1], text, linked))
         buffer.clear()
         linked = 0
 
+    def close(tag: str) -> None:
+        """Close the open elements up to the nearest of this tag, if any."""
+        while opened[tag]:
+            top = page.tag[stack.pop()]
+            opened[top] -= 1
+            if top == tag:
+                break
+
     while True:
-        lt = page.find("<", pos)
+        lt = html.find("<", pos)
         if lt < 0 or lt > last:
-            take(page[pos:])
+            take(html[pos:])
             break
         if lt > pos:
-            take(page[pos:lt])
-        if page.startswith("<!--", lt):
-            end = page.find("-->", lt + 4)
+            take(html[pos:lt])
+        if html.startswith("<!--", lt):
+            end = html.find("-->", lt + 4)
             if end < 0:
                 break
             pos = end + 3
             continue
-        if page[lt + 1 : lt + 2] in ("!", "?"):
-            pos = page.find(">", lt) + 1
+        if html[lt + 1 : lt + 2] in ("!", "?"):
+            pos = html.find(">", lt) + 1
             continue
-        m = None if loose else _TAG.match(page, lt)
-        if m is None and (m := _LOOSE.match(page, lt)) is not None:
+        m = None if loose else _TAG.match(html, lt)
+        if m is None and (m := _LOOSE.match(html, lt)) is not None:
             loose = True  # an unclosed quote: from here on tags end at the next >
         if m is None:
             take("<")
@@ -203,17 +230,15 @@ def blocks(page: str) -> list[Block]:
         if m[1]:
             if tag in _BLOCK:
                 flush()
-                if any(o.tag == tag for o in stack):
-                    while stack.pop().tag != tag:
-                        pass
+                close(tag)
             elif tag == "a":
                 links = max(0, links - 1)
             continue
         if tag in _RAW and not m[3].endswith("/"):
             if low is None:
-                low = page.lower() if len(page.lower()) == len(page) else page
+                low = html.lower() if len(html.lower()) == len(html) else html
             end = low.find("</" + tag, pos)
-            pos = len(page) if end < 0 else (page.find(">", end) + 1 or len(page))
+            pos = len(html) if end < 0 else (html.find(">", end) + 1 or len(html))
             take(" ")
         elif tag == "br" or tag == "img":
             take(" ")
@@ -225,37 +250,42 @@ def blocks(page: str) -> list[Block]:
             if tag == "hr":
                 continue
             ends, stop = _ENDS.get(tag, ({"p"}, {"td", "th", "li", "div", "article", "section", "body", "blockquote"}))
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k].tag in ends:
-                    del stack[k:]
-                elif stack[k].tag in stop:
-                    break
-            parent = stack[-1] if stack else None
-            if len(stack) == DEPTH:
-                continue  # as browsers do: the text counts, the element does not
-            number += 1
-            article = tag in ("article", "main") or parent is not None and parent.article
-            out, vote = _is_out(tag, m[3], parent)
-            if vote:
-                votes[number] = vote
-            stack.append(_Open(tag, number, out, article))
+            if any(opened[t] for t in ends):
+                for k in range(len(stack) - 1, 0, -1):
+                    if page.tag[stack[k]] in ends:
+                        for e in stack[k:]:
+                            opened[page.tag[e]] -= 1
+                        del stack[k:]
+                    elif page.tag[stack[k]] in stop:
+                        break
+            up = stack[-1]
+            inside = page.inside[up] or tag in ("article", "main")
+            out, vote = _is_out(tag, m[3], inside)
+            stack.append(len(page.tag))
+            opened[tag] += 1
+            page.tag.append(tag)
+            page.parent.append(up)
+            page.path.append(paths.setdefault((page.path[up], tag), len(paths) + 1))
+            page.out.append(out or page.out[up])
+            page.inside.append(inside)
+            page.vote.append(0 if page.out[-1] else vote)
     flush()
-    if votes:
-        _vote(found, votes)
-    return found
+    return page
 
 
-def _scores(kept: list[Block]) -> list[float]:
-    """Fused ratio of each block's path: length, punctuation, text outside links."""
-    total: dict[tuple[str, ...], list[float]] = defaultdict(lambda: [0, 0, 0, 0])
+def _scores(page: Page, kept: list[Block]) -> tuple[list[float], list[float]]:
+    """Each block's path: its fused ratio of length, punctuation and text outside links, and the last by itself."""
+    total: dict[int, list[float]] = defaultdict(lambda: [0, 0, 0, 0])
     for b in kept:
-        t = total[b.tags]
+        t = total[page.path[b.element]]
         t[0] += 1
         t[1] += len(b.text)
         t[2] += sum(map(b.text.count, _PUNCTUATION)) if len(b.text) < 400 else sum(c in _PUNCTUATION for c in b.text)
         t[3] += min(b.linked, len(b.text))
-    fused = {p: (c / n) * math.log1p(1 + s / n) * (1 - a / c) for p, (n, c, s, a) in total.items()}
-    return [fused[b.tags] for b in kept]
+    own = {p: 1 - a / c for p, (n, c, s, a) in total.items()}
+    fused = {p: (c / n) * math.log1p(1 + s / n) * own[p] for p, (n, c, s, a) in total.items()}
+    paths = [page.path[b.element] for b in kept]
+    return [fused[p] for p in paths], [own[p] for p in paths]
 
 
 def _smooth(x: list[float]) -> list[float]:
@@ -266,52 +296,55 @@ def _smooth(x: list[float]) -> list[float]:
     return out
 
 
-def _inside(kept: list[Block], score: list[float]) -> list[int]:
+def _inside(page: Page, kept: list[Block], score: list[float]) -> list[int]:
     """The blocks of the article or main elements, or else of the lowest element around all paths over the threshold."""
     bound = LEAST * min(max(score), PARAGRAPH)
     body = [k for k, s in enumerate(score) if s >= bound]
-    named = [k for k, b in enumerate(kept) if "article" in b.tags or "main" in b.tags]
-    held = set(named)
-    if 2 * sum(len(kept[k].text) for k in body if k in held) >= sum(len(kept[k].text) for k in body):
+    named = [k for k, b in enumerate(kept) if page.inside[b.element]]
+    if 2 * sum(len(kept[k].text) for k in body if page.inside[kept[k].element]) >= sum(len(kept[k].text) for k in body):
         return named
-    first, last = min(kept[k].ids for k in body), max(kept[k].ids for k in body)
-    depth = next((d for d, (x, y) in enumerate(zip(first, last)) if x != y), min(len(first), len(last)))
-    tags = kept[body[0]].tags
-    # A lone long paragraph, list or table is no container: what is around it holds the content.
-    while tags[depth - 1] not in _CONTAINERS:
-        depth -= 1
-    content = first[depth - 1]
-    inside = [k for k, b in enumerate(kept) if content in b.ids]
+    holds = page.summed(Counter(kept[k].element for k in body))
+    content = kept[body[0]].element
+    # The lowest around all; a lone long paragraph, list or table is no container.
+    while holds[content] < len(body) or page.tag[content] not in _CONTAINERS:
+        content = page.parent[content]
+    within = [e == content for e in range(len(page.tag))]
+    for e in range(content + 1, len(within)):
+        within[e] = within[page.parent[e]]
+    inside = [k for k, b in enumerate(kept) if within[b.element]]
     # Blocks that are all links and lie before or after everything else are the page's, not the content's.
-    own = [i for i, k in enumerate(inside) if kept[k].linked < len(kept[k].text) or kept[k].tags[-1] in _HEADINGS]
+    own = [i for i, k in enumerate(inside) if kept[k].linked < len(kept[k].text) or page.heading(kept[k])]
     own = own or range(len(inside))
     return inside[own[0] : own[-1] + 1]
 
 
-def _title(kept: list[Block], inside: list[int]) -> list[int]:
+def _title(page: Page, kept: list[Block], inside: list[int]) -> list[int]:
     """Headings just before the content, and the last h1 before it if it has none."""
     near = inside[0]
-    while near and kept[near - 1].tags[-1] in _HEADINGS:
+    while near and page.heading(kept[near - 1]):
         near -= 1
     title = list(range(near, inside[0]))
-    if not any(kept[k].tags[-1] == "h1" for k in title + inside):
-        title = [k for k in range(near) if kept[k].tags[-1] == "h1"][-1:] + title
+    h1 = lambda k: page.tag[kept[k].element] == "h1"
+    if not any(map(h1, title + inside)):
+        title = [k for k in range(near) if h1(k)][-1:] + title
     return title
 
 
-def main_text(page: str | None) -> str:
-    kept = [b for b in blocks(page or "") if not b.out]
+def main_text(html: str | None) -> str:
+    page = parse(html or "")
+    kept = _shown(page)
     if not kept:
         return ""
-    score = _scores(kept)
+    score, own = _scores(page, kept)
     if not any(score):
-        score = [float(len(b.text)) for b in kept]
-    inside = _inside(kept, score)
-    smooth = _smooth([score[k] for k in inside])
+        score, own = [float(len(b.text)) for b in kept], [1.0] * len(kept)
+    inside = _inside(page, kept, score)
+    # What lies beside content is likely content, but not where a path is made of links.
+    smooth = [s * own[k] for k, s in zip(inside, _smooth([score[k] for k in inside]))]
     bound = LEAST * min(max(smooth), PARAGRAPH)
-    paths = {kept[k].tags for k, s in zip(inside, smooth) if s >= bound}
-    chosen = [k for k in inside if kept[k].tags in paths or kept[k].tags[-1] in _HEADINGS]
-    return "\n".join(kept[k].text for k in _title(kept, inside) + chosen)
+    paths = {page.path[kept[k].element] for k, s in zip(inside, smooth) if s >= bound}
+    chosen = [k for k in inside if page.path[kept[k].element] in paths or page.heading(kept[k])]
+    return "\n".join(kept[k].text for k in _title(page, kept, inside) + chosen)
 
 
 def extract(df: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -88,3 +88,39 @@ def test_names_are_votes():
     for name in ("sidebar", "left-sidebar", "cookie-notice", "comments-area", "site-nav", "comment-2"):
         assert h.main_text(page(f"<article>{ps}</article><div class={name}><p>{few[0]}</p></div>")).split("\n") == few
         assert h.main_text(page(f"<div>{ps}</div><div class={name}><p>{few[0]}</p></div>")).split("\n") == few
+
+
+def test_depth_changes_nothing():
+    few = [paragraph(k) for k in range(6)]
+    ps = "".join(f"<p>{t}</p>" for t in few)
+    for depth in (1, 100, 600, 30_000):
+        deep, shut = "<div>" * depth, "</div>" * depth
+        side = f"<nav><p>{few[0]}</p></nav><div class=sidebar><p>Other, stories.</p></div><div hidden><p>Unseen, text.</p></div>"
+        assert h.main_text(f"<html><body>{deep}{side}<h1>Title</h1>{ps}{shut}</body></html>").split("\n") == ["Title", *few], depth
+    assert h.main_text("<ul><li>" * 40_000 + f"<p>{few[0]}</p>").endswith(few[0])
+
+
+def without_names(monkeypatch):
+    """The ratios alone: no tag, role, class, id or attribute says what is outside."""
+    never = re.compile("(?!)")
+    for name in ("_OUTSIDE", "_VOTED", "_ROLES"):
+        monkeypatch.setattr(h, name, frozenset())
+    for name in ("_NAMES", "_MAYBE", "_ATTRIBUTE"):
+        monkeypatch.setattr(h, name, never)
+
+
+def test_pages_by_ratios_alone(spark, monkeypatch):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()
+    without_names(monkeypatch)
+    same = sum(h.main_text(r.html) == slow(r.html) for r in pages)
+    assert same >= 0.98 * len(pages), (same, len(pages))
+
+
+def test_ratios_alone_remove_blocks(monkeypatch):
+    few = [paragraph(k) for k in range(8)]
+    ps = "".join(f"<p>{t}</p>" for t in few)
+    links = "<ul>" + "".join(f"<li><a href=/{k}>Story number {k}</a></li>" for k in range(12)) + "</ul>"
+    for body in (f"<div>{links}<div>{ps}</div></div>", f"<div><div>{ps}</div>{links}</div>", f"<article>{ps}{links}</article>"):
+        assert h.main_text(page(body)).split("\n") == few, body[:20]
+    without_names(monkeypatch)
+    assert h.main_text(page(f"<nav>{links}</nav><div>{ps}</div><footer><span>Imprint</span></footer>")).split("\n") == few
