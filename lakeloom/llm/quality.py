@@ -3,20 +3,28 @@
 Base rules count words, symbols, repeated lines and repeated five-word
 windows of a text. Documents that pass them form cells by language and source
 (small cells join their language's rest, and a small rest joins the rest of
-all), and each cell gets a regularised minimum-covariance-determinant
-estimate of four transformed statistics: concentration steps from the
-coordinatewise medians keep the ``SHARE`` of documents nearest to the current
-estimate, a consistency factor and a floor on each variance are applied, and
-a reweighting step ends the fit (Rousseeuw and Van Driessen 1999; Boudt et
-al. 2020). A document is rejected by a squared Mahalanobis distance above the
-chi-squared quantile of ``TAIL``.
-
-Quantiles come from exact counts over fixed bins, so all documents count, the
-state is bounded, and the result does not depend on how rows are dealt out.
+all), and each cell gets a regularised minimum-covariance-determinant estimate
+of four transformed statistics (Rousseeuw and Van Driessen 1999; Boudt et al.
+2020): of all weightings that keep ``SHARE`` of the cell's mass, the one whose
+covariance, made consistent and raised by a floor on each variance, has the
+least determinant. Concentration steps give the mass to the documents nearest
+to the current estimate; they set out from four deterministic starts (Hubert,
+Rousseeuw and Verdonck 2012): medians with robust scales, correlations of
+squashed scores, spatial signs, and the plain mean and covariance. After
+``STEPS`` steps the start of least determinant goes on until the determinants
+settle. A reweighting step ends the fit, and a document is rejected by a
+squared Mahalanobis distance above the chi-squared quantile of ``TAIL``.
+
+Quantiles come from exact counts over fixed bins, so all documents count and
+the state is bounded; the documents of the bin at which the mass is reached
+share what is left of it, so the mass is exact. Estimates per cell are sent to
+the documents, which are never shuffled by cell, and sums are taken by cell
+and salt first.
 
 Edge cases: a null text has no words and fails the base rules, as do empty and
 blank ones; null languages and sources are cells of their own; cells of under
-``LEAST`` documents reject nothing; repeated rows are judged each, alike; an
+``LEAST`` documents (which only the rest of all can be) reject nothing;
+repeated rows are judged each, alike; an
 empty table gives an empty table; carried columns ride in one struct, so they
 may have any name.
 """
@@ -32,9 +40,13 @@ from pyspark.sql import functions as F
 
 from .storage import materialize
 
-SHARE = 0.75
-STEPS = 4
-TAIL = 1e-6
+#: Mass of a cell that its estimate rests on; up to the rest may be outliers.
+SHARE = 0.6
+#: Steps that all starts take, and the most that the best one takes after them.
+STEPS, MOST_STEPS = 2, 12
+#: Change of a log-determinant below which it has settled.
+SETTLED = 1e-4
+INNER, TAIL = 0.975, 1e-6
 #: Documents that a cell needs for an estimate of its own.
 LEAST = 40
 #: Least standard deviations of the statistics.
@@ -42,7 +54,11 @@ FLOORS = (0.1, 0.2, 0.3, 0.3)
 #: Words that damp the ratios of short texts, and their mean length.
 PRIOR_WORDS, PRIOR_LENGTH = 20, 5
 WINDOW = 5
+#: Cells up to which estimates are broadcast; some 500 bytes each and start.
+BROADCAST_CELLS = 20_000
+_SALTS = 32
 _P = len(FLOORS)
+_PAIRS = [(i, j) for i in range(_P) for j in range(i + 1)]
 _BLANK = r" \t\n\x0B\f\r"
 
 
@@ -147,67 +163,142 @@ def _distance() -> Column:
 
 
 def _bin(d2: Column) -> Column:
-    return F.floor(F.log1p(d2) * 64)
+    return F.floor(F.log1p(d2) * 256)
 
 
-def _quantile(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
-    """Per key, the first bin at which ``share`` of the rows is reached.
+def _reached(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """Per key the bin ``cut`` at which ``share`` of the rows is reached, and the ``part`` of it that this takes.
 
     The counts are written out: they are then summed by key and bin, and what
     a hot key sends to its window is one row per bin, not one per task and bin.
     """
     seen = materialize(rows.groupBy(*keys, "bin").agg(F.count("*").alias("n")), "bins")
-    so_far = Window.partitionBy(*keys).orderBy("bin")
     whole = Window.partitionBy(*keys)
-    reached = seen.withColumn("c", F.sum("n").over(so_far)).withColumn("all", F.sum("n").over(whole))
-    return reached.filter(F.col("c") >= share * F.col("all")).groupBy(*keys).agg(F.min("bin").alias("cut"))
+    before = F.sum("n").over(whole.orderBy("bin")) - F.col("n")
+    need = seen.withColumns({"before": before, "need": share * F.sum("n").over(whole)})
+    at = need.filter((F.col("before") < F.col("need")) & (F.col("need") <= F.col("before") + F.col("n")))
+    return at.select(*keys, F.col("bin").alias("cut"), ((F.col("need") - F.col("before")) / F.col("n")).alias("part"))
 
 
-def _estimate(rows: DataFrame, factor: float) -> DataFrame:
-    """Per cell the mean and the Cholesky factor of the floored covariance."""
-    pairs = [(i, j) for i in range(_P) for j in range(i + 1)]
-    found = rows.groupBy("cell").agg(
-        F.count("*").alias("n"),
-        *[F.avg(f"x{i}").alias(f"m{i}") for i in range(_P)],
-        *[F.avg(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"s{i}{j}") for i, j in pairs],
-    )
-    for i, j in pairs:
-        cov = factor * (F.col(f"s{i}{j}") - F.col(f"m{i}") * F.col(f"m{j}"))
-        if i == j:
-            cov = F.greatest(cov, F.lit(0.0)) + FLOORS[i] ** 2
+def _sums(rows: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
+    """Sums per key, by key and salt first."""
+    salted = rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
+    some = salted.groupBy(*keys, "salt").agg(*[F.sum(v).alias(name) for name, v in values.items()])
+    return some.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in values])
+
+
+def _moments(x: list[Column], w: Column) -> dict[str, Column]:
+    return {"n": w, **{f"m{i}": w * x[i] for i in range(_P)}, **{f"s{i}{j}": w * x[i] * x[j] for i, j in _PAIRS}}
+
+
+def _factored(found: DataFrame) -> DataFrame:
+    """Centres m and covariances s -> centres, Cholesky factors l of the floored covariance, and its log-determinant."""
+    keys = [c for c in ("cell", "start") if c in found.columns]
+    for i, j in _PAIRS:
+        cov = F.greatest(F.col(f"s{i}{j}"), F.lit(0.0)) + FLOORS[i] ** 2 if i == j else F.col(f"s{i}{j}")
         left = reduce(lambda a, k: a - F.col(f"l{i}{k}") * F.col(f"l{j}{k}"), range(j), cov)
         value = F.sqrt(F.greatest(left, F.lit(FLOORS[i] ** 2 / 4))) if i == j else left / F.col(f"l{j}{j}")
         found = found.withColumn(f"l{i}{j}", value)
-    return found.select("cell", "n", *[f"m{i}" for i in range(_P)], *[f"l{i}{j}" for i, j in pairs])
+    log_det = 2 * sum((F.log(f"l{i}{i}") for i in range(1, _P)), F.log("l00"))
+    return found.select(*keys, *[f"m{i}" for i in range(_P)], *[f"l{i}{j}" for i, j in _PAIRS], log_det.alias("log_det"))
+
+
+def _estimate(rows: DataFrame, keys: list[str], weight: Column, factor: float) -> DataFrame:
+    """Weighted mean and covariance of the statistics per key, factored."""
+    found = _sums(rows, keys, _moments([F.col(f"x{i}") for i in range(_P)], weight))
+    found = found.withColumns({f"m{i}": F.col(f"m{i}") / F.col("n") for i in range(_P)})
+    cov = lambda i, j: factor * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
+    return _factored(found.withColumns({f"s{i}{j}": cov(i, j) for i, j in _PAIRS}))
 
 
 def _cells(rows: DataFrame) -> DataFrame:
-    """The cell of each group that has documents to fit."""
+    """The cell of each group that has documents to fit, and the cell's documents."""
     groups = rows.filter("not base_failed").groupBy("lang_key", "key").agg(F.count("*").alias("n"))
     small = groups.filter(F.col("n") < LEAST).groupBy("lang_key").agg(F.sum("n").alias("rest"))
     rest = F.when(F.col("rest") >= LEAST, F.col("lang_key")).otherwise("")
     named = groups.join(small, "lang_key", "left")
-    return named.select("key", F.when(F.col("n") >= LEAST, F.col("key")).otherwise(rest).alias("cell"))
+    named = named.withColumn("cell", F.when(F.col("n") >= LEAST, F.col("key")).otherwise(rest))
+    return named.select("key", "cell", F.sum("n").over(Window.partitionBy("cell")).alias("documents"))
 
 
-def fit(rows: DataFrame) -> DataFrame:
-    """Estimates per cell from rows (cell, x0, x1, ...); one row per cell."""
+def _starts(rows: DataFrame, send: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Four estimates per cell: rows (cell, start, centre, factor)."""
     widths = [f / 8 for f in FLOORS]
-    bins = F.array(*[F.floor(F.col(f"x{i}") / w) for i, w in enumerate(widths)])
-    middle = _quantile(rows.select("cell", F.posexplode(bins).alias("i", "bin")), ["cell", "i"], 0.5)
-    start = middle.groupBy("cell").agg(
-        *[F.max(F.when(F.col("i") == i, (F.col("cut") + 0.5) * w)).alias(f"m{i}") for i, w in enumerate(widths)]
-    )
-    for i in range(_P):
-        for j in range(i + 1):
-            start = start.withColumn(f"l{i}{j}", F.lit(FLOORS[i] if i == j else 0.0))
-    params = materialize(start, "start")
+
+    def middle(x: list[Column], of: DataFrame, name: str) -> DataFrame:
+        bins = F.array(*[F.floor(v / w) for v, w in zip(x, widths)])
+        cut = _reached(of.select("cell", F.posexplode(bins).alias("i", "bin")), ["cell", "i"], 0.5)
+        at = lambda i, w: F.max(F.when(F.col("i") == i, (F.col("cut") + 0.5) * w)).alias(f"{name}{i}")
+        return cut.groupBy("cell").agg(*[at(i, w) for i, w in enumerate(widths)])
+
+    xs = [F.col(f"x{i}") for i in range(_P)]
+    centre = materialize(middle(xs, rows, "c"), "centre")
+    away = middle([F.abs(x - F.col(f"c{i}")) for i, x in enumerate(xs)], rows.join(send(centre), "cell"), "q")
+    scaled = {f"q{i}": F.greatest(F.lit(FLOORS[i]), 1.4826 * F.col(f"q{i}")) for i in range(_P)}
+    robust = materialize(centre.join(away, "cell").withColumns(scaled), "scale")
+    z = [(xs[i] - F.col(f"c{i}")) / F.col(f"q{i}") for i in range(_P)]
+    one, norm = F.lit(1.0), reduce(lambda a, b: a + b, (v * v for v in z))
+    sums = {f"t_{k}": v for k, v in _moments([F.tanh(v) for v in z], one).items()}
+    sums |= {f"g_{i}{j}": F.when(norm > 0, z[i] * z[j] / norm).otherwise(0.0) for i, j in _PAIRS}
+    sums |= {f"p_{k}": v for k, v in _moments(xs, one).items()}
+    found = _sums(rows.join(send(robust), "cell"), ["cell"], sums).join(robust, "cell")
+    n = F.col("p_n")
+    mean = lambda kind, *at: F.col(f"{kind}_{'m' if len(at) == 1 else 's'}{''.join(map(str, at))}") / n
+    cov = lambda kind, i, j: mean(kind, i, j) - mean(kind, i) * mean(kind, j)
+    scale = lambda i, j: F.col(f"q{i}") * F.col(f"q{j}")
+    deviation = lambda i: F.sqrt(F.greatest(cov("t", i, i), F.lit(1e-9)))
+    same = lambda i, j: F.lit(float(i == j))
+    scatter = [
+        lambda i, j: scale(i, j) * same(i, j),
+        lambda i, j: scale(i, j) * (same(i, j) if i == j else cov("t", i, j) / (deviation(i) * deviation(j))),
+        lambda i, j: scale(i, j) * _P * F.col(f"g_{i}{j}") / n,
+        lambda i, j: cov("p", i, j),
+    ]
+    each = [
+        F.struct(
+            F.lit(k).alias("start"),
+            *[(mean("p", i) if k == len(scatter) - 1 else F.col(f"c{i}")).alias(f"m{i}") for i in range(_P)],
+            *[of(i, j).alias(f"s{i}{j}") for i, j in _PAIRS],
+        )
+        for k, of in enumerate(scatter)
+    ]
+    return _factored(found.select("cell", F.explode(F.array(*each)).alias("e")).select("cell", "e.*"))
+
+
+def _concentrate(rows: DataFrame, params: DataFrame, send: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """One step of every (cell, start): the estimate over the mass nearest to the last one."""
+    keys = ["cell", "start"]
+    near = rows.join(send(params), "cell").withColumn("bin", _bin(_distance()))
+    near = near.select(*keys, *[f"x{i}" for i in range(_P)], "bin")
+    kept = near.join(send(_reached(near, keys, SHARE)), keys).filter("bin <= cut")
+    weight = F.when(F.col("bin") < F.col("cut"), 1.0).otherwise(F.col("part"))
+    return materialize(_estimate(kept, keys, weight, consistency()), "params")
+
+
+def least_determinant(rows: DataFrame, send: Callable[[DataFrame], DataFrame] = lambda df: df, start: int | None = None) -> DataFrame:
+    """The raw estimate per cell from rows (cell, x0, x1, ...); ``start`` takes only that start."""
+    params = materialize(_starts(rows, send), "starts")
+    params = params if start is None else params.filter(F.col("start") == start)
     for _ in range(STEPS):
-        near = rows.join(params, "cell").withColumn("bin", _bin(_distance()))
-        cuts = materialize(_quantile(near, ["cell"], SHARE), "cuts")
-        params = materialize(_estimate(near.join(cuts, "cell").filter("bin <= cut"), consistency()), "params")
-    inner = rows.join(params, "cell").filter(_distance() <= chi2_quantile(0.975, _P))
-    return materialize(_estimate(inner, 1.0), "params")
+        params = _concentrate(rows, params, send)
+    every = [c for c in params.columns if c != "cell"]
+    best = params.groupBy("cell").agg(F.min_by(F.struct(*every), F.struct("log_det", "start")).alias("e"))
+    params = materialize(best.select("cell", "e.*"), "best")
+    for _ in range(MOST_STEPS):
+        old, params = params, _concentrate(rows, params, send)
+        moved = params.join(old.select("cell", F.col("log_det").alias("was")), "cell")
+        moved = moved.agg(F.max(F.abs(F.col("log_det") - F.col("was")))).first()[0]
+        if moved is None or moved < SETTLED:
+            break
+    return params
+
+
+def fit(rows: DataFrame, send: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """Estimates per cell from rows (cell, x0, x1, ...); one row per cell."""
+    raw = least_determinant(rows, send)
+    inner = rows.join(send(raw), "cell").filter(_distance() <= chi2_quantile(INNER, _P))
+    xs = [f"x{i}" for i in range(_P)]
+    return materialize(_estimate(inner.select("cell", *xs), ["cell"], F.lit(1.0), consistency(INNER)), "params")
 
 
 def assess(
@@ -228,13 +319,15 @@ def assess(
     rows = rows.withColumns({"lang_key": F.concat(key("lang"), F.lit("\x1f")), "key": F.concat(key("lang"), F.lit("\x1f"), key("source"))})
     rows = materialize(rows, "statistics")
     cells = materialize(_cells(rows), "cells")
-    celled = rows.join(cells, "key", "left")
+    # Tables of a few rows per cell go to every task if the cells were counted to be few.
+    few = cells.agg(F.count("*")).first()[0] <= BROADCAST_CELLS
+    send = F.broadcast if few else lambda df: df
+    celled = rows.join(send(cells), "key", "left")
     for i, x in enumerate(_statistics()):
         celled = celled.withColumn(f"x{i}", x)
-    xs = [f"x{i}" for i in range(_P)]
-    fitted = materialize(celled.filter("not base_failed").select("cell", *xs), "fitted")
-    judged = celled.join(fit(fitted), "cell", "left")
-    distance = F.when(~F.col("base_failed") & (F.col("n") >= LEAST // 2), _distance())
+    fitted = materialize(celled.filter("not base_failed").select("cell", *[f"x{i}" for i in range(_P)]), "fitted")
+    judged = celled.join(send(fit(fitted, send)), "cell", "left")
+    distance = F.when(~F.col("base_failed") & (F.col("documents") >= LEAST), _distance())
     far = F.coalesce(F.col("distance") > chi2_quantile(1 - TAIL, _P), F.lit(False))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     judged = judged.select("row", *counts, "base_failed", distance.alias("distance"))
