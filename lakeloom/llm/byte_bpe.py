@@ -1,9 +1,13 @@
-"""Byte-level BPE encoding and decoding by merge replay over blocks of text.
+"""Byte-level BPE encoding and decoding by merge replay over the corpus' words.
 
-A task cuts its documents into pattern matches, collects the distinct matches
-of a block, and replays the merges over all of them at once (see
-``merge_replay``). Matches met in earlier blocks of the same task keep their
-ids, up to a bound. Special tokens are ordinary text.
+The words of all documents are counted in one pass. The ``HOT`` most frequent
+ones of the corpus are dealt out as a table, and every task replays the merges
+over its share of it at once, in rank order, from an inverted index of pairs
+to word positions (see ``merge_replay``); their ids, a bounded table, are sent
+to the tasks that encode the documents. Words beyond it are collected from a
+block of documents and replayed there in the same way: to join their ids back
+would shuffle every word occurrence. Such words keep their ids within a task,
+up to a bound. Special tokens are ordinary text.
 
 A space takes part in no match but the one that it opens, unless it touches
 other white space. So a text is cut at spaces first, and the pattern only
@@ -25,6 +29,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import public_tokenizers
 import regex
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,16 +37,22 @@ from pyspark.sql import types as T
 from .merge_replay import Lexicon, Merges, join_lens
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Distinct pieces, and distinct matches, that a task remembers between blocks.
+#: Words of the corpus, most frequent first, that are replayed once for all tasks.
+HOT = 65_536
+#: Distinct other words, and distinct matches, that a task remembers between blocks.
 REMEMBERED = 100_000
 #: Bytes of text after which a block ends.
 BLOCK_BYTES = 4 << 20
 
 
+def _blank(word: str) -> bool:
+    return not word or word[0].isspace() or word[-1].isspace()
+
+
 class ByteBpe:
-    """Encoder and decoder from the bytes of a rank file."""
+    """Encoder and decoder from the bytes of a rank file, and the ids of hot words if there are any."""
 
-    def __init__(self, data: bytes, pattern: str = public_tokenizers.PATTERN):
+    def __init__(self, data: bytes, hot: tuple[pa.Array, np.ndarray, np.ndarray] | None = None, pattern: str = public_tokenizers.PATTERN):
         self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line)}
         self.tokens = {i: t for t, i in self.ranks.items()}
         get = self.ranks.get
@@ -56,12 +67,22 @@ class ByteBpe:
         self.merges = Merges(a, b, r, np.arange(size), size)
         self.byte = np.array([self.ranks[bytes([x])] for x in range(256)], np.int32)
         self.matches = regex.compile(pattern).findall
+        self.hot = hot and (hot[0].to_pylist(), *hot[1:])
         self._forget()
 
     def _forget(self) -> None:
         self.words = Lexicon(self._encode_words)
         self.heads = Lexicon(self._encode_texts)
-        self.pieces = Lexicon(lambda fresh: self._encode_texts([" " + x for x in fresh]))
+        self.pieces = Lexicon(self.encode_pieces)
+        if self.hot:
+            self.pieces.seed(*self.hot)
+        # Which words open or end with white space, and which heads end with it.
+        self.touching = np.array([_blank(x) for x in self.pieces], bool)
+        self.ends_blank = np.zeros(0, bool)
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids, end to end, and counts of words that stand behind a space each."""
+        return self._encode_texts([" " + x for x in pieces])
 
     def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         data = [w.encode() for w in words]
@@ -87,7 +108,8 @@ class ByteBpe:
         return ids, np.diff(ends)
 
     def encode_block(self, texts: list[str]) -> list[np.ndarray]:
-        if max(len(self.words), len(self.pieces), len(self.heads)) > REMEMBERED:
+        own = len(self.pieces) - (len(self.hot[0]) if self.hot else 0)
+        if max(len(self.words), own, len(self.heads)) > REMEMBERED:
             self._forget()
         code = self.pieces.__getitem__
         cut, heads = [], []
@@ -95,13 +117,13 @@ class ByteBpe:
             head, *rest = text.split(" ")
             heads.append(self.heads[head])
             cut.append(np.fromiter(map(code, rest), np.int64, len(rest)))
-        touching = np.fromiter((not x or x[0].isspace() or x[-1].isspace() for x in self.pieces), bool, len(self.pieces))
-        ends_blank = [not x or x[-1].isspace() for x in self.heads]
+        self.touching = np.append(self.touching, [_blank(x) for x in self.pieces.fresh]).astype(bool)
+        self.ends_blank = np.append(self.ends_blank, [not x or x[-1].isspace() for x in self.heads.fresh]).astype(bool)
         self.heads.settle()
         self.pieces.settle()
         out = []
         for text, head, codes in zip(texts, heads, cut):
-            if len(codes) and (ends_blank[head] or touching[codes].any()):
+            if len(codes) and (self.ends_blank[head] or self.touching[codes].any()):
                 out.append(self._encode_texts([text])[0])
             else:
                 first = self.heads.of(np.array([head]))[0]
@@ -122,13 +144,53 @@ def blocks(batch: pa.RecordBatch, limit: int = BLOCK_BYTES) -> Iterator[pa.Recor
         start = end
 
 
-def encode(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (id, ids): each text's token ids as little-endian 32-bit words."""
+def count_words(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows (word, n): how often each word stands behind a space, over all documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for b in blocks(batch):
+                cut = pc.list_slice(pc.split_pattern(b.column(1).drop_null(), " "), 1)
+                seen = pc.value_counts(cut.flatten())
+                yield pa.RecordBatch.from_arrays([seen.field("values").cast(pa.string()), seen.field("counts")], ["word", "n"])
+
+    each = df.select(F.lit(0).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "word string, n long")
+    return each.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def hot_words(df: DataFrame, shared: Broadcast[bytes], text_col: str = "text", most: int = HOT) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The ``most`` frequent words of the corpus, their ids end to end, and how many each has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = None
+        for b in batches:
+            bpe = bpe or ByteBpe(shared.value)
+            ids, lens = bpe.encode_pieces(b.column(0).to_pylist())
+            parts = np.split(ids.astype("<u4"), np.cumsum(lens)[:-1])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in parts], pa.binary())], ["word", "ids"])
+
+    # Words that open or end with white space meet other rules; texts that hold one are encoded whole.
+    plain = count_words(df, text_col).filter(F.col("word").rlike(r"^\S(?s:.*\S)?$") & ~F.col("word").rlike(r"^\p{Z}|\p{Z}$"))
+    top = plain.orderBy(F.desc("n"), "word").limit(most).repartition("word")
+    table = top.select("word").mapInArrow(run, "word string, ids binary").toArrow()  # at most ``most`` rows
+    raw = b"".join(table.column("ids").to_pylist())
+    lens = np.array(pc.binary_length(table.column("ids")), np.int64) // 4
+    return table.column("word").combine_chunks(), np.frombuffer(raw, "<u4").astype(np.int32), lens
+
+
+def encode(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+    """Rows (id, ids): each text's token ids as little-endian 32-bit words.
+
+    Counts the words of ``df`` first; ``hot`` bounds the table of frequent
+    words that tasks are given, and 0 counts nothing.
+    """
+    spark = df.sparkSession
     with open(vocabulary or public_tokenizers.path(VOCABULARY), "rb") as f:
-        shared = df.sparkSession.sparkContext.broadcast(f.read())  # a vocabulary file, under 1 MB
+        shared = spark.sparkContext.broadcast(f.read())  # a vocabulary file, under 1 MB
+    known = spark.sparkContext.broadcast(hot_words(df, shared, text_col, hot) if hot else None)  # ``hot`` words and ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBpe(shared.value)
+        bpe = ByteBpe(shared.value, known.value)
         for batch in batches:
             for b in blocks(batch):
                 ids = bpe.encode_block([t or "" for t in b.column(1).to_pylist()])

@@ -178,6 +178,11 @@ class Lexicon(dict):
         self.fresh.append(word)
         return code
 
+    def seed(self, words: list, ids: np.ndarray, lens: np.ndarray) -> None:
+        """Start from words whose ids are known."""
+        self.update(zip(words, range(len(words))))
+        self.ids, self.starts, self.lens = ids, np.cumsum(lens) - lens, lens
+
     def settle(self) -> None:
         if self.fresh:
             ids, lens = self.encode(self.fresh)

@@ -1,8 +1,10 @@
 import base64
 import hashlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import tiktoken
 from lakeloom.llm import byte_bpe
 
@@ -44,3 +46,32 @@ def test_word_by_word_merging_equals_the_sweep():
     ids, counts = bpe.merges.replay(bpe.byte[raw], lens)
     one = [bpe.merges.one(bpe.byte[list(w)].tolist()) for w in words]
     assert ids.tolist() == [i for w in one for i in w] and counts.tolist() == list(map(len, one))
+
+
+def test_hot_words_are_those_of_the_corpus_and_change_no_id(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = [r.text or "" for r in docs.select("text").collect()]
+    seen = Counter(w for t in texts for w in t.split(" ")[1:])
+    assert {r.word: r.n for r in byte_bpe.count_words(docs).collect()} == seen
+    with open(P.path(byte_bpe.VOCABULARY), "rb") as f:
+        shared = spark.sparkContext.broadcast(f.read())
+    words, ids, lens = byte_bpe.hot_words(docs, shared, most=50)
+    plain = sorted(((-n, w) for w, n in seen.items() if w and w == w.strip()), key=lambda x: (x[0], x[1].encode()))[:50]
+    assert sorted(words.to_pylist()) == sorted(w for _, w in plain)
+    lib = library()
+    assert [x.tolist() for x in np.split(ids, np.cumsum(lens)[:-1])] == [lib.encode_ordinary(" " + w) for w in words.to_pylist()]
+    few, none = (sorted(map(tuple, byte_bpe.encode(docs, hot=n).collect())) for n in (50, 0))
+    assert few == none == sorted(map(tuple, byte_bpe.encode(docs).collect()))
+
+
+def test_forgetting_keeps_the_hot_words(monkeypatch):
+    with open(P.path(byte_bpe.VOCABULARY), "rb") as f:
+        data = f.read()
+    lib, bpe = library(), byte_bpe.ByteBpe(data)
+    words = ["the", "of", "straße"]
+    ids, lens = bpe.encode_pieces(words)
+    monkeypatch.setattr(byte_bpe, "REMEMBERED", 3)
+    bpe = byte_bpe.ByteBpe(data, (pa.array(words), ids, lens))
+    for k in range(6):
+        texts = [f"a the {k} of w{j} straße the" for j in range(k + 1)]
+        assert [x.tolist() for x in bpe.encode_block(texts)] == [lib.encode_ordinary(t) for t in texts]
