@@ -58,6 +58,11 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(folder, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, folder = _files(spark, path)
+    return fs.exists(folder)
+
+
 def _files(spark: SparkSession, path: str) -> tuple:
     sc = spark.sparkContext
     folder = sc._jvm.org.apache.hadoop.fs.Path(path)
