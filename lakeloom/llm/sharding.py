@@ -3,28 +3,32 @@
 Records hash into ``SLOTS`` virtual slots that never change; only the map
 from slot to shard does. Bytes are summed per slot, and rebalancing (or
 growing) edits a few entries of the map into its next version, which is
-stored beside the earlier ones. The law this gives is ``bytes``: shard sizes
+stored beside the earlier ones under ``root``: a run starts from the latest
+stored map, and stores a new one only where it moved a slot. The law this gives is ``bytes``: shard sizes
 near equal, to within what the smallest slots can even out.
 
 Edge cases: a null text has no bytes (size 1, checksum 0); null ids hash with
-their text; equal records share a slot; an empty table keeps the first map;
+their text; equal records share a virtual slot, not a task; an empty table keeps the first map;
 only the id and text columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
 import heapq
+import uuid
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import exists, work_dir
 from .storage import materialize
 
 SLOTS = 4096
 #: Rows that one task ranks at a time, on average.
 RANKED = 20_000
+_SALTS = 1024
 
 
 @dataclass(frozen=True)
@@ -43,8 +47,10 @@ class SlotMap:
         self.frame(spark).drop("version").coalesce(1).write.parquet(f"{root}/version={self.version}")
 
 
-def load_map(spark: SparkSession, root: str, version: int | None = None) -> SlotMap:
-    """The latest map under ``root``, or the named version; ``SLOTS`` rows."""
+def load_map(spark: SparkSession, root: str, version: int | None = None) -> SlotMap | None:
+    """The latest map under ``root`` (None without one), or the named version; ``SLOTS`` rows."""
+    if not exists(spark, root):
+        return None
     every = spark.read.parquet(root)
     if version is None:
         version = every.agg(F.max("version")).first()[0]
@@ -112,7 +118,7 @@ def rebalance(old: SlotMap, load: np.ndarray, shards: int) -> SlotMap:
 
 
 def slot_records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS) -> DataFrame:
-    """Rows (id, size, crc, vslot): a record's bytes and its virtual slot."""
+    """Rows (id, size, crc, vslot, salt): a record's bytes, its virtual slot, and what parts equal records."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     crc = F.crc32(text.cast("binary"))
     return df.select(
@@ -120,6 +126,7 @@ def slot_records(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.octet_length(text).cast("long") + 1).alias("size"),
         crc.alias("crc"),
         F.pmod(F.xxhash64(F.col(id_col), crc), F.lit(slots)).cast("int").alias("vslot"),
+        F.pmod(F.monotonically_increasing_id(), F.lit(_SALTS)).cast("int").alias("salt"),
     )
 
 
@@ -140,7 +147,7 @@ def place(records: DataFrame, mapping: SlotMap, rows: int) -> DataFrame:
     """
     pieces = max(1, -(-rows // (len(mapping.shard) * RANKED)))
     spark = records.sparkSession
-    cut = records.withColumn("piece", F.pmod(F.xxhash64("crc", "id", F.lit(7)), F.lit(pieces)).cast("int"))
+    cut = records.withColumn("piece", F.pmod(F.xxhash64("crc", "id", "salt"), F.lit(pieces)).cast("int"))
     sizes = cut.groupBy("vslot", "piece").agg(F.count("*").alias("n")).join(mapping.frame(spark), "vslot")
     before = Window.partitionBy("shard").orderBy("vslot", "piece").rowsBetween(Window.unboundedPreceding, -1)
     first = sizes.select("vslot", "piece", "shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
@@ -152,13 +159,27 @@ def place(records: DataFrame, mapping: SlotMap, rows: int) -> DataFrame:
 
 
 def shard_records(
-    df: DataFrame, shards: int = 16, mapping: SlotMap | None = None, id_col: str = "doc_id", text_col: str = "text"
+    df: DataFrame, shards: int = 16, root: str | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> tuple[DataFrame, SlotMap]:
-    """Place every row of ``df``; returns the rows and the map's new version."""
+    """Place every row of ``df`` by the map under ``root``; returns the rows and the map.
+
+    The latest stored map is rebalanced for these rows and ``shards`` shards,
+    and becomes the next version if that moves a slot. A first map is stored
+    as version 0. Without ``root`` the map lives as long as the application.
+    """
+    spark = df.sparkSession
+    root = root or f"{work_dir(spark)}/slot-map-{uuid.uuid4().hex}"
     records = materialize(slot_records(df, id_col, text_col), "slots")
     load, rows = slot_loads(records)
-    new = rebalance(mapping or first_map(shards), load, shards)
-    return place(records, new, rows), new
+    old = load_map(spark, root)
+    if old is None:
+        old = first_map(shards)
+        old.save(spark, root)
+    new = rebalance(old, load, shards)
+    if np.array_equal(new.shard, old.shard):
+        return place(records, old, rows), old
+    new.save(spark, root)
+    return place(records, load_map(spark, root, new.version), rows), new
 
 
 def op10_fixed_slot_sharding(spark, sf_dir: str) -> DataFrame:

@@ -45,6 +45,33 @@ def test_map_versions_are_stored(spark, tmp_path):
     assert (sharding.load_map(spark, root, 0).shard == one.shard).all()
 
 
+def test_rebalancing_goes_on_from_the_latest_map(spark, tmp_path):
+    root, text = str(tmp_path / "maps"), "concat(repeat('x', 1 + id % 50), id)"
+    rows = spark.range(20_000).selectExpr("id as doc_id", f"{text} as text")
+    placed, one = sharding.shard_records(rows, 4, root)
+    first = {r.id: r.shard for r in placed.collect()}
+    assert sharding.load_map(spark, root).version == one.version == 1
+    _, again = sharding.shard_records(rows, 4, root)
+    assert again.version == 1 and (again.shard == one.shard).all()  # nothing to move
+    placed, two = sharding.shard_records(rows, 5, root)
+    second = {r.id: r.shard for r in placed.collect()}
+    assert two.version == 2 and (sharding.load_map(spark, root).shard == two.shard).all()
+    assert 0.17 < np.mean([first[i] != second[i] for i in first]) < 0.24  # a fifth moves, all of it to the new shard or back to even
+    more = rows.unionByName(spark.range(20_000, 21_000).selectExpr("id as doc_id", "repeat('y', 900) as text"))
+    _, three = sharding.shard_records(more, 5, root)
+    assert three.version == 3 and (three.shard != two.shard).mean() < 0.25
+
+
+def test_equal_records_are_ranked_in_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "RANKED", 1)
+    rows = spark.range(5000).selectExpr("if(id < 4000, 1, id) as doc_id", "if(id < 4000, 'same', cast(id as string)) as text")
+    placed, _ = sharding.shard_records(rows, 4)
+    places = {}
+    for r in placed.collect():
+        places.setdefault(r.shard, []).append(r.place)
+    assert sum(map(len, places.values())) == 5000 and all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (None, "a"), (None, "b"), (2, ""), (3, "é"), (3, "é"), (4, "x" * 100_000)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "9 as size", "9 as shard", "9 as crc")
