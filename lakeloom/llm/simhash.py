@@ -334,7 +334,7 @@ def simhash_groups(
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` of which each group's smallest id remains.
 
-    Columns stay as they are. Rows that repeat an id are one document and
+    Columns stay as they are, whatever their names. Rows that repeat an id are one document and
     one row of them stays. Rows with a null id stay only where their whole
     group has no id, one per fingerprint group.
     """
@@ -345,11 +345,12 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     if nameless.isEmpty():
         return kept
     lone = groups.filter("id is null and component_id is null").select("fp").distinct()
-    marked = nameless.withColumn("_row", F.monotonically_increasing_id())
-    marked = materialize(marked, "nameless")
-    own = fingerprints(marked, "_row", text_col).join(lone, "fp", "left_semi")
-    first = own.groupBy("fp").agg(F.min("id").alias("_row")).select("_row")
-    return kept.unionByName(marked.join(first, "_row", "left_semi").drop("_row"))
+    number = F.monotonically_increasing_id().alias("number")
+    marked = materialize(nameless.select(number, F.struct("*").alias("row")), "nameless")
+    texts = marked.select("number", F.col("row")[text_col].alias("text"))
+    own = fingerprints(texts, "number", "text").join(lone, "fp", "left_semi")
+    first = own.groupBy("fp").agg(F.min("id").alias("number")).select("number")
+    return kept.unionByName(marked.join(first, "number", "left_semi").select("row.*"))
 
 
 def op8_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

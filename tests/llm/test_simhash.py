@@ -47,7 +47,7 @@ def test_matches_brute_force_on_documents(spark, sf_dir):
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, " \t\n"), (4, "one"), (4, "one"), (None, "ONE"), (6, "a b"), (None, "x y z q"),
             (7, "w " * 70_000), (8, "é\x85à b c")]
-    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as fp", "2 as id", "3 as component_id")
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as fp", "2 as id", "3 as component_id", "4 as _row", "5 as number", "6 as row")
     got = simhash.simhash_groups(df).collect()
     want = slow_components([(i, slow_fingerprint(t)) for i, t in rows])
     assert sorted(((r.id, r.fp % 2**64, r.component_id) for r in got), key=str) == want
