@@ -27,6 +27,6 @@ QUERIES = {f.__name__: f for f in (
     op10_fixed_slot_sharding,
 )}
 ORACLES: dict[str, str] = {
-    "op1_url_filters": url_filter.ORACLE_SQL,
+    "op1_url_filters": url_filter.oracle_sql(),
     "op6_embedding_near_dedup": embedding_dedup.ORACLE_SQL,
 }

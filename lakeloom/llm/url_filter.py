@@ -24,6 +24,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -44,18 +45,22 @@ HOST_RULES = (
     ("allow", "com/fr/"),
     ("block", "com/de/"),
 )
-PATTERN_RULES = (
-    "||spam-farm.",
-    "||cheap-pills.",
-    "||free-bets.",
-    "||adult-x.",
-    "||ads-track.",
-    "||casino*.",
-    "/wp-login.php^",
-    "/cgi-bin/",
-    "?phpsessid=",
-    "&sessionid=",
-)
+#: The pattern rules that apply by default, one a line.
+RULES_FILE = Path(__file__).with_name("url_rules.txt")
+
+
+def read_patterns(path: str | Path = RULES_FILE) -> list[str]:
+    """The patterns of a filter list.
+
+    Blank lines, comments (``!``), headers (``[``) and rules that hide parts
+    of pages (``##``) are passed over; rules with options (``$``) raise, as
+    they speak of requests and not of addresses.
+    """
+    lines = [x.strip() for x in Path(path).read_text(encoding="utf-8").splitlines()]
+    found = [x for x in lines if x and x[0] not in "![" and "##" not in x and "#@#" not in x]
+    if bad := [x for x in found if "$" in x]:
+        raise ValueError(f"rules with options: {bad[:5]}")
+    return found
 
 
 @dataclass(frozen=True)
@@ -64,9 +69,8 @@ class Rule:
     action: str
     host: bool
 
-    @property
-    def regex(self) -> str:
-        """Over host + path for a host rule, else over the lower-cased url."""
+    def regex(self, end: str) -> str:
+        """Over host + path for a host rule, else over the lower-cased url; ``end`` matches its end."""
         if self.host:
             return r"^(?:[^/]*\.)?" + re.escape(self.text)
         body, head, tail = self.text, "", ""
@@ -75,8 +79,8 @@ class Rule:
         elif body.startswith("|"):
             body, head = body[1:], "^"
         if body.endswith("|"):
-            body, tail = body[:-1], r"\z"
-        parts = {"*": ".*", "^": r"(?:[^a-z0-9_.%-]|\z)"}
+            body, tail = body[:-1], end
+        parts = {"*": ".*", "^": f"(?:[^a-z0-9_.%-]|{end})"}
         return "(?s)" + head + "".join(parts.get(c) or re.escape(c) for c in body) + tail
 
     @property
@@ -93,9 +97,9 @@ class Rule:
         return found
 
 
-def make_rules(hosts: Iterable[tuple[str, str]] = HOST_RULES, patterns: Iterable[str] = PATTERN_RULES) -> list[Rule]:
+def make_rules(hosts: Iterable[tuple[str, str]] = HOST_RULES, patterns: Iterable[str] | None = None) -> list[Rule]:
     rules = [Rule(text, action, True) for action, text in hosts]
-    for p in patterns:
+    for p in read_patterns() if patterns is None else patterns:
         allow = p.startswith("@@")
         rules.append(Rule(p[2 * allow :].translate(_FOLD), "allow" if allow else "block", False))
     return rules
@@ -135,7 +139,7 @@ def index_rules(rules: list[Rule], counts: dict[str, int]) -> dict[str, list[Rul
 
 @lru_cache(maxsize=65_536)
 def _compiled(rule: Rule) -> re.Pattern:
-    return re.compile(rule.regex.replace(r"\z", r"\Z"))  # Python's spelling of the end of the text
+    return re.compile(rule.regex(r"\Z"))
 
 
 def _decide(hits: list[Rule]) -> tuple[str | None, str]:
@@ -175,7 +179,7 @@ def _match_in_tasks(urls: DataFrame, index: dict[str, list[Rule]]) -> DataFrame:
 def _match_by_join(urls: DataFrame, index: dict[str, list[Rule]]) -> DataFrame:
     """The same by joining distinct urls' tokens with the rules as a table."""
     spark = urls.sparkSession
-    rows = [(t, r.text, r.action, r.host, r.regex) for t, rs in index.items() for r in rs]
+    rows = [(t, r.text, r.action, r.host, r.regex(r"\z")) for t, rs in index.items() for r in rs]
     rules = spark.createDataFrame(rows, "token string, text string, action string, on_host boolean, regex string")
     whole = r"(?s)^.*?://([^/?#]*)([^?#]*)"
     host = F.coalesce(_folded(F.regexp_extract("url", whole, 1)), F.lit(""))
@@ -218,7 +222,10 @@ def op1_url_filters(spark, sf_dir: str) -> DataFrame:
     return filter_urls(pages).withColumnRenamed("id", "page_id")
 
 
-ORACLE_SQL = r"""
+def oracle_sql() -> str:
+    """SQL for the query; it translates the listed patterns by itself."""
+    listed = ", ".join("('{}')".format(p.replace("'", "''")) for p in read_patterns())
+    return rf"""
 WITH parts AS (
   SELECT page_id, lower(coalesce(url, '')) AS folded,
     translate(coalesce(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), ''),
@@ -227,16 +234,20 @@ WITH parts AS (
   FROM pages),
 rules(action, h, p) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
   ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')),
+listed(line) AS (VALUES {listed}),
+stripped AS (SELECT line, starts_with(line, '@@') AS allows, regexp_replace(line, '^@@', '') AS body FROM listed),
+patterns AS (
+  SELECT allows, CASE WHEN starts_with(body, '||') THEN '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?' WHEN starts_with(body, '|') THEN '^' ELSE '' END
+    || replace(replace(regexp_escape(regexp_replace(regexp_replace(body, '^\|\|?', ''), '\|$', '')), '\*', '.*'), '\^', '([^a-z0-9_.%-]|$)')
+    || CASE WHEN ends_with(body, '|') THEN '$' ELSE '' END AS regex FROM stripped),
+fits AS (
+  SELECT page_id, bool_or(allows) AS allowed FROM parts JOIN patterns ON regexp_matches(folded, regex, 's') GROUP BY page_id),
 judged AS (
   SELECT parts.*,
     (SELECT max_by(struct_pack(text := h || p, action := action), length(h || p)) FROM rules
      WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS own
   FROM parts)
 SELECT page_id, host, path, own.text AS rule,
-  coalesce(own.action, CASE WHEN regexp_matches(folded,
-      '^[a-z][a-z0-9+.-]*://([^/?#]*\.)?((spam-farm|cheap-pills|free-bets|adult-x|ads-track)\.|casino.*\.)', 's')
-    OR regexp_matches(folded, '/wp-login\.php([^a-z0-9_.%-]|$)', 's') OR contains(folded, '/cgi-bin/')
-    OR contains(folded, '?phpsessid=') OR contains(folded, '&sessionid=')
-    THEN 'block' ELSE 'allow' END) AS verdict
-FROM judged
+  coalesce(own.action, CASE WHEN allowed = false THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged LEFT JOIN fits USING (page_id)
 """
