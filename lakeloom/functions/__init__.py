@@ -7,6 +7,8 @@ from .columns import (  # noqa: F401
     front_article,
     keep_chars,
     mean_exact,
+    mean_of_parts,
+    mean_parts,
     members,
     percent_exact,
     proper,

@@ -77,8 +77,17 @@ def mean_exact(c: str | Column, scale: int, places: int) -> Column:
     Sums whole units as bigint, so neither the order of rows nor a tie in the
     last place shows in the result.
     """
-    units = F.sum(F.round(_col(c) * 10**scale).cast("bigint"))
-    n = F.count(_col(c)) * 10**scale
+    units, known, _ = mean_parts(c, scale)
+    return mean_of_parts(units, known, scale, places)
+
+
+def mean_parts(c: str | Column, scale: int) -> tuple[Column, Column, Column]:
+    """What ``mean_of_parts`` needs of a group, to be summed over groups: whole units, known values; and all rows."""
+    return F.sum(F.round(_col(c) * 10**scale).cast("bigint")), F.count(_col(c)), F.count("*")
+
+
+def mean_of_parts(units: Column, known: Column, scale: int, places: int) -> Column:
+    n = known * 10**scale
     return _div(units * (2 * 10**places) + n, n * 2).cast("double") / float(10**places)
 
 

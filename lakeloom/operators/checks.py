@@ -196,10 +196,20 @@ def check_date_continuity(df: DataFrame, date: str, by: Sequence[str] = ()) -> D
 
 
 def validate_table(
-    df: DataFrame, pk: Sequence[str], not_null: Sequence[str], links: Sequence[tuple[str, DataFrame, str]] = (), fail: bool = True
+    df: DataFrame,
+    pk: Sequence[str],
+    not_null: Sequence[str],
+    links: Sequence[tuple[str, DataFrame, str]] = (),
+    lineage: bool | None = None,
+    fail: bool = True,
 ) -> DataFrame:
-    """All checks in one report; raises on any violation if ``fail``."""
+    """All checks in one report; raises on any violation if ``fail``.
+
+    The lineage contract is part of it where the table has a lineage column,
+    or as ``lineage`` says.
+    """
     parts = [check_pk_unique(df, pk), check_not_null(df, not_null)]
+    parts += [check_lineage_contract(df)] if ("_source_table" in df.columns if lineage is None else lineage) else []
     parts += [check_foreign_keys(df, links)] if links else []
     report = reduce(DataFrame.unionByName, parts)
     bad = report.filter("violations > 0").collect() if fail else []  # one row per declared check

@@ -51,6 +51,11 @@ def join_anti_orphans(fact: DataFrame, parent: DataFrame, on: str) -> DataFrame:
     return fact.join(parent.select(on), on, "left_anti")
 
 
+def join_semi_affected_keys(df: DataFrame, touched: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows whose keys are among the touched ones; NULL keys match nothing."""
+    return df.join(touched.select(*keys).distinct(), keys, "left_semi")
+
+
 def join_star_chain(fact: DataFrame, *links: tuple[DataFrame, str]) -> DataFrame:
     for dim, on in links:
         fact = fact.join(dim, on)
@@ -113,13 +118,16 @@ def bridge_movies_genres(movies: DataFrame, dim: DataFrame, genres: DataFrame) -
 
 
 def fact_ratings(ratings: DataFrame, movies: DataFrame, dates: DataFrame, batches: list[int] | None = None) -> DataFrame:
-    """PASS, current rows (of the batches), with their keys resolved."""
+    """PASS, current rows (of the batches), with their keys resolved.
+
+    ``_processing_timestamp`` is that of the row, or now where it has none.
+    """
     rows = filter_current(passing(ratings))
     rows = rows if batches is None else filter_batches(rows, batches)
     rows = join_star_chain(rows, (movies.select("movie_id", "movie_sk"), "movie_id"), (dates.select("date_key"), "date_key"))
-    return rows.select(
-        "movie_sk", "user_id", "rating", "interaction_timestamp", "date_key", "rating_year", "is_late_arrival", "_batch_year"
-    )
+    stamp = F.col("_processing_timestamp") if "_processing_timestamp" in rows.columns else F.current_timestamp()
+    measures = ["rating", "interaction_timestamp", "date_key", "rating_year", "is_late_arrival", "_batch_year"]
+    return rows.select("movie_sk", "user_id", *measures, stamp.alias("_processing_timestamp"))
 
 
 def fact_genome_scores(scores: DataFrame, movies: DataFrame, tags: DataFrame) -> DataFrame:

@@ -45,7 +45,17 @@ def by_genre(fact: DataFrame, bridge: DataFrame, genres: DataFrame) -> DataFrame
 
 
 def genre_performance(fact: DataFrame, bridge: DataFrame, genres: DataFrame) -> DataFrame:
-    return by_genre(fact, bridge, genres).groupBy("genre_name").agg(_avg(), _rows(), _movies(), _users())
+    """The fact is grouped before the bridge multiplies it: by movie for sums, by movie and user for users."""
+    named = bridge.join(genres.select("genre_sk", "genre_name"), "genre_sk").select("movie_sk", "genre_name")
+    units, known, rows = fn.mean_parts("rating", 1)
+    movies = fact.groupBy("movie_sk").agg(units.alias("units"), known.alias("known"), rows.alias("rows"))
+    sums = movies.join(named, "movie_sk").groupBy("genre_name").agg(
+        fn.mean_of_parts(F.sum("units"), F.sum("known"), 1, 2).alias("avg_rating"),
+        F.sum("rows").alias("rating_count"),
+        F.count("*").alias("unique_movies"),
+    )
+    users = fact.select("movie_sk", "user_id").distinct().join(named, "movie_sk").groupBy("genre_name").agg(_users())
+    return sums.join(users, "genre_name")
 
 
 def movie_stats(fact: DataFrame) -> DataFrame:
@@ -67,8 +77,13 @@ def most_popular_movies(fact: DataFrame, movies: DataFrame, n: int = 30) -> Data
 
 
 def genre_trends_yearly(fact: DataFrame, dates: DataFrame, bridge: DataFrame, genres: DataFrame) -> DataFrame:
+    """The fact is grouped by movie and year before the bridge multiplies it."""
     dated = fact.join(dates.select("date_key", "year"), "date_key")
-    return by_genre(dated, bridge, genres).groupBy("year", "genre_name").agg(_avg(), _rows())
+    units, known, rows = fn.mean_parts("rating", 1)
+    movies = dated.groupBy("movie_sk", "year").agg(units.alias("units"), known.alias("known"), rows.alias("rows"))
+    return by_genre(movies, bridge, genres).groupBy("year", "genre_name").agg(
+        fn.mean_of_parts(F.sum("units"), F.sum("known"), 1, 2).alias("avg_rating"), F.sum("rows").alias("rating_count")
+    )
 
 
 def user_activity_distribution(fact: DataFrame) -> DataFrame:

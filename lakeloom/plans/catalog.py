@@ -22,6 +22,8 @@ from .roles import TS, Roles, pct, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: The same queries as functions of the tables in their roles.
+BUILDS: dict[str, Callable[[Roles], DataFrame]] = {}
 
 
 def shown(df: DataFrame) -> DataFrame:
@@ -37,6 +39,7 @@ def shown(df: DataFrame) -> DataFrame:
 def query(oracle: str | None = None, name: str | None = None):
     def add(build: Callable[[Roles], DataFrame]):
         key = name or build.__name__
+        BUILDS[key] = build
         QUERIES[key] = lambda spark, folder: shown(build(Roles(spark, folder)))
         if oracle:
             ORACLES[key] = sql(oracle)
@@ -58,9 +61,9 @@ _VERSION = ["user_id", "movie_id", "rating", TS, "is_current", "effective_start_
 # Scans and incremental state.
 
 
-@query("SELECT n_nationkey, n_name, n_regionkey FROM nation")
+@query("SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders")
 def scan_table(r):
-    return src.scan_table(r.spark, f"{r.folder}/nation.parquet")
+    return src.scan_table(r.spark, f"{r.folder}/orders.parquet").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
 
 
 @query("SELECT user_id, movie_id, rating FROM r WHERE batch = 1999")
@@ -83,6 +86,19 @@ def pending_batches(r):
     return src.pending_batches(src.available_batches(r.ratings, "_batch_year"), src.processed_batches(r.ratings.filter("_batch_year <= 1998"), "_batch_year"))
 
 
+@query("SELECT DISTINCT batch FROM r WHERE batch <= 1998")
+def skipped_batches(r):
+    return src.skipped_batches(src.available_batches(r.ratings, "_batch_year"), src.processed_batches(r.ratings.filter("_batch_year <= 1998"), "_batch_year"))
+
+
+@query("SELECT DISTINCT batch FROM r")
+def partition_batches(r):
+    path, name = _work(r, "partitions"), f"lakeloom_{uuid.uuid4().hex}"
+    src.write_overwrite(_ratings_table(r), path, ["_batch_year"])
+    src.register_table(r.spark, name, path)
+    return src.partition_batches(r.spark, name, "_batch_year")
+
+
 @query("""SELECT 'c_custkey' AS "column", count(*) AS rows, count(*) - count(c_custkey) AS nulls, count(DISTINCT c_custkey) AS "distinct",
     CAST(min(c_custkey) AS VARCHAR) AS least, CAST(max(c_custkey) AS VARCHAR) AS greatest FROM customer
     UNION ALL SELECT 'c_mktsegment', count(*), count(*) - count(c_mktsegment), count(DISTINCT c_mktsegment), min(c_mktsegment), max(c_mktsegment) FROM customer""")
@@ -91,23 +107,22 @@ def table_profile(r):
 
 
 def _file():
-    return F.regexp_extract("_input_file_name", "[^/]*$", 0).alias("file")
+    """The file's name without the number among its year's files."""
+    return F.regexp_replace(F.regexp_extract("_input_file_name", "[^/]*$", 0), r"\.\d+\.csv$", ".csv").alias("file")
 
 
 def _csv_folder(r: Roles) -> str:
-    """The raw ratings as one CSV file per batch year, named by year."""
+    """The raw ratings as CSV files ``ratings_<year>.<number>.csv``, written in one job."""
     folder = _work(r, "csv")
     rows = r.raw_ratings.selectExpr(
         "try_cast(userId as int) userId", "try_cast(movieId as int) movieId", "try_cast(rating as double) rating", "timestamp", "_batch_year"
     )
-    years = [x.batch for x in src.processed_batches(rows, "_batch_year").collect()]  # one row per year
-    for y in years:
-        one = rows.filter(F.col("_batch_year") == y).drop("_batch_year").coalesce(1)
-        one.write.option("header", True).csv(f"{folder}/parts/{y}")
-        files = r.spark._jvm.org.apache.hadoop.fs.Path
-        fs = files(folder).getFileSystem(r.spark._jsc.hadoopConfiguration())
-        part = next(s.getPath() for s in fs.listStatus(files(f"{folder}/parts/{y}")) if s.getPath().getName().startswith("part-"))
-        fs.rename(part, files(f"{folder}/ratings_{y}.csv"))
+    rows.hint("rebalance", "_batch_year").write.partitionBy("_batch_year").option("header", True).csv(f"{folder}/parts")
+    path = r.spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(r.spark._jsc.hadoopConfiguration())
+    for year in fs.globStatus(path(f"{folder}/parts/_batch_year=*")):  # file names only
+        for k, part in enumerate(fs.globStatus(path(year.getPath(), "part-*.csv"))):
+            fs.rename(part.getPath(), path(f"{folder}/ratings_{year.getPath().getName().split('=')[1]}.{k}.csv"))
     return folder
 
 
@@ -254,7 +269,7 @@ def stream_ingest_incremental_files(r):
     return src.snapshot_read_as_of(r.spark, root, again).select(*_VERSION, F.lit(version).alias("version"))
 
 
-for _all in (QUERIES, ORACLES):
+for _all in (QUERIES, ORACLES, BUILDS):
     _all["stream_ingest_incremental"] = _all.pop("stream_ingest_incremental_files")
 
 # Conform transforms and flags.
@@ -368,9 +383,11 @@ def check_foreign_keys(r):
     return checks.check_foreign_keys(r.table("labels"), [("doc_id", r.table("documents").filter("doc_id % 11 <> 0"), "doc_id")])
 
 
-@query("SELECT count(*) AS actual, CAST(25 AS INTEGER) AS expected, count(*) = 25 AS ok FROM nation")
+@query("SELECT count(*) AS actual, CAST(count(*) AS INTEGER) AS expected, true AS ok FROM r")
 def check_row_count(r):
-    return checks.check_row_count(r.table("nation"), 25)
+    path = _work(r, "counted")
+    written = src.write_overwrite(_ratings_table(r), path)
+    return checks.check_row_count(r.spark.read.parquet(path), written)
 
 
 @query("""SELECT strftime(b, '%Y-%m-%d') AS before, strftime(d, '%Y-%m-%d') AS after FROM (SELECT full_date AS d, lag(full_date) OVER (ORDER BY full_date) AS b
@@ -379,12 +396,17 @@ def check_date_continuity(r):
     return checks.check_date_continuity(r.dim_date.filter("day not in (13, 14, 29)").select("full_date"), "full_date")
 
 
-@query("""SELECT unnest(['pk_unique:movie_sk', 'not_null:movie_id', 'not_null:release_year', 'fk:movie_id']) AS "check",
-    unnest([0, count(*) FILTER (movie_id IS NULL), count(*) FILTER (release_year IS NULL),
+@query("""SELECT unnest(['pk_unique:title', 'not_null:movie_id', 'not_null:release_year', 'lineage:_source_table', 'lineage:_job_run_id',
+    'lineage:_notebook_path', 'lineage:_model_version', 'lineage:_aggregation_timestamp', 'lineage:_source_silver_version', 'fk:movie_id']) AS "check",
+    unnest([(SELECT count(*) FROM (SELECT title FROM dim_m GROUP BY title HAVING count(*) > 1)), count(*) FILTER (movie_id IS NULL),
+    count(*) FILTER (release_year IS NULL), 0, count(*) FILTER (movie_id % 11 = 2), 0, count(*) FILTER (movie_id % 13 = 3), 0, count(*),
     count(*) FILTER (movie_id NOT IN (SELECT movie_id FROM l WHERE status = 'PASS'))]) AS violations FROM dim_m""")
 def validate_table(r):
     links = [("movie_id", checks.passing(r.links), "movie_id")]
-    return checks.validate_table(r.dim_movies, ["movie_sk"], ["movie_id", "release_year"], links, fail=False)
+    rows = conform.lineage_gold(r.dim_movies, "silver.movies", "run-1", "jobs/dim", "1.0", None)
+    rows = rows.withColumn("_job_run_id", F.when(F.col("movie_id") % 11 != 2, F.col("_job_run_id")).otherwise(" "))
+    rows = rows.withColumn("_model_version", F.when(F.col("movie_id") % 13 != 3, F.col("_model_version")))
+    return checks.validate_table(rows, ["title"], ["movie_id", "release_year"], links, fail=False)
 
 
 @query(f"""SELECT *, CAST(sum(CASE WHEN event_year <> batch_year THEN rows ELSE 0 END) OVER (PARTITION BY batch_year) AS BIGINT) AS cross_rows,
@@ -439,8 +461,8 @@ def join_anti_orphans(r):
 
 @query("SELECT user_id, movie_id, rating FROM r WHERE user_id IN (SELECT user_id FROM r WHERE batch = 2000)")
 def join_semi_affected_keys(r):
-    touched = checks.filter_batches(r.ratings, [2000]).select("user_id")
-    return r.ratings.join(touched, "user_id", "left_semi").select("user_id", "movie_id", "rating")
+    touched = checks.filter_batches(r.ratings, [2000])
+    return keys.join_semi_affected_keys(r.ratings, touched, ["user_id"]).select("user_id", "movie_id", "rating")
 
 
 @query("SELECT movie_id, genre_name FROM members")
@@ -485,9 +507,11 @@ def bridge_movies_genres(r):
     return r.bridge
 
 
-@query(f"SELECT movie_sk, user_id, rating, {_AT} AS interaction_timestamp, date_key, rating_year, late AS is_late_arrival, batch AS _batch_year FROM f WHERE batch IN (1998, 1999)")
+@query(f"""SELECT movie_sk, user_id, rating, {_AT} AS interaction_timestamp, date_key, rating_year, late AS is_late_arrival, batch AS _batch_year,
+    strftime(ingested, '%Y-%m-%d %H:%M:%S') AS _processing_timestamp FROM f WHERE batch IN (1998, 1999)""")
 def fact_ratings(r):
-    return keys.fact_ratings(r.versions, r.dim_movies, r.dim_date, [1998, 1999])
+    stamped = r.versions.withColumn("_processing_timestamp", F.col("_ingestion_timestamp"))
+    return keys.fact_ratings(stamped, r.dim_movies, r.dim_date, [1998, 1999])
 
 
 @query("SELECT movie_sk, tag_sk, relevance FROM fg")
@@ -509,23 +533,43 @@ def scd2_bootstrap(r):
 
 
 def _scd2_inputs(r: Roles) -> tuple[DataFrame, DataFrame]:
-    """Events of two disjoint spans, so that no event key is in both."""
-    known = r.ratings.filter(F.col("user_id").isNotNull() & F.col(TS).isNotNull())
-    old = versioning.scd2_bootstrap(known.filter("rating_year % 2 = 0"), EVENT_KEY, NATURAL_KEY, TS, event_order())
-    return old, known.filter("rating_year % 2 = 1")
+    """A history, and a batch with new events, other ratings for known ones, and keys and times that are NULL."""
+    old = versioning.scd2_bootstrap(r.ratings.filter("_batch_year <= 1999"), EVENT_KEY, NATURAL_KEY, TS, event_order())
+    new = r.ratings.filter("_batch_year = 1998 and rating is not null or _batch_year = 2000")
+    return old, new.withColumn("rating", 5 - F.col("rating"))
 
 
-@query(f"""{_HISTORY} FROM (SELECT *, lead(moment) OVER w IS NULL AS is_current, moment AS start_at, lead(moment) OVER w AS end_at
-    FROM v_once WHERE user_id IS NOT NULL AND moment IS NOT NULL WINDOW w AS (PARTITION BY user_id, movie_id ORDER BY moment))""")
+_ORDER = "rating DESC NULLS LAST, batch DESC NULLS LAST, ingested DESC NULLS LAST"
+
+
+def _timeline(events: str) -> str:
+    """SQL: one row per event of a relation with ``fresh``, with its place in the natural key's timeline."""
+    once = f"SELECT * FROM {events} QUALIFY row_number() OVER (PARTITION BY user_id, movie_id, moment ORDER BY fresh DESC, {_ORDER}) = 1"
+    return f"""SELECT * EXCLUDE (n, nx), n = 1 AS is_current, moment AS start_at, CASE WHEN n > 1 THEN nx END AS end_at FROM (SELECT *,
+        row_number() OVER (PARTITION BY user_id, movie_id ORDER BY moment DESC NULLS LAST) AS n,
+        lead(moment) OVER (PARTITION BY user_id, movie_id ORDER BY moment ASC NULLS FIRST) AS nx FROM ({once}))"""
+
+
+_APPLIED = f"""(WITH old AS (SELECT *, 0 AS fresh FROM r WHERE batch <= 1999),
+    new AS (SELECT * REPLACE (5 - rating AS rating), 1 AS fresh FROM r WHERE batch = 1998 AND rating IS NOT NULL OR batch = 2000),
+    kept AS ({_timeline('old')}), hit AS (SELECT DISTINCT user_id, movie_id FROM new WHERE user_id IS NOT NULL AND movie_id IS NOT NULL),
+    events AS (SELECT * EXCLUDE (is_current, start_at, end_at) FROM kept SEMI JOIN hit USING (user_id, movie_id) UNION ALL SELECT * FROM new)
+    {_timeline('events')} UNION ALL SELECT * FROM kept ANTI JOIN hit USING (user_id, movie_id))"""
+
+
+@query(f"{_HISTORY} FROM {_APPLIED}")
 def scd2_apply(r):
     old, new = _scd2_inputs(r)
     return versioning.scd2_apply(old, new, EVENT_KEY, NATURAL_KEY, TS, event_order()).select(*_VERSION)
 
 
-@query("SELECT 0::BIGINT AS several_current, 0::BIGINT AS none_current, 0::BIGINT AS current_with_end, 0::BIGINT AS history_without_end FROM v LIMIT 1")
+@query("""SELECT count(*) FILTER (c > 1) AS several_current, count(*) FILTER (c = 0) AS none_current, CAST(sum(e) AS BIGINT) AS current_with_end,
+    CAST(sum(o) AS BIGINT) AS history_without_end FROM (SELECT count(*) FILTER (cur) AS c, count(*) FILTER (cur AND end_at IS NOT NULL) AS e,
+    count(*) FILTER (NOT cur AND end_at IS NULL) AS o FROM (SELECT *, CASE WHEN movie_id % 5 = 0 THEN true WHEN movie_id % 7 = 1 THEN false
+    ELSE is_current END AS cur FROM v) GROUP BY user_id, movie_id)""")
 def scd2_check(r):
-    old, new = _scd2_inputs(r)
-    return versioning.scd2_check(versioning.scd2_apply(old, new, EVENT_KEY, NATURAL_KEY, TS, event_order()), NATURAL_KEY)
+    broken = F.when(F.col("movie_id") % 5 == 0, True).when(F.col("movie_id") % 7 == 1, False).otherwise(F.col("is_current"))
+    return versioning.scd2_check(r.versions.withColumn("is_current", broken), NATURAL_KEY)
 
 
 @query("SELECT user_id, movie_id, rating FROM v WHERE start_at <= TIMESTAMP '1999-06-30' AND (end_at IS NULL OR end_at > TIMESTAMP '1999-06-30')")

@@ -273,7 +273,7 @@ CTES = {
         CAST(month(d) AS INTEGER) AS month, strftime(d, '%B') AS month_name, CAST(day(d) AS INTEGER) AS day, CAST(dayofweek(d) + 1 AS INTEGER) AS day_of_week,
         strftime(d, '%A') AS day_name, dayofweek(d) IN (0, 6) AS is_weekend, CAST(weekofyear(d) AS INTEGER) AS week_of_year
         FROM (SELECT CAST(unnest(generate_series(min(CAST(l_shipdate AS DATE)), max(CAST(l_shipdate AS DATE)), INTERVAL 1 DAY)) AS DATE) AS d FROM lineitem)""",
-    "f": """SELECT movie_sk, user_id, movie_id, rating, moment, date_key, rating_year, late, batch FROM v JOIN dim_m USING (movie_id)
+    "f": """SELECT movie_sk, user_id, movie_id, rating, moment, date_key, rating_year, late, batch, ingested FROM v JOIN dim_m USING (movie_id)
         JOIN dim_d USING (date_key) WHERE status = 'PASS' AND is_current""",
     "fg": "SELECT movie_sk, tag_sk, relevance FROM g JOIN dim_m USING (movie_id) JOIN dim_gt USING (tag_id) WHERE g.status = 'PASS'",
     "k_month": f"""SELECT year, month, month_name, {_MEAN} AS avg_rating, count(*) AS rating_count, count(DISTINCT user_id) AS unique_users,

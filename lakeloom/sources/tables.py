@@ -46,10 +46,10 @@ def scan_partition_slice(df: DataFrame, column: str, value: object) -> DataFrame
 def discover_batches(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """Batch years of the files ``<table>_<YYYY>.csv``; raises if there is none.
 
-    Only the listing is read, not the files' contents.
+    A year may have several files, ``<table>_<YYYY>.<number>.csv``. Only the listing is read, not the files' contents.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", f"{table}_*.csv").load(folder).select("path")
-    year = F.regexp_extract("path", rf"/{table}_(\d{{4}})\.csv$", 1).try_cast("int")
+    year = F.regexp_extract("path", rf"/{table}_(\d{{4}})(?:\.\d+)?\.csv$", 1).try_cast("int")
     found = files.select(year.alias("batch")).filter("batch is not null").distinct()
     if found.isEmpty():
         raise FileNotFoundError(f"no files {table}_<year>.csv in {folder}")
@@ -180,22 +180,58 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return spark.read.parquet(f"{root}/versions").agg(F.max("version")).first()[0]
 
 
-def snapshot_write(df: DataFrame, root: str, note: str = "") -> int:
-    """Write the next version; returns its number. ``note`` is kept with it."""
+#: Parts that the keys of a table kept by key are hashed into.
+BUCKETS = 64
+
+
+def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def snapshot_write(df: DataFrame, root: str, note: str = "", keys: Sequence[str] = ()) -> int:
+    """Write the next version; returns its number. ``note`` is kept with it.
+
+    With ``keys`` the rows must be all of the key buckets that they fall in.
+    Only these are written; the version has the other buckets as the last one
+    has them, in the same files. A root is kept by key from its first version
+    on, or never.
+    """
     spark = df.sparkSession
     last = current_version(spark, root)
     version = 0 if last is None else last + 1
-    rows = committed_row_count(df, lambda d: d.write.mode("overwrite").parquet(f"{root}/v={version}"))
-    mark = spark.createDataFrame([(version, rows, note)], "version int, rows bigint, note string")
+    if last is not None and bool(keys) != bool(_marks(spark, root, last)[-1].buckets):
+        raise ValueError(f"the versions of {root} are {'not ' if keys else ''}kept by key")
+    path, by = f"{root}/v={version}", ["_bucket"] if keys else []
+    rows = df.withColumn("_bucket", bucket_of(keys)).hint("rebalance", "_bucket") if keys else df
+    written = committed_row_count(rows, lambda d: d.write.mode("overwrite").partitionBy(*by).parquet(path))
+    buckets = None
+    if keys and not written:  # a folder without rows, for the schema
+        df.limit(0).write.mode("overwrite").parquet(f"{path}/_bucket=-1")
+        buckets = [-1]
+    elif keys:
+        buckets = sorted(r[0] for r in spark.read.parquet(path).select("_bucket").distinct().collect())  # BUCKETS at most
+    mark = spark.createDataFrame([(version, written, note, buckets)], "version int, rows bigint, note string, buckets array<int>")
     mark.coalesce(1).write.mode("append").parquet(f"{root}/versions")
     return version
 
 
-def snapshot_read_as_of(spark: SparkSession, root: str, version: int) -> DataFrame:
-    known = spark.read.parquet(f"{root}/versions").filter(F.col("version") == version)
-    if known.isEmpty():
+def _marks(spark: SparkSession, root: str, version: int) -> list:
+    """The versions up to one, in order; one row each."""
+    known = spark.read.parquet(f"{root}/versions").filter(F.col("version") <= version)
+    found = sorted(known.select("version", "buckets").collect())
+    if not found or found[-1].version != version:
         raise ValueError(f"{root} has no version {version}")
-    return spark.read.parquet(f"{root}/v={version}")
+    return found
+
+
+def snapshot_read_as_of(spark: SparkSession, root: str, version: int, buckets: Sequence[int] | None = None) -> DataFrame:
+    """A version's rows; of a table kept by key, those of some buckets if named."""
+    marks = _marks(spark, root, version)
+    if not marks[-1].buckets:
+        return spark.read.parquet(f"{root}/v={version}")
+    newest = {b: f"{root}/v={m.version}/_bucket={b}" for m in marks for b in m.buckets}
+    paths = [path for b, path in sorted(newest.items()) if buckets is None or b in buckets]
+    return spark.read.parquet(*paths) if paths else spark.read.parquet(next(iter(newest.values()))).limit(0)
 
 
 def rewrite_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int) -> int:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.checks import dq_flag, rules_ratings
 from ..operators.conform import conform_ratings
 from ..operators.versioning import scd2_apply, scd2_bootstrap
-from ..sources.tables import CSV_SCHEMAS, current_version, snapshot_read_as_of, snapshot_write
+from ..sources.tables import CSV_SCHEMAS, bucket_of, current_version, snapshot_read_as_of, snapshot_write
 
 EVENT_KEY = ("user_id", "movie_id", "interaction_timestamp")
 NATURAL_KEY = ("user_id", "movie_id")
@@ -24,22 +24,29 @@ def flagged_ratings(raw: DataFrame) -> DataFrame:
 
 
 def apply_batch(raw: DataFrame, root: str, note: str) -> int:
-    """Conform, flag and merge raw rows into the next snapshot of ``root``."""
+    """Conform, flag and merge raw rows into the next snapshot of ``root``.
+
+    Snapshots are kept by natural key: only the buckets with keys of the batch
+    are read, merged and written again.
+    """
     spark, rows = raw.sparkSession, flagged_ratings(raw)
     last = current_version(spark, root)
     if last is None:
         merged = scd2_bootstrap(rows, EVENT_KEY, NATURAL_KEY, "interaction_timestamp", event_order())
     else:
-        merged = scd2_apply(snapshot_read_as_of(spark, root, last), rows, EVENT_KEY, NATURAL_KEY, "interaction_timestamp", event_order())
-    return snapshot_write(merged, root, note)
+        touched = [r[0] for r in rows.select(bucket_of(NATURAL_KEY)).distinct().collect()]  # no more than there are buckets
+        target = snapshot_read_as_of(spark, root, last, touched)
+        merged = scd2_apply(target, rows, EVENT_KEY, NATURAL_KEY, "interaction_timestamp", event_order())
+    return snapshot_write(merged, root, note, NATURAL_KEY)
 
 
 def stream_ingest_incremental(spark: SparkSession, folder: str, root: str, checkpoint: str, files_per_batch: int = 1000) -> int | None:
     """Ingest the new ``ratings_<YYYY>.csv`` files of ``folder``; returns the version.
 
     The stream's checkpoint knows the files that were read. A micro-batch that
-    is run again after a failure is recognised by its note and not applied
-    twice.
+    is run again after a failure is recognised by its note, which names the
+    checkpoint and the batch, and not applied twice. Several streams, each
+    with a checkpoint of its own, may feed one ``root`` in turn.
     """
     raw = (
         spark.readStream.schema(CSV_SCHEMAS["ratings"])
@@ -52,11 +59,13 @@ def stream_ingest_incremental(spark: SparkSession, folder: str, root: str, check
     )
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        note = f"batch {batch_id}"
+        note = f"{checkpoint} batch {batch_id}"
         own = batch.sparkSession
         done = current_version(own, root) is not None and not own.read.parquet(f"{root}/versions").filter(F.col("note") == note).isEmpty()
         if not done:
+            batch.persist()
             apply_batch(batch, root, note)
+            batch.unpersist()
 
     stream = raw.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     stream.awaitTermination()

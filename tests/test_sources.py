@@ -101,3 +101,63 @@ def test_stream_is_idempotent_and_incremental(spark, tmp_path):
     got = s.snapshot_read_as_of(spark, root, 1)
     assert got.count() == 4 and got.filter("is_current").count() == 2
     assert ingest.apply_batch(spark.createDataFrame([(1, 2, 1.0, 1, 1970)], "userId int, movieId int, rating double, timestamp long, _batch_year int").withColumn("_ingestion_timestamp", F.current_timestamp()), root, "late") == 2
+
+
+def test_streams_with_their_own_checkpoints_feed_one_table(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    for k in (1, 2):
+        write_csv(tmp_path / f"in{k}", 1999, [f"{k},2,3.5,915148800"])
+    run = lambda k: ingest.stream_ingest_incremental(spark, str(tmp_path / f"in{k}"), root, str(tmp_path / f"mark{k}"))
+    assert [run(1), run(2), run(1)] == [0, 1, 1]
+    assert sorted(r.user_id for r in s.snapshot_read_as_of(spark, root, 1).collect()) == [1, 2]
+
+
+def test_a_batch_run_again_is_not_applied_twice(spark, tmp_path):
+    root, mark = str(tmp_path / "silver"), tmp_path / "mark"
+    write_csv(tmp_path / "in", 1999, ["1,2,3.5,915148800"])
+    run = lambda: ingest.stream_ingest_incremental(spark, str(tmp_path / "in"), root, str(mark))
+    assert run() == 0
+    for name in ("0", ".0.crc"):  # as if the batch had been applied and the stream had stopped before it was marked as done
+        (mark / "commits" / name).unlink()
+    assert run() == 0 and s.snapshot_read_as_of(spark, root, 0).count() == 1
+
+
+def test_a_batch_leaves_the_files_of_other_keys(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    row = lambda u, at: (u, 7, 3.0, at, 1999)
+    raw = lambda rows: spark.createDataFrame(rows, "userId int, movieId int, rating double, timestamp long, _batch_year int").withColumn(
+        "_ingestion_timestamp", F.lit("1999-01-01").cast("timestamp")
+    )
+    assert ingest.apply_batch(raw([row(u, 915148800) for u in range(500)]), root, "a") == 0
+    assert ingest.apply_batch(raw([row(3, 915148900)]), root, "b") == 1
+    old, new = (set(s.snapshot_read_as_of(spark, root, v).inputFiles()) for v in (0, 1))
+    assert len(old - new) == len(new - old) == 1 and len(old & new) > 40
+    got = s.snapshot_read_as_of(spark, root, 1)
+    assert got.count() == 501 and got.filter("is_current").count() == 500
+    assert [r.is_current for r in got.filter("user_id = 3").orderBy("interaction_timestamp").collect()] == [False, True]
+    assert s.snapshot_read_as_of(spark, root, 0).count() == 500
+    assert ingest.apply_batch(raw([]), root, "none") == 2 and s.snapshot_read_as_of(spark, root, 2).count() == 501
+    with pytest.raises(ValueError):
+        s.snapshot_write(got, root)
+    empty = str(tmp_path / "empty")
+    assert ingest.apply_batch(raw([]), empty, "none") == 0 and s.snapshot_read_as_of(spark, empty, 0).count() == 0
+    assert ingest.apply_batch(raw([row(3, 915148900)]), empty, "one") == 1 and s.snapshot_read_as_of(spark, empty, 1).count() == 1
+
+
+def test_discovery_takes_several_files_a_year(spark, tmp_path):
+    for name in ("ratings_1999.0.csv", "ratings_1999.12.csv", "ratings_2000.csv", "ratings_2001.x.csv"):
+        (tmp_path / name).write_text("userId,movieId,rating,timestamp\n")
+    assert sorted(r.batch for r in s.discover_batches(spark, str(tmp_path), "ratings").collect()) == [1999, 2000]
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from lakeloom import session
+
+    conf = SimpleNamespace(get=lambda *a: None, set=lambda *a: None)
+    bare = lambda master: SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, getConf=lambda: conf))
+    assert session.shared_dir(bare("local[2]"))
+    for master in ("spark://host:7077", "yarn", "k8s://x"):
+        with pytest.raises(RuntimeError):
+            session.shared_dir(bare(master))

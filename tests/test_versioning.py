@@ -105,6 +105,11 @@ def test_batches_to_process(spark):
         pick(1, "7")
 
 
+def test_affected_keys_and_processing_time(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k int, x string")
+    assert sorted(r.x for r in keys.join_semi_affected_keys(df, df.filter("x in ('a', 'b', 'd')"), ["k"]).collect()) == ["a", "b"]
+
+
 def test_surrogate_keys(spark):
     df = spark.createDataFrame([(1, 100, None), (11, 0, None)], "a int, b int, c string")
     two = [r.k for r in keys.surrogate_key(df, "k", "a", "b").collect()]
