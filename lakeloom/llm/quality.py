@@ -18,8 +18,8 @@ squared Mahalanobis distance above the chi-squared quantile of ``TAIL``.
 Quantiles come from exact counts over fixed bins, so all documents count and
 the state is bounded; the documents of the bin at which the mass is reached
 share what is left of it, so the mass is exact. Estimates per cell are sent to
-the documents, which are never shuffled by cell, and sums are taken by cell
-and salt first.
+the documents, which are never shuffled by cell, and tasks send one row of sums
+per cell.
 
 Edge cases: a null text has no words and fails the base rules, as do empty and
 blank ones; null languages and sources are cells of their own; cells of under
@@ -56,7 +56,6 @@ PRIOR_WORDS, PRIOR_LENGTH = 20, 5
 WINDOW = 5
 #: Cells up to which estimates are broadcast; some 500 bytes each and start.
 BROADCAST_CELLS = 20_000
-_SALTS = 32
 _P = len(FLOORS)
 _PAIRS = [(i, j) for i in range(_P) for j in range(i + 1)]
 _BLANK = r" \t\n\x0B\f\r"
@@ -169,10 +168,10 @@ def _bin(d2: Column) -> Column:
 def _reached(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
     """Per key the bin ``cut`` at which ``share`` of the rows is reached, and the ``part`` of it that this takes.
 
-    The counts are written out: they are then summed by key and bin, and what
-    a hot key sends to its window is one row per bin, not one per task and bin.
+    Rows are counted by key and bin first, so a hot key sends one row per bin
+    to its window.
     """
-    seen = materialize(rows.groupBy(*keys, "bin").agg(F.count("*").alias("n")), "bins")
+    seen = rows.groupBy(*keys, "bin").agg(F.count("*").alias("n"))
     whole = Window.partitionBy(*keys)
     before = F.sum("n").over(whole.orderBy("bin")) - F.col("n")
     need = seen.withColumns({"before": before, "need": share * F.sum("n").over(whole)})
@@ -181,10 +180,8 @@ def _reached(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
 
 
 def _sums(rows: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
-    """Sums per key, by key and salt first."""
-    salted = rows.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(_SALTS)))
-    some = salted.groupBy(*keys, "salt").agg(*[F.sum(v).alias(name) for name, v in values.items()])
-    return some.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in values])
+    """Sums per key; tasks send one row per key, however hot it is."""
+    return rows.groupBy(*keys).agg(*[F.sum(v).alias(name) for name, v in values.items()])
 
 
 def _moments(x: list[Column], w: Column) -> dict[str, Column]:
@@ -272,7 +269,8 @@ def _concentrate(rows: DataFrame, params: DataFrame, send: Callable[[DataFrame],
     near = near.select(*keys, *[f"x{i}" for i in range(_P)], "bin")
     kept = near.join(send(_reached(near, keys, SHARE)), keys).filter("bin <= cut")
     weight = F.when(F.col("bin") < F.col("cut"), 1.0).otherwise(F.col("part"))
-    return materialize(_estimate(kept, keys, weight, consistency()), "params")
+    new = _estimate(kept, keys, weight, consistency())
+    return materialize(new.join(send(params.select(*keys, F.col("log_det").alias("was"))), keys), "params")
 
 
 def least_determinant(rows: DataFrame, send: Callable[[DataFrame], DataFrame] = lambda df: df, start: int | None = None) -> DataFrame:
@@ -281,13 +279,12 @@ def least_determinant(rows: DataFrame, send: Callable[[DataFrame], DataFrame] =
     params = params if start is None else params.filter(F.col("start") == start)
     for _ in range(STEPS):
         params = _concentrate(rows, params, send)
-    every = [c for c in params.columns if c != "cell"]
+    every = [c for c in params.columns if c not in ("cell", "was")]
     best = params.groupBy("cell").agg(F.min_by(F.struct(*every), F.struct("log_det", "start")).alias("e"))
     params = materialize(best.select("cell", "e.*"), "best")
     for _ in range(MOST_STEPS):
-        old, params = params, _concentrate(rows, params, send)
-        moved = params.join(old.select("cell", F.col("log_det").alias("was")), "cell")
-        moved = moved.agg(F.max(F.abs(F.col("log_det") - F.col("was")))).first()[0]
+        params = _concentrate(rows, params, send)
+        moved = params.agg(F.max(F.abs(F.col("log_det") - F.col("was")))).first()[0]
         if moved is None or moved < SETTLED:
             break
     return params
