@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from .checks import filter_batches, filter_current, passing
 
-#: Rows up to which a looked-up dimension may be broadcast by hint.
-BROADCAST_ROWS = 200_000
+#: Rows, and bytes of text, up to which a looked-up dimension may be broadcast by hint.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def surrogate_key(df: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -25,13 +25,17 @@ def join_lookup_inner(df: DataFrame, dim: DataFrame, on: str | list[str]) -> Dat
     return df.join(dim, on, "inner")
 
 
-def join_lookup_broadcast(df: DataFrame, dim: DataFrame, on: str | list[str], most: int = BROADCAST_ROWS) -> DataFrame:
-    """The same with a dimension that is broadcast if it has at most ``most`` rows.
+def join_lookup_broadcast(
+    df: DataFrame, dim: DataFrame, on: str | list[str], most: int = BROADCAST_ROWS, most_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """The same with a dimension that is broadcast if it has at most ``most`` rows and ``most_bytes``.
 
-    Counts up to ``most + 1`` rows of the dimension first; a larger one is
+    Reads up to ``most + 1`` rows of the dimension first; a larger one is
     joined like any table.
     """
-    small = dim.limit(most + 1).count() <= most
+    size = F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
+    rows, width = dim.limit(most + 1).agg(F.count("*"), size).first()
+    small = rows <= most and width <= most_bytes
     return df.join(F.broadcast(dim) if small else dim, on, "inner")
 
 

@@ -117,5 +117,7 @@ def test_surrogate_keys(spark):
     assert keys.surrogate_key(df, "k", "c").first().k is None
     with pytest.raises(ValueError):
         keys.surrogate_key(df, "k")
+    hinted = lambda **k: keys.join_lookup_broadcast(df, df.select("a"), "a", **k)._jdf.queryExecution().logical().toString()
+    assert "broadcast" in hinted() and "broadcast" not in hinted(most=1) and "broadcast" not in hinted(most_bytes=5)
     big = keys.join_lookup_broadcast(df, df.select("a", F.lit(1).alias("z")), "a", most=1)
     assert big.count() == 2 and "BroadcastHashJoin" in keys.join_lookup_broadcast(df, df.select("a"), "a")._jdf.queryExecution().toString()
