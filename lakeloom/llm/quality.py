@@ -162,7 +162,7 @@ def _distance() -> Column:
 
 
 def _bin(d2: Column) -> Column:
-    return F.floor(F.log1p(d2) * 256)
+    return F.floor(F.log1p(d2) * 64)
 
 
 def _reached(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
@@ -191,18 +191,19 @@ def _moments(x: list[Column], w: Column) -> dict[str, Column]:
 def _factored(found: DataFrame) -> DataFrame:
     """Centres m and covariances s -> centres, Cholesky factors l of the floored covariance, and its log-determinant."""
     keys = [c for c in ("cell", "start") if c in found.columns]
-    for i, j in _PAIRS:
-        cov = F.greatest(F.col(f"s{i}{j}"), F.lit(0.0)) + FLOORS[i] ** 2 if i == j else F.col(f"s{i}{j}")
-        left = reduce(lambda a, k: a - F.col(f"l{i}{k}") * F.col(f"l{j}{k}"), range(j), cov)
-        value = F.sqrt(F.greatest(left, F.lit(FLOORS[i] ** 2 / 4))) if i == j else left / F.col(f"l{j}{j}")
-        found = found.withColumn(f"l{i}{j}", value)
+    for j in range(_P):
+        less = lambda i: reduce(lambda a, k: a - F.col(f"l{i}{k}") * F.col(f"l{j}{k}"), range(j), F.col(f"s{i}{j}"))
+        spread = F.greatest(F.col(f"s{j}{j}"), F.lit(0.0)) + FLOORS[j] ** 2 + less(j) - F.col(f"s{j}{j}")
+        found = found.withColumn(f"l{j}{j}", F.sqrt(F.greatest(spread, F.lit(FLOORS[j] ** 2 / 4))))
+        found = found.withColumns({f"l{i}{j}": less(i) / F.col(f"l{j}{j}") for i in range(j + 1, _P)})
     log_det = 2 * sum((F.log(f"l{i}{i}") for i in range(1, _P)), F.log("l00"))
     return found.select(*keys, *[f"m{i}" for i in range(_P)], *[f"l{i}{j}" for i, j in _PAIRS], log_det.alias("log_det"))
 
 
 def _estimate(rows: DataFrame, keys: list[str], weight: Column, factor: float) -> DataFrame:
     """Weighted mean and covariance of the statistics per key, factored."""
-    found = _sums(rows, keys, _moments([F.col(f"x{i}") for i in range(_P)], weight))
+    xs = [f"x{i}" for i in range(_P)]
+    found = _sums(rows.select(*keys, *xs, weight.alias("w")), keys, _moments([F.col(x) for x in xs], F.col("w")))
     found = found.withColumns({f"m{i}": F.col(f"m{i}") / F.col("n") for i in range(_P)})
     cov = lambda i, j: factor * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
     return _factored(found.withColumns({f"s{i}{j}": cov(i, j) for i, j in _PAIRS}))
@@ -233,12 +234,15 @@ def _starts(rows: DataFrame, send: Callable[[DataFrame], DataFrame]) -> DataFram
     away = middle([F.abs(x - F.col(f"c{i}")) for i, x in enumerate(xs)], rows.join(send(centre), "cell"), "q")
     scaled = {f"q{i}": F.greatest(F.lit(FLOORS[i]), 1.4826 * F.col(f"q{i}")) for i in range(_P)}
     robust = materialize(centre.join(away, "cell").withColumns(scaled), "scale")
-    z = [(xs[i] - F.col(f"c{i}")) / F.col(f"q{i}") for i in range(_P)]
-    one, norm = F.lit(1.0), reduce(lambda a, b: a + b, (v * v for v in z))
-    sums = {f"t_{k}": v for k, v in _moments([F.tanh(v) for v in z], one).items()}
-    sums |= {f"g_{i}{j}": F.when(norm > 0, z[i] * z[j] / norm).otherwise(0.0) for i, j in _PAIRS}
-    sums |= {f"p_{k}": v for k, v in _moments(xs, one).items()}
-    found = _sums(rows.join(send(robust), "cell"), ["cell"], sums).join(robust, "cell")
+    name = lambda kind: [F.col(f"{kind}{i}") for i in range(_P)]
+    scored = rows.join(send(robust), "cell")
+    scored = scored.select("cell", *xs, *[((xs[i] - F.col(f"c{i}")) / F.col(f"q{i}")).alias(f"z{i}") for i in range(_P)])
+    scored = scored.withColumns({**{f"t{i}": F.tanh(v) for i, v in enumerate(name("z"))}, "norm": sum(v * v for v in name("z"))})
+    scored = scored.withColumns({f"g{i}": F.when(F.col("norm") > 0, v / F.sqrt("norm")).otherwise(0.0) for i, v in enumerate(name("z"))})
+    sums = {f"t_{k}": v for k, v in _moments(name("t"), F.lit(1.0)).items()}
+    sums |= {f"g_{i}{j}": F.col(f"g{i}") * F.col(f"g{j}") for i, j in _PAIRS}
+    sums |= {f"p_{k}": v for k, v in _moments(xs, F.lit(1.0)).items()}
+    found = _sums(scored, ["cell"], sums).join(robust, "cell")
     n = F.col("p_n")
     mean = lambda kind, *at: F.col(f"{kind}_{'m' if len(at) == 1 else 's'}{''.join(map(str, at))}") / n
     cov = lambda kind, i, j: mean(kind, i, j) - mean(kind, i) * mean(kind, j)
@@ -273,10 +277,9 @@ def _concentrate(rows: DataFrame, params: DataFrame, send: Callable[[DataFrame],
     return materialize(new.join(send(params.select(*keys, F.col("log_det").alias("was"))), keys), "params")
 
 
-def least_determinant(rows: DataFrame, send: Callable[[DataFrame], DataFrame] = lambda df: df, start: int | None = None) -> DataFrame:
-    """The raw estimate per cell from rows (cell, x0, x1, ...); ``start`` takes only that start."""
+def least_determinant(rows: DataFrame, send: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """The raw estimate per cell from rows (cell, x0, x1, ...)."""
     params = materialize(_starts(rows, send), "starts")
-    params = params if start is None else params.filter(F.col("start") == start)
     for _ in range(STEPS):
         params = _concentrate(rows, params, send)
     every = [c for c in params.columns if c not in ("cell", "was")]

@@ -2,6 +2,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pytest
 from lakeloom.llm import quality as q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -133,35 +134,39 @@ def frame(spark, cells):
     return spark.createDataFrame(rows, "cell string, x0 double, x1 double, x2 double, x3 double").repartition(7)
 
 
-def test_least_determinant_against_random_starts(spark):
-    cells = planted(3)
+@pytest.fixture(scope="module")
+def cells():
+    """Planted outliers, and a cell of which nine tenths are one value, so that a bin holds more than the mass."""
+    both = {f"{name}{k}": x for k in (3, 11) for name, x in planted(k).items()}
+    return both | {"same": np.concatenate([np.zeros((900, 4)), np.random.default_rng(1).normal(size=(100, 4))])}
+
+
+def test_least_determinant_against_random_starts(spark, cells):
     rows = frame(spark, cells)
-    want = {name: random_starts(x)[0] for name, x in cells.items()}
+    want = {name: random_starts(x, 30)[0] for name, x in cells.items()}
     got = {r.cell: r.log_det for r in q.least_determinant(rows).collect()}
     assert all(got[name] <= want[name] + 0.01 for name in cells), (got, want)
-    alone = [{r.cell: r.log_det for r in q.least_determinant(rows, start=k).collect()} for k in range(4)]
-    assert all(got[name] <= min(a[name] for a in alone) + 0.01 for name in cells), (got, alone)
-    assert any(a[name] > want[name] + 0.1 for a in alone for name in cells), (want, alone)  # a single start would not do
+    assert abs(got["same"] - 2 * np.log(np.array(q.FLOORS)).sum()) < 1e-6  # the sums are those of the mass, not of the bin
+    each = q._starts(rows, lambda df: df)
+    for _ in range(q.STEPS):
+        each = q._concentrate(rows, each, lambda df: df)
+    each = [(r.start, r.cell, r.log_det) for r in each.collect()]
+    assert len(each) == 4 * len(cells)
+    assert any(d > want[c] + 0.1 for _, c, d in each) and all(min(d for _, c, d in each if c == x) < want[x] + 0.5 for x in cells)
 
 
-def test_outliers_are_far_and_others_near(spark):
-    cells = planted(11)
+def test_outliers_are_far_and_others_near(spark, cells):
     fitted = {r.cell: r for r in q.fit(frame(spark, cells)).collect()}
     limit = q.chi2_quantile(1 - q.TAIL, 4)
     for name, x in cells.items():
+        if name == "same":
+            continue
         r, low = fitted[name], np.zeros((4, 4))
         for i, j in q._PAIRS:
             low[i, j] = r[f"l{i}{j}"]
         d = (np.linalg.solve(low, (x - np.array([r[f"m{i}"] for i in range(4)])).T) ** 2).sum(0)
-        assert (d[:700] <= limit).all() and (name == "none" or (d[700:] > limit).mean() > (0.99 if name == "tight" else 0.9)), name
-
-
-def test_mass_is_exact_where_rows_share_a_bin(spark):
-    """Nine tenths of a cell are one value; the step's sums are those of the mass, not of the whole bin."""
-    x = np.concatenate([np.zeros((900, 4)), np.random.default_rng(1).normal(size=(100, 4))])
-    (row,) = q.least_determinant(frame(spark, {"c": x})).collect()
-    want = 2 * np.log(np.array(q.FLOORS)).sum()
-    assert abs(row.log_det - want) < 1e-6
+        least = {"tight": 0.99, "wide": 0.9, "line": 0.9, "none": 0}[name.rstrip("13")]
+        assert (d[:700] <= limit).all() and (d[700:] > limit).mean() >= least, name
 
 
 def test_small_cells_reject_nothing(spark):
