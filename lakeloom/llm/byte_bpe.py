@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding by merge replay over the corpus' words.
 
-The words of all documents are counted in one pass. The ``HOT`` most frequent
-ones of the corpus are dealt out as a table, and every task replays the merges
+The words of all documents are counted in one pass. The most frequent ones of
+the corpus, at most ``HOT``, are dealt out as a table, and every task replays the merges
 over its share of it at once, in rank order, from an inverted index of pairs
 to word positions (see ``merge_replay``); their ids, a bounded table, are sent
 to the tasks that encode the documents. Words beyond it are collected from a
@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import base64
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,37 +36,45 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .merge_replay import Lexicon, Merges, join_lens
+from .storage import materialize
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
-#: Words of the corpus, most frequent first, that are replayed once for all tasks.
-HOT = 65_536
+#: Most words of the corpus that are replayed once for all tasks.
+HOT = 32_768
+#: Bins that a doubling of a word's count takes.
+_BINS = 16
 #: Distinct other words, and distinct matches, that a task remembers between blocks.
 REMEMBERED = 100_000
 #: Bytes of text after which a block ends.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 
 
 def _blank(word: str) -> bool:
     return not word or word[0].isspace() or word[-1].isspace()
 
 
+@lru_cache(maxsize=1)
+def _tables(data: bytes) -> tuple[dict[bytes, int], Merges, np.ndarray]:
+    """Ranks, merges and the ids of single bytes of a rank file; a worker keeps them between tasks."""
+    ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line)}
+    get = ranks.get
+    pairs = (
+        x
+        for t, r in ranks.items()
+        for k in range(1, len(t))
+        if (a := get(t[:k])) is not None and (b := get(t[k:])) is not None
+        for x in (a, b, r)
+    )
+    a, b, r = np.fromiter(pairs, np.int64).reshape(-1, 3).T
+    size = max(ranks.values()) + 1
+    return ranks, Merges(a, b, r, np.arange(size), size), np.array([ranks[bytes([x])] for x in range(256)], np.int32)
+
+
 class ByteBpe:
-    """Encoder and decoder from the bytes of a rank file, and the ids of hot words if there are any."""
+    """Encoder from the bytes of a rank file, and the ids of hot words if there are any."""
 
     def __init__(self, data: bytes, hot: tuple[pa.Array, np.ndarray, np.ndarray] | None = None, pattern: str = public_tokenizers.PATTERN):
-        self.ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in data.splitlines() if line)}
-        self.tokens = {i: t for t, i in self.ranks.items()}
-        get = self.ranks.get
-        found = [
-            (a, b, r)
-            for t, r in self.ranks.items()
-            for k in range(1, len(t))
-            if (a := get(t[:k])) is not None and (b := get(t[k:])) is not None
-        ]
-        a, b, r = np.array(found, np.int64).T
-        size = max(self.tokens) + 1
-        self.merges = Merges(a, b, r, np.arange(size), size)
-        self.byte = np.array([self.ranks[bytes([x])] for x in range(256)], np.int32)
+        self.ranks, self.merges, self.byte = _tables(data)
         self.matches = regex.compile(pattern).findall
         self.hot = hot and (hot[0].to_pylist(), *hot[1:])
         self._forget()
@@ -130,9 +139,6 @@ class ByteBpe:
                 out.append(np.concatenate([first, self.pieces.of(codes)[0]]))
         return out
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
-
 
 def blocks(batch: pa.RecordBatch, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose second column holds about ``limit`` bytes."""
@@ -159,7 +165,11 @@ def count_words(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def hot_words(df: DataFrame, shared: Broadcast[bytes], text_col: str = "text", most: int = HOT) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """The ``most`` frequent words of the corpus, their ids end to end, and how many each has."""
+    """Frequent words of the corpus, their ids end to end, and how many each has.
+
+    They are those found at least so often that there are no more than
+    ``most``, by bins of counts; words found once are never among them.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = None
@@ -170,8 +180,16 @@ def hot_words(df: DataFrame, shared: Broadcast[bytes], text_col: str = "text", m
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x.tobytes() for x in parts], pa.binary())], ["word", "ids"])
 
     # Words that open or end with white space meet other rules; texts that hold one are encoded whole.
-    plain = count_words(df, text_col).filter(F.col("word").rlike(r"^\S(?s:.*\S)?$") & ~F.col("word").rlike(r"^\p{Z}|\p{Z}$"))
-    top = plain.orderBy(F.desc("n"), "word").limit(most).repartition("word")
+    plain = F.col("word").rlike(r"^\S(?s:.*\S)?$") & ~F.col("word").rlike(r"^\p{Z}|\p{Z}$")
+    counts = count_words(df, text_col).filter((F.col("n") > 1) & plain)
+    counts = materialize(counts.select("word", F.floor(F.log2("n") * _BINS).cast("int").alias("bin")), "words")
+    cut, room = None, most
+    for r in sorted(counts.groupBy("bin").agg(F.count("*").alias("n")).collect(), reverse=True):  # at most 64 * _BINS
+        room -= r.n
+        if room < 0:
+            break
+        cut = r.bin
+    top = counts.filter(F.col("bin") >= cut if cut is not None else F.lit(False)).repartition(16)
     table = top.select("word").mapInArrow(run, "word string, ids binary").toArrow()  # at most ``most`` rows
     raw = b"".join(table.column("ids").to_pylist())
     lens = np.array(pc.binary_length(table.column("ids")), np.int64) // 4

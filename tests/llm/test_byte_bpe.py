@@ -56,8 +56,9 @@ def test_hot_words_are_those_of_the_corpus_and_change_no_id(spark, sf_dir):
     with open(P.path(byte_bpe.VOCABULARY), "rb") as f:
         shared = spark.sparkContext.broadcast(f.read())
     words, ids, lens = byte_bpe.hot_words(docs, shared, most=50)
-    plain = sorted(((-n, w) for w, n in seen.items() if w and w == w.strip()), key=lambda x: (x[0], x[1].encode()))[:50]
-    assert sorted(words.to_pylist()) == sorted(w for _, w in plain)
+    plain = {w: n for w, n in seen.items() if w and w == w.strip() and n > 1}
+    least = min(plain[w] for w in words.to_pylist())
+    assert 20 < len(words) <= 50 and set(words.to_pylist()) == {w for w, n in plain.items() if n >= least}
     lib = library()
     assert [x.tolist() for x in np.split(ids, np.cumsum(lens)[:-1])] == [lib.encode_ordinary(" " + w) for w in words.to_pylist()]
     few, none = (sorted(map(tuple, byte_bpe.encode(docs, hot=n).collect())) for n in (50, 0))
