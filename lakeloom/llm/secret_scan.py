@@ -35,6 +35,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from statistics import median
 
 import pyarrow as pa
@@ -293,7 +294,10 @@ def learn(scanned: DataFrame, sample: int = SAMPLE) -> Formats | None:
     number = {r.kind: r.n for r in values.groupBy("kind").agg(F.count("*").alias("n")).collect()}  # five kinds
     if not any(number.get(k) for k in KINDS):
         return None
-    short = values.filter(F.length("text") <= LEARNED)
+    # Hashes are uniform: this many least ones hold the sample, so the window sees a few thousand rows however many tasks there are.
+    bound = {k: -(2**63) + min(2**64 - 1, 4 * sample * 2**64 // n) for k, n in number.items()}
+    least = reduce(lambda a, b: a | b, ((F.col("kind") == k) & (F.col("hash") <= h) for k, h in bound.items()))
+    short = values.filter((F.length("text") <= LEARNED) & least)
     rank = F.row_number().over(Window.partitionBy("kind").orderBy("hash", "text"))
     drawn: dict[str, Counter] = defaultdict(Counter)
     for r in short.withColumn("k", rank).filter(F.col("k") <= sample).collect():  # ``sample`` rows per kind
