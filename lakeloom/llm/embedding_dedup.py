@@ -12,7 +12,7 @@ in double precision; two visitors meet in another cell. Per pair of blocks
 only link counts and a spanning forest leave the task. The smallest id of a
 group is kept.
 
-Cells hold about ``max(1024, 4 sqrt(n))`` classes, so small tables have one
+Cells hold about ``max(CELL, 4 sqrt(n))`` classes, so small tables have one
 cell and are compared exactly; at most ``CELLS`` centroids travel to tasks. A
 vector is sent once per block of the cells that it is in, so blocks are as
 large as a task can hold (``BLOCK`` vectors, at most ``BLOCK_BYTES``).
@@ -39,7 +39,8 @@ from .runs import runs
 from .storage import materialize
 
 SAMPLE, SAMPLE_BYTES = 20_000, 32 << 20
-CELLS = 4096
+#: Least classes that a cell is made for, and most cells: fewer, larger cells have fewer visitors.
+CELL, CELLS = 4096, 4096
 BLOCK, BLOCK_BYTES = 8192, 16 << 20
 Z = 2.5
 #: Rows of a block whose products are held at once.
@@ -108,7 +109,7 @@ def _train(classes: DataFrame) -> tuple[int, tuple[np.ndarray, np.ndarray] | Non
     if sizes is None:
         return 0, None
     d, n = sizes
-    k = min(CELLS, math.ceil(n / max(1024, 4 * math.sqrt(n))))
+    k = min(CELLS, math.ceil(n / max(CELL, 4 * math.sqrt(n))))
     if k < 2:
         return d, None
     take = min(SAMPLE, SAMPLE_BYTES // (8 * d))

@@ -68,8 +68,9 @@ def planted(rng, n, d, rank):
     return np.concatenate([a, t * a + np.sqrt(1 - t**2) * step])
 
 
-def test_recall_on_larger_table(spark):
+def test_recall_on_larger_table(spark, monkeypatch):
     """Over 5,000 classes in several cells, with links planted just over the threshold."""
+    monkeypatch.setattr(e, "CELL", 1024)
     x = planted(np.random.default_rng(1), 5000, 48, 48).astype(np.float32)
     df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
     y = e._unit(x)
