@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import exists
+
 #: The schemas of the raw files, by table.
 CSV_SCHEMAS = {
     "ratings": "userId int, movieId int, rating double, timestamp bigint",
@@ -110,8 +112,8 @@ def schema_guard(df: DataFrame, target: T.StructType, on_missing: str = "error")
 
 def _existing(spark: SparkSession, path: str) -> T.StructType | None:
     try:
-        return spark.read.parquet(path).schema
-    except AnalysisException:
+        return spark.read.parquet(path).schema if exists(spark, path) else None
+    except AnalysisException:  # a folder without data
         return None
 
 
