@@ -22,7 +22,7 @@ have any name.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -196,16 +196,15 @@ def hot_words(df: DataFrame, shared: Broadcast[bytes], text_col: str = "text", m
     return table.column("word").combine_chunks(), np.frombuffer(raw, "<u4").astype(np.int32), lens
 
 
-def encode(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
-    """Rows (id, ids): each text's token ids as little-endian 32-bit words.
+_Run = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
-    Counts the words of ``df`` first; ``hot`` bounds the table of frequent
-    words that tasks are given, and 0 counts nothing.
-    """
-    spark = df.sparkSession
+
+def _encoder(df: DataFrame, vocabulary: str | None, text_col: str, hot: int) -> _Run:
+    """(id, text) batches to (id, ids) batches; counts the words of ``df`` first."""
+    sc = df.sparkSession.sparkContext
     with open(vocabulary or public_tokenizers.path(VOCABULARY), "rb") as f:
-        shared = spark.sparkContext.broadcast(f.read())  # a vocabulary file, under 1 MB
-    known = spark.sparkContext.broadcast(hot_words(df, shared, text_col, hot) if hot else None)  # ``hot`` words and ids
+        shared = sc.broadcast(f.read())  # a vocabulary file, under 1 MB
+    known = sc.broadcast(hot_words(df, shared, text_col, hot) if hot else None)  # ``hot`` words and ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = ByteBpe(shared.value, known.value)
@@ -215,14 +214,13 @@ def encode(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id",
                 packed = pa.array([x.astype("<u4").tobytes() for x in ids], pa.binary())
                 yield pa.RecordBatch.from_arrays([b.column(0), packed], ["id", "ids"])
 
-    schema = T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("ids", T.BinaryType())])
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+    return run
 
 
-def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """Rows (id, ids, text): the bytes that each row's ids stand for."""
+def _decoder(df: DataFrame, vocabulary: str | None) -> _Run:
+    """(id, ids) batches to (id, ids, text) batches."""
     with open(vocabulary or public_tokenizers.path(VOCABULARY), "rb") as f:
-        shared = encoded.sparkSession.sparkContext.broadcast(f.read())
+        shared = df.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lines = (line.split() for line in shared.value.splitlines() if line)
@@ -231,12 +229,42 @@ def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
             texts = [b"".join(map(token, np.frombuffer(x.as_buffer(), "<u4").tolist())) for x in b.column(1)]
             yield pa.RecordBatch.from_arrays([*b.columns[:2], pa.array(texts, pa.binary())], ["id", "ids", "text"])
 
-    return encoded.select("id", "ids").mapInArrow(run, T.StructType(encoded.schema.fields).add("text", T.BinaryType()))
+    return run
+
+
+def _picked(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+
+
+def _schema(df: DataFrame, id_col: str) -> T.StructType:
+    return T.StructType([T.StructField("id", df.schema[id_col].dataType), T.StructField("ids", T.BinaryType())])
+
+
+def encode(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+    """Rows (id, ids): each text's token ids as little-endian 32-bit words.
+
+    Counts the words of ``df`` first; ``hot`` bounds the table of frequent
+    words that tasks are given, and 0 counts nothing.
+    """
+    return _picked(df, id_col, text_col).mapInArrow(_encoder(df, vocabulary, text_col, hot), _schema(df, id_col))
+
+
+def decode(encoded: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """Rows (id, ids, text): the bytes that each row's ids stand for."""
+    schema = T.StructType(encoded.schema.fields).add("text", T.BinaryType())
+    return encoded.select("id", "ids").mapInArrow(_decoder(encoded, vocabulary), schema)
+
+
+def round_trip(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
+    """``decode(encode(df))`` in one worker a task instead of two."""
+    to_ids, to_text = _encoder(df, vocabulary, text_col, hot), _decoder(df, vocabulary)
+    schema = _schema(df, id_col).add("text", T.BinaryType())
+    return _picked(df, id_col, text_col).mapInArrow(lambda batches: to_text(to_ids(batches)), schema)
 
 
 def op9_byte_bpe(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return decode(encode(docs)).select(
+    return round_trip(docs).select(
         F.col("id").alias("doc_id"),
         (F.octet_length("ids").cast("long") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -35,6 +35,8 @@ def test_odd_texts_round_trip(spark):
     assert len(rows) == len(ODD)
     for r, t in zip(sorted(rows, key=lambda r: 3 if r.id is None else r.id), ODD):
         assert np.frombuffer(r.ids, "<u4").tolist() == lib.encode_ordinary(t or "") and bytes(r.text).decode() == (t or "")
+    both = byte_bpe.round_trip(df.selectExpr("*", "1 as ids", "2 as id"))
+    assert sorted(map(str, both.collect())) == sorted(map(str, rows)) and byte_bpe.round_trip(df.limit(0)).count() == 0
     assert byte_bpe.encode(df.limit(0)).count() == 0
 
 
