@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from . import embedding_dedup, url_filter
+from . import decontaminate, embedding_dedup, url_filter
 from .byte_bpe import op9_byte_bpe
+from .decontaminate import op13_benchmark_decontamination
 from .embedding_dedup import op6_embedding_near_dedup
 from .html_extract import op5_tag_path_ratios
 from .packing import op3_cost_balanced_packing
@@ -25,8 +26,10 @@ QUERIES = {f.__name__: f for f in (
     op8_simhash_near_dedup,
     op9_byte_bpe,
     op10_fixed_slot_sharding,
+    op13_benchmark_decontamination,
 )}
 ORACLES: dict[str, str] = {
     "op1_url_filters": url_filter.oracle_sql(),
     "op6_embedding_near_dedup": embedding_dedup.ORACLE_SQL,
+    "op13_benchmark_decontamination": decontaminate.ORACLE_SQL,
 }
