@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from . import decontaminate, embedding_dedup, url_filter
 from .byte_bpe import op9_byte_bpe
+from .conversation_repair import op11_conversation_repair
 from .decontaminate import op13_benchmark_decontamination
 from .embedding_dedup import op6_embedding_near_dedup
 from .html_extract import op5_tag_path_ratios
@@ -26,6 +27,7 @@ QUERIES = {f.__name__: f for f in (
     op8_simhash_near_dedup,
     op9_byte_bpe,
     op10_fixed_slot_sharding,
+    op11_conversation_repair,
     op13_benchmark_decontamination,
 )}
 ORACLES: dict[str, str] = {
