@@ -15,6 +15,7 @@ from .secret_scan import op7_inferred_secret_formats
 from .sharding import op10_fixed_slot_sharding
 from .simhash import op8_simhash_near_dedup
 from .url_filter import op1_url_filters
+from .whitening import op12_jacobi_davidson_whitening
 
 QUERIES = {f.__name__: f for f in (
     op1_url_filters,
@@ -28,6 +29,7 @@ QUERIES = {f.__name__: f for f in (
     op9_byte_bpe,
     op10_fixed_slot_sharding,
     op11_conversation_repair,
+    op12_jacobi_davidson_whitening,
     op13_benchmark_decontamination,
 )}
 ORACLES: dict[str, str] = {
