@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import functions as fn
 from ..operators import checks, conform, keys, kpi, versioning
 from ..session import work_dir
+from ..sources import clustering
 from ..sources import tables as src
 from ..streaming.ingest import EVENT_KEY, NATURAL_KEY, event_order, flagged_ratings, stream_ingest_incremental
 from .roles import TS, Roles, pct, sql
@@ -257,10 +258,18 @@ def current_version(r):
 @query(_TABLE)
 def rewrite_clustered(r):
     path = _work(r, "clustered")
-    src.rewrite_clustered(_ratings_table(r), path, ["movie_id", "user_id"], 4)
+    clustering.rewrite_clustered(_ratings_table(r), path, ["movie_id", "user_id"], 16)
     return r.spark.read.parquet(path).select(_ratings_table(r).columns)
 
 
+@query("SELECT count(*) AS rows, CAST(min(movie_id) AS INTEGER) AS least_movie_id, CAST(max(user_id) AS INTEGER) AS greatest_user_id FROM r")
+def clustered_file_ranges(r):
+    path = _work(r, "clustered")
+    clustering.rewrite_clustered(_ratings_table(r), path, ["movie_id", "user_id"], 16)
+    ranges = clustering.file_ranges(r.spark.read.parquet(path), ["movie_id", "user_id"])
+    return ranges.agg(F.sum("rows").alias("rows"), F.min("least_movie_id").alias("least_movie_id"), F.max("greatest_user_id").alias("greatest_user_id"))
+
+
 @query(f"{_HISTORY}, 0 AS version FROM v")
 def stream_ingest_incremental_files(r):
     folder, root, mark = _csv_folder(r), _work(r, "stream"), _work(r, "stream-checkpoint")

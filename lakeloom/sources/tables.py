@@ -236,12 +236,6 @@ def snapshot_read_as_of(spark: SparkSession, root: str, version: int, buckets: S
     return spark.read.parquet(*paths) if paths else spark.read.parquet(next(iter(newest.values()))).limit(0)
 
 
-def rewrite_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int) -> int:
-    """The same rows in ``files`` files, each a sorted range of the columns."""
-    ranged = df.repartitionByRange(files, *columns).sortWithinPartitions(*columns)
-    return committed_row_count(ranged, lambda d: d.write.mode("overwrite").parquet(path))
-
-
 def table_profile(df: DataFrame) -> DataFrame:
     """Per column: rows, nulls, distinct values, least and greatest as text."""
     stats = df.agg(

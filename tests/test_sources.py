@@ -1,4 +1,5 @@
 import pytest
+from lakeloom.sources import clustering
 from lakeloom.sources import tables as s
 from lakeloom.streaming import ingest
 from pyspark.sql import functions as F
@@ -71,7 +72,7 @@ def test_snapshots_and_clustering(spark, tmp_path):
     with pytest.raises(ValueError):
         s.snapshot_read_as_of(spark, root, 5)
     out = str(tmp_path / "clustered")
-    assert s.rewrite_clustered(df, out, ["k", "id"], 3) == 100
+    assert clustering.rewrite_clustered(df, out, ["k", "id"], 3) == 100
     assert rows(spark.read.parquet(out)) == rows(df) and len([p for p in (tmp_path / "clustered").iterdir() if p.name.startswith("part")]) <= 3
 
 
