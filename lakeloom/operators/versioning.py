@@ -15,24 +15,95 @@ from pyspark.sql import functions as F
 CURRENT, START, END = "is_current", "effective_start_date", "effective_end_date"
 
 
-def dedup_latest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """The first row of each key by ``order``, which must be total."""
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+#: One of ``"name"`` (ascending, nulls first), ``"name desc"`` (nulls last) or any sort expression.
+Order = Sequence[str | Column]
+
+
+def _parts(order: Order) -> list[tuple[str, bool]] | None:
+    """(name, descending) of each, if all are names."""
+    if not all(isinstance(o, str) for o in order):
+        return None
+    return [(o.removesuffix(" desc"), o.endswith(" desc")) for o in order]
+
+
+def _sorts(order: Order) -> list[Column]:
+    columns = []
+    for o in order:
+        parts = _parts([o])
+        columns.append(o if parts is None else F.col(parts[0][0]).desc_nulls_last() if parts[0][1] else F.col(parts[0][0]).asc_nulls_first())
+    return columns
+
+
+def _turned(name: str, kind: str) -> Column | None:
+    """A value that rises as the column falls, for types that have one; nulls come out greatest."""
+    c = F.col(name)
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        turned = F.bitwise_not(c.cast("bigint"))
+    elif kind == "date":
+        turned = F.bitwise_not(F.unix_date(c))
+    elif kind == "timestamp":
+        turned = F.bitwise_not(F.unix_micros(c))
+    elif kind == "boolean":
+        turned = ~c
+    elif kind in ("float", "double"):
+        turned = F.struct(~F.isnan(c), -c)
+    elif kind.startswith("decimal"):
+        turned = -c
+    else:
+        return None
+    return F.struct(c.isNull(), turned)
+
+
+def _rank_value(df: DataFrame, order: Order) -> tuple[Column, bool] | None:
+    """(value, whether the first row has the greatest one), if an aggregate can compare by it."""
+    parts, kinds = _parts(order), dict(df.dtypes)
+    if not parts:
+        return None
+    if not any(desc for _, desc in parts):
+        return F.struct(*[F.col(name) for name, _ in parts]), False
+    values = [F.col(name) if desc else _turned(name, kinds[name]) for name, desc in parts]
+    return (F.struct(*values), True) if all(v is not None for v in values) else None
+
+
+def dedup_latest(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
+    """The first row of each key by ``order``, which must be total.
+
+    Orders by name are an aggregate: every task keeps one row per key before
+    the shuffle, so a key that holds much of the table moves one row a task.
+    Other expressions, and texts that rise beside columns that fall, go by a
+    window.
+    """
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    ranked = _rank_value(df, order)
+    if ranked is None:
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*_sorts(order)))
+        return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
+    pick = F.max_by if ranked[1] else F.min_by
+    best = df.groupBy(*keys).agg(pick(F.struct(*rest), ranked[0]).alias("_row"))
+    return best.select(*[c if c in keys else F.col(f"_row.{c}") for c in df.columns])
+
+
+def _timeline(df: DataFrame, natural_key: Sequence[str], ts: str, event_key: Sequence[str]) -> DataFrame:
+    """Version columns of each natural key's events, which are distinct: the last one is open.
+
+    One window over one sort; events of the same moment follow by event key.
+    """
+    later = [k for k in event_key if k not in natural_key and k != ts]
+    oldest = Window.partitionBy(*natural_key).orderBy(F.col(ts).asc_nulls_first(), *later)
+    after = F.lead(F.struct(F.col(ts).alias("ts"))).over(oldest)
+    rows = df.withColumn("_after", after)
+    return rows.withColumns({CURRENT: F.col("_after").isNull(), START: F.col(ts), END: F.col("_after.ts")}).drop("_after")
 
 
-def _timeline(df: DataFrame, natural_key: Sequence[str], ts: str, order: Sequence[Column]) -> DataFrame:
-    """Version columns of each natural key's events: the last one is open."""
-    newest = Window.partitionBy(*natural_key).orderBy(F.col(ts).desc_nulls_last(), *order)
-    oldest = Window.partitionBy(*natural_key).orderBy(F.col(ts).asc_nulls_first(), *order)
-    ranked = df.withColumns({"_n": F.row_number().over(newest), "_next": F.lead(ts).over(oldest)})
-    current = F.col("_n") == 1
-    return ranked.withColumns({CURRENT: current, START: F.col(ts), END: F.when(~current, F.col("_next"))}).drop("_n", "_next")
+def scd2_bootstrap(df: DataFrame, event_key: Sequence[str], natural_key: Sequence[str], ts: str, order: Order) -> DataFrame:
+    """First load: one row per event, the latest per natural key current."""
+    return _timeline(dedup_latest(df, event_key, order), natural_key, ts, event_key).select(df.columns)
 
 
-def scd2_bootstrap(df: DataFrame, event_key: Sequence[str], natural_key: Sequence[str], ts: str, order: Sequence[Column]) -> DataFrame:
-    """First load: one row per event, the latest per natural key current."""
-    return _timeline(dedup_latest(df, event_key, order), natural_key, ts, order).select(df.columns)
+#: Parts that target rows with a NULL key, which only pass through, are dealt over.
+_LONE = 1024
 
 
 def scd2_apply(
@@ -41,26 +112,43 @@ def scd2_apply(
     event_key: Sequence[str],
     natural_key: Sequence[str],
     ts: str,
-    order: Sequence[Column],
+    order: Order,
     valid_only: bool = False,
     null_safe: bool = False,
 ) -> DataFrame:
     """The target with a batch's events merged into their keys' timelines.
 
     Incoming rows win over target rows of the same event. Keys that the batch
-    does not touch pass through. NULL natural keys match nothing unless
-    ``null_safe``; ``valid_only`` keeps quarantined rows out of timelines.
+    does not touch pass through as they are. NULL natural keys match nothing
+    unless ``null_safe``; ``valid_only`` keeps quarantined rows out of
+    timelines. The target holds an event once.
+
+    Both tables are read once: the batch is reduced to one row per event, and
+    target and batch meet in one exchange by natural key, whose sorted rows
+    tell a replaced row, the next moment and whether the batch touched the key.
     """
     columns = target.columns
     if valid_only:
         incoming = incoming.filter("_dq_status = 'PASS'")
-    touched = incoming.select([F.col(k).alias(f"_k_{k}") for k in natural_key]).distinct()
-    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) if null_safe else F.col(k) == F.col(f"_k_{k}") for k in natural_key]
-    affected = target.join(touched, same, "left_semi").withColumn("_new", F.lit(0))
-    untouched = target.join(touched, same, "left_anti")
-    both = affected.unionByName(incoming.select(columns).withColumn("_new", F.lit(1)))
-    events = dedup_latest(both, event_key, [F.col("_new").desc(), *order])
-    return _timeline(events, natural_key, ts, order).select(columns).unionByName(untouched)
+    new = dedup_latest(incoming.select(columns), event_key, order)
+    both = target.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)))
+    unknown = F.lit(False)
+    for k in () if null_safe else natural_key:
+        unknown |= F.col(k).isNull()
+    lone = F.when(F.col("_new") == 1, 0).otherwise(1 + F.pmod(F.xxhash64(*event_key), F.lit(_LONE)))
+    both = both.withColumn("_apart", F.when(unknown, lone).otherwise(F.lit(0)).cast("int"))
+
+    later = [k for k in event_key if k not in natural_key and k != ts]
+    key = Window.partitionBy(*natural_key, "_apart").orderBy(F.col(ts).asc_nulls_first(), *later, "_new")
+    after = F.lead(F.struct(F.struct(ts, *later).alias("event"), F.col(ts).alias("ts"), F.col("_new").alias("new")))
+    seen = both.withColumns({
+        "_touched": F.max("_new").over(key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) == 1,
+        "_after": after.over(key),
+    })
+    replaced = (F.col("_after.new") == 1) & F.struct(ts, *later).eqNullSafe(F.col("_after.event"))
+    kept = seen.filter(~(F.col("_touched") & F.coalesce(replaced, F.lit(False))))
+    touched, history = F.col("_touched"), {CURRENT: F.col("_after").isNull(), START: F.col(ts), END: F.col("_after.ts")}
+    return kept.select(*[F.when(touched, history[c]).otherwise(F.col(c)).alias(c) if c in history else c for c in columns])
 
 
 def scd2_check(df: DataFrame, natural_key: Sequence[str]) -> DataFrame:
@@ -85,7 +173,7 @@ def scd2_as_of(df: DataFrame, at: Column | str) -> DataFrame:
 
 
 def merge_upsert(
-    target: DataFrame | None, source: DataFrame, keys: Sequence[str], order: Sequence[Column], delete_unmatched_in: Sequence[str] = ()
+    target: DataFrame | None, source: DataFrame, keys: Sequence[str], order: Order, delete_unmatched_in: Sequence[str] = ()
 ) -> DataFrame:
     """Matched rows replaced, others inserted; without a target a full load.
 
@@ -117,7 +205,7 @@ def merge_insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str],
     folded = lambda c: F.lower(c) if fold_case else F.col(c)
     names = [f"_m_{k}" for k in keys]
     source = source.withColumns({n: folded(k) for n, k in zip(names, keys)})
-    new = dedup_latest(source, names, [F.col(c) for c in target.columns])
+    new = dedup_latest(source, names, target.columns)
     new = new.join(target.select([folded(k).alias(n) for n, k in zip(names, keys)]), names, "left_anti")
     return target.unionByName(new.select(target.columns))
 

@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..operators import checks, conform, keys, kpi, versioning
+from ..operators import checks, conform, incremental, keys, kpi, versioning
 from ..session import work_dir
-from ..sources import clustering
+from ..sources import clustering, loads
 from ..sources import tables as src
 from ..streaming.ingest import EVENT_KEY, NATURAL_KEY, event_order, flagged_ratings, stream_ingest_incremental
-from .roles import TS, Roles, pct, sql
+from .roles import _MEAN, TS, Roles, pct, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -596,7 +596,7 @@ def _merge_inputs(r: Roles) -> tuple[DataFrame, DataFrame]:
     UNION ALL SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 2 <> 0""")
 def merge_upsert(r):
     target, source = _merge_inputs(r)
-    return versioning.merge_upsert(target, source, ["o_orderkey"], [F.desc("o_totalprice"), F.col("o_custkey")])
+    return versioning.merge_upsert(target, source, ["o_orderkey"], ["o_totalprice desc", "o_custkey"])
 
 
 @query("""SELECT count(*) FILTER (o_orderkey % 3 = 0) AS inserted, count(*) FILTER (o_orderkey % 3 <> 0) AS updated, count(*) AS dropped
@@ -691,6 +691,55 @@ def lineage_trace(r):
     return traced.select("user_id", "movie_id", TS, "rating", "_dq_status", _file())
 
 
+# Incremental loads and aggregates.
+
+
+@query(f"""SELECT movie_sk, user_id, rating, {_AT} AS interaction_timestamp, date_key, rating_year, late AS is_late_arrival, batch AS _batch_year
+    FROM {_APPLIED} JOIN dim_m USING (movie_id) JOIN dim_d USING (date_key) WHERE status = 'PASS' AND is_current""")
+def fact_incremental_load(r):
+    old, new = _scd2_inputs(r)
+    root = _work(r, "silver")
+    src.snapshot_write(old, root, keys=NATURAL_KEY)
+    build = lambda rows, batches: keys.fact_ratings(rows, r.dim_movies, r.dim_date, batches)
+    load = loads.SliceLoad(
+        root, _work(r, "fact"), _work(r, "audit"), build, NATURAL_KEY, "gold.fact", "silver.ratings", "1.0", "_dq_status = 'PASS' and is_current"
+    )
+    load.run(r.spark, "run-1")
+    target = src.snapshot_read_as_of(r.spark, root, 0)
+    src.snapshot_write(versioning.scd2_apply(target, new, EVENT_KEY, NATURAL_KEY, TS, event_order()), root, keys=NATURAL_KEY)
+    load.run(r.spark, "run-2")
+    load.run(r.spark, "run-3")  # nothing new
+    fact = r.spark.read.parquet(load.path)
+    return fact.select("movie_sk", "user_id", "rating", TS, "date_key", "rating_year", "is_late_arrival", "_batch_year")
+
+
+def _fact_versions(r: Roles) -> tuple[DataFrame, DataFrame]:
+    """A fact table and its next version, with rows that came, went and changed."""
+    old = r.fact.filter("_batch_year <= 1999").withColumn("rating", F.when(F.col("user_id") % 5 == 0, 5 - F.col("rating")).otherwise(F.col("rating")))
+    return old.drop("_processing_timestamp"), r.fact.filter("user_id % 7 <> 0").drop("_processing_timestamp")
+
+
+def _followed(r: Roles, state) -> DataFrame:
+    """The figures of a state that was built from the old fact and took the feed to the new one."""
+    old, new = (src.snapshot_read_as_of(r.spark, root, src.snapshot_write(df, root)) for df, root in zip(_fact_versions(r), (_work(r, "old"), _work(r, "new"))))
+    feed, root = versioning.change_feed(old, new, ["movie_sk", "user_id"]), _work(r, "state")
+    incremental.store_state(r.spark, root, state(old, None), "first")
+    return incremental.kpi_figures(incremental.store_state(r.spark, root, state(feed, incremental.sign_of_change()), "feed"))
+
+
+_KPI = f"{_MEAN} AS avg_rating, count(*) AS rating_count, count(DISTINCT user_id) AS unique_users, count(DISTINCT movie_sk) AS unique_movies"
+
+
+@query(f"SELECT year, month, month_name, {_KPI} FROM f JOIN dim_d USING (date_key) WHERE user_id % 7 <> 0 GROUP BY ALL")
+def kpi_rating_trends_monthly_incremental(r):
+    return _followed(r, lambda rows, sign: incremental.monthly_state(rows, r.dim_date, sign))
+
+
+@query(f"SELECT genre_name, {_KPI} FROM f JOIN bridge USING (movie_sk) JOIN dim_g USING (genre_sk) WHERE user_id % 7 <> 0 GROUP BY ALL")
+def kpi_genre_performance_incremental(r):
+    return _followed(r, lambda rows, sign: incremental.genre_state(rows, r.bridge, r.dim_genres, sign))
+
+
 # KPIs and coverage.
 
 for _name, _cte, _build in (

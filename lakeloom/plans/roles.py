@@ -110,7 +110,7 @@ class Roles:
 
     @cached_property
     def genome_scores(self) -> DataFrame:
-        order = [F.col("relevance").desc_nulls_last(), F.col("_ingestion_timestamp").desc_nulls_last()]
+        order = ["relevance desc", "_ingestion_timestamp desc"]
         rows = versioning.dedup_latest(conform.conform_genome_scores(self.raw_genome_scores), ["movie_id", "tag_id"], order)
         return checks.dq_flag(rows, checks.rules_genome_scores())
 

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import exists
+from ..session import delete, exists
 
 #: The schemas of the raw files, by table.
 CSV_SCHEMAS = {
@@ -156,6 +156,24 @@ def write_replace_touched_partitions(df: DataFrame, path: str, column: str) -> i
     return _replace_partitions(_guarded(df, path).filter(F.col(column).isNotNull()), path, column)
 
 
+def replace_slices(df: DataFrame, path: str, column: str, values: Sequence[int]) -> dict[int, int]:
+    """Replace the partitions of ``values``, in one job; returns the rows of each.
+
+    A value without rows loses its partition; a row of another value fails the
+    job. Other partitions keep their files.
+    """
+    known = F.when(F.col(column).isin(*values), F.col(column)) if values else F.lit(None)
+    told = F.concat(F.lit(f"a row's {column} is none of those to replace: "), F.coalesce(F.col(column).cast("string"), F.lit("NULL")))
+    checked = F.coalesce(known, F.raise_error(told)).cast(df.schema[column].dataType)
+    rows, seen = _guarded(df, path).withColumn(column, checked), Observation()
+    counted = rows.observe(seen, *[F.count_if(F.col(column) == v).alias(f"n{v}") for v in values], F.count("*").alias("n"))
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+    found = {v: seen.get[f"n{v}"] for v in values}
+    for v in (v for v, n in found.items() if not n):
+        delete(df.sparkSession, f"{path}/{column}={v}")
+    return found
+
+
 def write_append(df: DataFrame, path: str) -> int:
     return committed_row_count(_guarded(df, path), lambda d: d.write.mode("append").parquet(path))
 
@@ -254,6 +272,14 @@ def table_profile(df: DataFrame) -> DataFrame:
     return stats.select(F.explode(F.array(*stats.columns)).alias("s")).select("s.*")
 
 
+def changed_buckets(spark: SparkSession, root: str, old: int, new: int) -> list[int] | None:
+    """The key buckets that versions after ``old`` up to ``new`` wrote; None where the table is not kept by key."""
+    marks = _marks(spark, root, new)
+    if not marks[-1].buckets:
+        return None
+    return sorted({b for m in marks if m.version > old for b in m.buckets})
+
+
 def analyze_table(spark: SparkSession, name: str) -> None:
     """Optimizer statistics of a registered table and all its columns."""
     spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR ALL COLUMNS")

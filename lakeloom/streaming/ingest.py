@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.checks import dq_flag, rules_ratings
@@ -14,9 +14,9 @@ EVENT_KEY = ("user_id", "movie_id", "interaction_timestamp")
 NATURAL_KEY = ("user_id", "movie_id")
 
 
-def event_order() -> list[Column]:
+def event_order() -> list[str]:
     """A total order among the rows of one event."""
-    return [F.col(c).desc_nulls_last() for c in ("rating", "_batch_year", "_ingestion_timestamp")]
+    return ["rating desc", "_batch_year desc", "_ingestion_timestamp desc"]
 
 
 def flagged_ratings(raw: DataFrame) -> DataFrame:
@@ -64,8 +64,10 @@ def stream_ingest_incremental(spark: SparkSession, folder: str, root: str, check
         done = current_version(own, root) is not None and not own.read.parquet(f"{root}/versions").filter(F.col("note") == note).isEmpty()
         if not done:
             batch.persist()
-            apply_batch(batch, root, note)
-            batch.unpersist()
+            try:
+                apply_batch(batch, root, note)
+            finally:
+                batch.unpersist()
 
     stream = raw.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     stream.awaitTermination()
