@@ -168,15 +168,24 @@ def check_lineage_contract(df: DataFrame, generated: str = "GENERATED") -> DataF
 
 
 def check_foreign_keys(df: DataFrame, links: Sequence[tuple[str, DataFrame, str]]) -> DataFrame:
-    """Distinct non-null keys without a parent, per (column, parent, key)."""
+    """Distinct non-null keys without a parent, per (column, parent, key).
+
+    All keys of a row go as (link, key) through one distinct and one anti
+    join, so the table is read once for any number of links. Keys compare as
+    the parent's type shows them.
+    """
     if not links or any(fk not in df.columns or key not in parent.columns for fk, parent, key in links):
         raise ValueError("each link names a column of the table and one of its parent")
-    each = []
-    for fk, parent, key in links:
-        orphans = df.select(F.col(fk).alias("k")).filter("k is not null").distinct()
-        orphans = orphans.join(parent.select(F.col(key).alias("k")), "k", "left_anti")
-        each.append(orphans.agg(F.count("*").alias("violations")).select(F.lit(f"fk:{fk}").alias("check"), "violations"))
-    return reduce(DataFrame.unionByName, each)
+    own, parents = [], []
+    for k, (fk, parent, key) in enumerate(links):
+        shown = F.coalesce(F.col(fk).try_cast(parent.schema[key].dataType).cast("string"), F.col(fk).cast("string"))
+        own.append(F.struct(F.lit(k).alias("link"), shown.alias("key")))
+        parents.append(parent.select(F.lit(k).alias("link"), F.col(key).cast("string").alias("key")).filter("key is not null"))
+    keys = df.select(F.explode(F.array(*own)).alias("k")).select("k.*").filter("key is not null").distinct()
+    orphans = keys.join(reduce(DataFrame.unionByName, parents), ["link", "key"], "left_anti")
+    counts = orphans.agg(*[F.count_if(F.col("link") == k).alias(f"c{k}") for k in range(len(links))])
+    each = [F.struct(F.lit(f"fk:{fk}").alias("check"), F.col(f"c{k}").alias("violations")) for k, (fk, _, _) in enumerate(links)]
+    return counts.select(F.explode(F.array(*each)).alias("c")).select("c.*")
 
 
 def check_row_count(df: DataFrame, expected: int | Column) -> DataFrame:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
+from ..session import work_dir
 from .checks import filter_batches, filter_current, passing
 
 #: Rows, and bytes of text, up to which a looked-up dimension may be broadcast by hint.
@@ -81,16 +85,38 @@ def dim_external_links(links: DataFrame, movies: DataFrame) -> DataFrame:
     return surrogate_key(kept, "movie_sk", "movie_id").select("movie_sk", "movie_id", "imdb_id", "tmdb_id")
 
 
+def number_rows(df: DataFrame, order: Sequence[str], name: str, start: int = 0) -> DataFrame:
+    """``df`` with gapless numbers from ``start + 1`` in the order of the columns, which must be total.
+
+    Rows are dealt out by ranges of the order and sorted where they lie; a
+    number is the row's place there after the rows of the ranges before. The
+    dealt rows are written once, so numbers and counts are of the same ranges
+    even if a task is run again; only the ranges' counts reach the driver.
+    """
+    spark, path = df.sparkSession, f"{work_dir(df.sparkSession)}/numbered-{uuid.uuid4().hex}"
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id())
+    dealt.write.parquet(path)
+    dealt = spark.read.parquet(path)
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = {r.part: r.n for r in dealt.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()}  # one per range
+    before, total = [], start
+    for k in range(max(counts, default=-1) + 1):
+        before.append(total)
+        total += counts.get(k, 0)
+    first = F.element_at(F.array(*map(F.lit, before or [start])).cast("array<bigint>"), (part + 1).cast("int"))
+    return dealt.withColumn(name, first + place + 1).drop("_at")
+
+
 def dim_genres_incremental(existing: DataFrame | None, members: DataFrame) -> DataFrame:
     """The dimension with new members appended, ids on from the largest.
 
     Names compare case-folded; the least spelling stands for a new one. Ids
-    follow the names' order, over the few new names only.
+    follow the names' order among the new ones, however many there are.
     """
     names = members.groupBy(F.lower("genre_name").alias("_f")).agg(F.min("genre_name").alias("genre_name")).drop("_f")
     new = names if existing is None else join_anti_new_members(names, existing, "genre_name")
-    top = F.lit(0) if existing is None else F.coalesce(existing.agg(F.max("genre_id")).scalar(), F.lit(0))
-    new = new.withColumn("genre_id", top + F.row_number().over(Window.orderBy("genre_name")))
+    top = 0 if existing is None else existing.agg(F.max("genre_id")).first()[0] or 0
+    new = number_rows(new, ["genre_name"], "genre_id", top)
     out = surrogate_key(new, "genre_sk", "genre_name").select("genre_sk", F.col("genre_id").cast("int").alias("genre_id"), "genre_name")
     return out if existing is None else existing.select("genre_sk", "genre_id", "genre_name").unionByName(out)
 

@@ -107,6 +107,49 @@ def table_profile(r):
     return src.table_profile(r.table("customer").select("c_custkey", "c_mktsegment"))
 
 
+_PROFILE = " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, count(DISTINCT {c}) AS "distinct",
+    CAST(min({c}) AS VARCHAR) AS least, CAST(max({c}) AS VARCHAR) AS greatest FROM lineitem"""
+    for c in ("l_returnflag", "l_linestatus", "l_linenumber")
+)
+
+
+@query(_PROFILE)
+def table_profile_sketched(r):
+    """The columns have few values, of which the sketch of each of seven batches holds all."""
+    lines = r.table("lineitem").select("l_returnflag", "l_linestatus", "l_linenumber", F.year("l_shipdate").alias("batch"))
+    united = src.unite_sketches(src.profile_sketches(lines, "batch"))
+    return src.sketched_profile(united).drop("lower", "median", "upper")
+
+
+def _broken_lines(r: Roles) -> DataFrame:
+    """Lines of raw ratings: too short, too long, with a bad number, or right."""
+    return r.table("orders").selectExpr(
+        """case o_orderkey % 6 when 0 then concat(o_custkey, ',', o_orderkey) when 1 then concat_ws(',', o_custkey, o_orderkey, '3.5', '915148800', 'more')
+           when 2 then concat_ws(',', 'n/a', o_orderkey, 'x', '915148800') when 3 then concat_ws(',', o_custkey, '', '3.5', '915148800')
+           else concat_ws(',', o_custkey, o_orderkey, '4.5', '915148800') end as value"""
+    )
+
+
+_LINES = """(SELECT CASE o_orderkey % 6 WHEN 0 THEN o_custkey || ',' || o_orderkey WHEN 1 THEN o_custkey || ',' || o_orderkey || ',3.5,915148800,more'
+    WHEN 2 THEN 'n/a,' || o_orderkey || ',x,915148800' ELSE NULL END AS raw, o_orderkey, o_custkey FROM orders)"""
+
+
+@query(f"""SELECT CAST(CASE WHEN o_orderkey % 6 = 2 THEN NULL ELSE o_custkey END AS INTEGER) AS "userId", CAST(CASE WHEN o_orderkey % 6 = 3 THEN NULL ELSE o_orderkey END AS INTEGER) AS "movieId",
+    CASE WHEN o_orderkey % 6 IN (0, 2) THEN NULL WHEN o_orderkey % 6 IN (1, 3) THEN 3.5::DOUBLE ELSE 4.5::DOUBLE END AS rating,
+    CASE WHEN o_orderkey % 6 = 0 THEN NULL ELSE 915148800::BIGINT END AS "timestamp", raw AS _raw_line,
+    CASE o_orderkey % 6 WHEN 0 THEN 'FEW_FIELDS' WHEN 1 THEN 'MANY_FIELDS' WHEN 2 THEN 'BAD_VALUE:userId,rating' END AS _reject_reason FROM {_LINES}""")
+def scan_csv_checked(r):
+    path = _work(r, "lines")
+    _broken_lines(r).write.text(path)
+    return src.scan_csv_checked(r.spark, path, "ratings", header=False)
+
+
+@query("SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) + 10 AS number FROM orders")
+def number_rows(r):
+    return keys.number_rows(r.table("orders").select("o_orderkey", "o_totalprice"), ["o_totalprice", "o_orderkey"], "number", 10).drop("o_totalprice")
+
+
 def _file():
     """The file's name without the number among its year's files."""
     return F.regexp_replace(F.regexp_extract("_input_file_name", "[^/]*$", 0), r"\.\d+\.csv$", ".csv").alias("file")
