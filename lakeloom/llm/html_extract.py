@@ -10,11 +10,14 @@ is the mean length of its blocks, fused with its mean punctuation and the
 share of its text outside links (tag-path ratios, Wu et al. 2013). The article
 and main elements are the content if they hold at least half of the text on
 paths above a threshold; else the lowest element around all such paths is.
-Scores are smoothed along the content; its blocks on paths above the
-threshold, its headings and those that lead to it are the text. So a short
-paragraph stays as its path is that of the long ones. Elements are nodes with
-a parent, and a path is its last tag after the parent's path, so a page takes
-time by its length, however deep it nests.
+Of an article or main all blocks are the text, but for those on paths made of
+links that no heading leads to. Elsewhere scores are smoothed along the
+content, headings left aside; its blocks on paths above the threshold are the
+text, a list or table as a whole if one of its blocks is, and its headings and
+those that lead to it. So a short paragraph stays as its path is that of the
+long ones. Comments and sidebars by name are out however long they are.
+Elements are nodes with a parent, and a path is its last tag after the
+parent's path, so a page takes time by its length, however deep it nests.
 
 Edge cases: null, empty and text-free pages give an empty text; unclosed
 comments, scripts and tags end with the page; mismatched end tags are
@@ -45,17 +48,24 @@ PARAGRAPH = 1000.0
 _KERNEL = [math.exp(-(d**2) / 2) for d in range(3)]
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template iframe textarea title xmp svg math object select button".split())
+_RAW = frozenset("script style noscript template iframe textarea title xmp svg annotation object select button".split())
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th "
     "thead tr ul".split()
 )
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_WHOLE = frozenset("ul ol dl table menu".split())
+#: Text outside links beside comments or a sidebar, over theirs, below which these are taken for the content.
+BESIDE = 0.05
+#: Share of a path's text outside links below which it is made of links.
+OWN = 0.3
 _CONTAINERS = frozenset(["", *"html body div center article main section".split()])
 _OUTSIDE = frozenset("head nav footer menu".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 _VOTED = frozenset("aside form dialog fieldset".split())
+#: Of the names below those that are no content however long they are.
+_NEVER = re.compile(r"comments?|disqus|replies|respond|sidebar")
 #: Whole words of a class or id that name what is no content: as its first word or its last.
 _NAMES = re.compile(
     r"ads?|advert(?:s|isement|ising)?|sponsor(?:s|ed)?|cookies?|consent|gdpr|comments?|disqus|replies|respond|sidebar|menus?|nav|navbar|navigation|"
@@ -94,7 +104,8 @@ class Page:
     """Elements by number (0 is the page, parents come before their children) and block texts in order.
 
     ``path`` numbers the root-to-leaf tag paths, ``inside`` tells elements
-    of an article or main, ``vote`` is a name's vote to put an element out.
+    of an article or main, ``vote`` is a name's vote to put an element out,
+    ``whole`` is the outermost list or table around an element, or 0.
     """
 
     blocks: list[Block] = field(default_factory=list)
@@ -104,6 +115,7 @@ class Page:
     out: list[bool] = field(default_factory=lambda: [False])
     inside: list[bool] = field(default_factory=lambda: [False])
     vote: list[int] = field(default_factory=lambda: [0])
+    whole: list[int] = field(default_factory=lambda: [0])
 
     def summed(self, values: dict[int, int]) -> list[int]:
         """Each element's values with those of all elements in it."""
@@ -117,21 +129,21 @@ class Page:
 
 
 def _named(value: str) -> int:
-    """2 if a class or id names what is no content, 1 if it may."""
+    """2 if a class or id names what is no content, 3 if that holds for any length, 1 if it may."""
     vote = 0
     for token in value.lower().replace("side-bar", "sidebar").replace("pop-up", "popup").replace("top-bar", "topbar").split():
         if token in ("site-header", "page-header"):
-            return 2
+            return max(vote, 2)
         words = [w for w in re.split(r"[-_]+|\d+", token) if w]
         if len(words) > 1 and not _HAVING.isdisjoint(words):
             continue
         for w in words[:1] + words[-1:]:
-            vote = max(vote, 2 if _NAMES.fullmatch(w) else 1 if _MAYBE.fullmatch(w) else 0)
+            vote = max(vote, 3 if _NEVER.fullmatch(w) else 2 if _NAMES.fullmatch(w) else 1 if _MAYBE.fullmatch(w) else 0)
     return vote
 
 
 def _is_out(tag: str, attributes: str, inside: bool) -> tuple[bool, int]:
-    """Whether an element is out by itself, and else its vote: 2, or 1 where links have to agree."""
+    """Whether an element is out by itself, and else its vote: 3 or 2, or 1 where links have to agree."""
     if tag in _OUTSIDE or tag == "header" and not inside:
         return True, 0
     if tag in ("html", "body", "main"):
@@ -142,7 +154,7 @@ def _is_out(tag: str, attributes: str, inside: bool) -> tuple[bool, int]:
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             return True, 0
         if name == "role" and value.lower() in _ROLES:
-            vote = 2
+            vote = max(vote, 2)
         elif name in ("class", "id"):
             vote = max(vote, _named(value))
     return False, vote
@@ -151,8 +163,10 @@ def _is_out(tag: str, attributes: str, inside: bool) -> tuple[bool, int]:
 def _shown(page: Page) -> list[Block]:
     """Blocks that no element around them puts out.
 
-    An element voted out stays if it holds the article or most of the page's
-    text, and all stay if none would be left.
+    An element voted out stays if the article is in it. It also stays if it
+    holds most of the article's text, or of the page's without an article;
+    comments and sidebars only if there is next to no other text. All blocks
+    stay if none would be left.
     """
     open_ = [b for b in page.blocks if not page.out[b.element]]
     if not any(page.vote):
@@ -163,11 +177,15 @@ def _shown(page: Page) -> list[Block]:
         links[b.element] += min(b.linked, len(b.text))
         article[b.element] += page.inside[b.element]
     total, linked, holds = page.summed(length), page.summed(links), page.summed(article)
-    away = [False] * len(page.tag)
+    plain = lambda e: total[e] - linked[e]
+    away, top = [False] * len(page.tag), [0] * len(page.tag)  # top: the article around
     for e in range(1, len(away)):
-        vote = page.vote[e]
+        vote, up = page.vote[e], page.parent[e]
+        top[e] = (top[up] or e) if page.inside[e] else 0
         around = holds[e] and not page.inside[e]  # the article is in it
-        own = vote and not around and 2 * total[e] <= total[0] and (vote == 2 or 2 * linked[e] > total[e])
+        most = total[top[e]] if page.inside[e] else 0 if holds[0] else total[0]
+        alone = not holds[0] and plain(0) - plain(e) < BESIDE * plain(e)  # without an article, next to nothing lies beside it
+        own = vote and not around and (vote > 1 or 2 * linked[e] > total[e]) and (not alone if vote == 3 else not most or 2 * total[e] <= most)
         away[e] = bool(own) or away[page.parent[e]]
     return [b for b in open_ if not away[b.element]] or open_
 
@@ -269,6 +287,7 @@ def parse(html: str) -> Page:
             page.out.append(out or page.out[up])
             page.inside.append(inside)
             page.vote.append(0 if page.out[-1] else vote)
+            page.whole.append(page.whole[up] or (len(page.tag) - 1 if tag in _WHOLE else 0))
     flush()
     return page
 
@@ -296,13 +315,13 @@ def _smooth(x: list[float]) -> list[float]:
     return out
 
 
-def _inside(page: Page, kept: list[Block], score: list[float]) -> list[int]:
-    """The blocks of the article or main elements, or else of the lowest element around all paths over the threshold."""
+def _inside(page: Page, kept: list[Block], score: list[float]) -> tuple[list[int], bool]:
+    """The blocks of the content, and whether it is named: the blocks of the article or main elements, or else of the lowest element around all paths over the threshold."""
     bound = LEAST * min(max(score), PARAGRAPH)
     body = [k for k, s in enumerate(score) if s >= bound]
     named = [k for k, b in enumerate(kept) if page.inside[b.element]]
     if 2 * sum(len(kept[k].text) for k in body if page.inside[kept[k].element]) >= sum(len(kept[k].text) for k in body):
-        return named
+        return named, True
     holds = page.summed(Counter(kept[k].element for k in body))
     content = kept[body[0]].element
     # The lowest around all; a lone long paragraph, list or table is no container.
@@ -315,7 +334,32 @@ def _inside(page: Page, kept: list[Block], score: list[float]) -> list[int]:
     # Blocks that are all links and lie before or after everything else are the page's, not the content's.
     own = [i for i, k in enumerate(inside) if kept[k].linked < len(kept[k].text) or page.heading(kept[k])]
     own = own or range(len(inside))
-    return inside[own[0] : own[-1] + 1]
+    return inside[own[0] : own[-1] + 1], False
+
+
+def _led(page: Page, kept: list[Block], inside: list[int], own: list[float]) -> list[int]:
+    """An article's blocks: all but those on paths made of links that no heading leads to."""
+    out, led = [], False
+    for k in inside:
+        plain = own[k] >= OWN
+        if page.heading(kept[k]) or plain or led:
+            out.append(k)
+        led = page.heading(kept[k]) or led and not plain
+    return out
+
+
+def _chosen(page: Page, kept: list[Block], inside: list[int], score: list[float], own: list[float]) -> list[int]:
+    """The blocks inside that belong to the text, where no element says so."""
+    text = [k for k in inside if not page.heading(kept[k])]
+    if not text:
+        return inside
+    # What lies beside content is likely content, but not where a path is made of links.
+    smooth = [s * own[k] for k, s in zip(text, _smooth([score[k] for k in text]))]
+    bound = LEAST * min(max(smooth), PARAGRAPH)
+    over = [kept[k].element for k, s in zip(text, smooth) if s >= bound]
+    paths, wholes = {page.path[e] for e in over}, {page.whole[e] for e in over} - {0}
+    in_whole = lambda k: page.whole[kept[k].element] in wholes and own[k] >= OWN
+    return [k for k in inside if page.path[kept[k].element] in paths or page.heading(kept[k]) or in_whole(k)]
 
 
 def _title(page: Page, kept: list[Block], inside: list[int]) -> list[int]:
@@ -338,12 +382,8 @@ def main_text(html: str | None) -> str:
     score, own = _scores(page, kept)
     if not any(score):
         score, own = [float(len(b.text)) for b in kept], [1.0] * len(kept)
-    inside = _inside(page, kept, score)
-    # What lies beside content is likely content, but not where a path is made of links.
-    smooth = [s * own[k] for k, s in zip(inside, _smooth([score[k] for k in inside]))]
-    bound = LEAST * min(max(smooth), PARAGRAPH)
-    paths = {page.path[kept[k].element] for k, s in zip(inside, smooth) if s >= bound}
-    chosen = [k for k in inside if page.path[kept[k].element] in paths or page.heading(kept[k])]
+    inside, named = _inside(page, kept, score)
+    chosen = _led(page, kept, inside, own) if named else _chosen(page, kept, inside, score, own)
     return "\n".join(kept[k].text for k in _title(page, kept, inside) + chosen)
 
 

@@ -124,3 +124,43 @@ def test_ratios_alone_remove_blocks(monkeypatch):
         assert h.main_text(page(body)).split("\n") == few, body[:20]
     without_names(monkeypatch)
     assert h.main_text(page(f"<nav>{links}</nav><div>{ps}</div><footer><span>Imprint</span></footer>")).split("\n") == few
+
+
+LISTS = {
+    "dl": ("<dl><dt>Weight<dd>5 kg<dt>Height<dd>2 m<dt>Made in<dd>Ulm</dl>", ["Weight", "5 kg", "Height", "2 m", "Made in", "Ulm"]),
+    "table": ("<table><tr><th>Weight<td>5 kg<tr><th>Height<td>2 m</table>", ["Weight", "5 kg", "Height", "2 m"]),
+    "ul": ("<ul><li>Salt<li>Two eggs<li>Milk<li>Flour<li>Oil</ul>", ["Salt", "Two eggs", "Milk", "Flour", "Oil"]),
+    "nested": ("<ul><li>Dough<ul><li>Salt<li>Milk</ul><li>Top<ul><li>Oil</ul></ul>", ["Dough", "Salt", "Milk", "Top", "Oil"]),
+}
+
+
+def test_lists_and_tables_after_headings_stay():
+    texts = [paragraph(k) for k in range(5)]
+    for around in ("<article>{}</article>", "<main>{}</main>", "<div class='post'>{}</div>"):
+        for heads in ([], ["h2"], ["h2", "h3"]):
+            for body, want in LISTS.values():
+                titles = "".join(f"<{t}>{t} title</{t}>" for t in heads)
+                got = h.main_text(page(around.format("".join(f"<p>{t}</p>" for t in texts) + titles + body)))
+                assert got.split("\n") == texts + [f"{t} title" for t in heads] + want, (around, heads, body)
+
+
+def test_long_comments_and_sidebars_go():
+    texts, others = [paragraph(k) for k in range(2)], [paragraph(k, 150) for k in range(30, 42)]
+    ps = lambda texts: "".join(f"<p>{t}</p>" for t in texts)
+    for name in ("class='comments'", "class='sidebar'", "id=comments", "class='post-replies'", "id='right-sidebar'"):
+        away = f"<div {name}>{ps(others)}</div>"
+        for body in (f"<article>{ps(texts)}</article>{away}", f"{away}<main>{ps(texts)}</main>", f"<article>{ps(texts)}{away}</article>", f"<div class='story'>{ps(texts)}</div>{away}", f"<div>{ps(texts)}{away}</div>"):
+            assert h.main_text(page(body)).split("\n") == texts, (name, body[:60])
+    for name in ("class='social'", "id='newsletter'"):  # beside an article no name is spared for its length, but the article's own text is
+        assert h.main_text(page(f"<article>{ps(texts)}</article><div {name}>{ps(others)}</div>")).split("\n") == texts
+        assert h.main_text(page(f"<article><h1>T</h1><div {name}>{ps(texts)}</div></article>")).split("\n") == ["T", *texts]
+    assert h.main_text(page(f"<div class='comments'>{ps(texts)}</div>")) != ""  # nothing else would be left
+
+
+def test_formulas_and_references_stay():
+    texts = [paragraph(k) for k in range(3)]
+    body = "".join(f"<p>{t}</p>" for t in texts) + "<p>Let <math><mi>x</mi></math> be one, so it is.</p>"
+    refs = "<h2>References</h2><ul><li><a href=a>First source</a><li><a href=b>Second source</a></ul>"
+    links = "<ul><li><a href=a>Home</a><li><a href=b>Archive</a></ul>"
+    got = h.main_text(page(f"<article>{links}{body}{refs}</article>")).split("\n")
+    assert got == [*texts, "Let x be one, so it is.", "References", "First source", "Second source"]
