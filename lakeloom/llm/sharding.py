@@ -89,14 +89,16 @@ def _even_out(shard: np.ndarray, load: np.ndarray, gap: int, hi: int, lo: int) -
 def rebalance(old: SlotMap, load: np.ndarray, shards: int) -> SlotMap:
     """The next version: few slots move until shard loads are near equal.
 
-    Overloaded shards release slots down to the mean, released slots go to
+    Shards from ``shards`` on are closed and release all their slots, empty
+    ones too. Overloaded shards release slots down to the mean, released slots go to
     the lightest shards, largest first, and then single moves or swaps
     between the heaviest and the lightest shard even out the rest.
     """
     shard = old.shard.copy()
-    total = np.bincount(shard, load, shards).astype(np.int64)
-    mean = total.sum() / shards
-    free: list[int] = []
+    open_ = shard < shards
+    total = np.bincount(shard[open_], load[open_], shards).astype(np.int64)
+    mean = load.sum() / shards
+    free: list[int] = np.flatnonzero(~open_).tolist()
     for s in range(shards):
         own = np.flatnonzero(shard == s)
         for slot in own[np.argsort(-load[own], kind="stable")]:

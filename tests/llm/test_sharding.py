@@ -82,3 +82,22 @@ def test_odd_rows(spark):
         assert sorted(r.place for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
     empty, m = sharding.shard_records(df.limit(0), 2)
     assert empty.count() == 0 and (m.shard == sharding.first_map(2).shard).all()
+
+
+def test_fewer_shards_take_over_all_slots(spark, tmp_path):
+    root = str(tmp_path / "maps")
+    rows = spark.range(30_000).selectExpr("id as doc_id", "concat(repeat('x', 1 + id % 50), id) as text")
+    wide = {r.id: r.shard for r in sharding.shard_records(rows, 16, root)[0].collect()}
+    placed, m = sharding.shard_records(rows, 8, root)
+    narrow = placed.collect()
+    assert m.version == 2 and set(m.shard) == set(range(8)) == {r.shard for r in narrow}
+    sums = np.zeros(8, np.int64)
+    for r in narrow:
+        sums[r.shard] += r.size
+    assert sums.max() - sums.min() <= 20
+    moved = np.mean([wide[r.id] != r.shard for r in narrow])
+    assert 0.5 <= moved < 0.55  # what the closed shards held, and little else
+    for s in range(8):
+        assert sorted(r.place for r in narrow if r.shard == s) == list(range(sum(r.shard == s for r in narrow)))
+    one = sharding.rebalance(m, np.zeros(sharding.SLOTS, np.int64), 1)  # slots without a record too
+    assert (one.shard == 0).all()
