@@ -49,7 +49,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile("[0-9]")
 
 _WIDE = {
-    "email": re.compile(r"[\w.%+-]{1,64}\x20?(?:\(at\)|\[at\]|\{at\}|\x20at\x20)\x20?[\w-]{1,63}(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[A-Za-z]{2,24})+"),
+    "email": re.compile(r"(?<![\w.%+-])[\w.%+-]++\x20?(?:\(at\)|\[at\]|\{at\}|\x20at\x20)\x20?[\w-]++(?:\x20?(?:\(dot\)|\[dot\]|\x20dot\x20|\.)\x20?[A-Za-z]{2,}+)+"),
     "ip": re.compile(r"(?<![0-9A-Za-z:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![0-9A-Za-z:])"),
     "card": _CARD,
     "phone": re.compile(r"(?<![0-9A-Za-z.+-])\(?0?[0-9]{2,4}\)?[\x20./-][0-9]{3,4}(?:[\x20.-][0-9]{2,4}){1,3}(?![0-9A-Za-z-])"),

@@ -149,3 +149,12 @@ def test_long_texts_take_linear_time(spark):
     began = time.perf_counter()
     (row,) = pii.find_personal_data(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
     assert len(text) > 3_500_000 and len(row.base) == 100_000 and time.perf_counter() - began < 90
+
+
+def test_long_addresses_are_whole():
+    local, domain = "a.very.long-name_" * 20 + "x", "sub-domain" * 12
+    for text in (f"write to {local} at {domain}.example.com now", f"{local}(at){domain} dot {'c' * 40}"):
+        found = [text[a:b] for kind, a, b in pii.candidates(text, pii.base_spans(text)) if kind == "email"]
+        assert len(found) == 1 and found[0].startswith(local) and found[0].endswith(("example.com", "c" * 40))
+    long = "w" * 300_000 + " at " + "v" * 300_000
+    assert [k for k, *_ in pii.candidates(long, [])] == []
