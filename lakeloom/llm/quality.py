@@ -42,9 +42,9 @@ from .storage import materialize
 
 #: Mass of a cell that its estimate rests on; up to the rest may be outliers.
 SHARE = 0.6
-#: Steps that all starts take, and the most that the best one takes after them.
-STEPS, MOST_STEPS = 2, 12
-#: Change of a log-determinant below which it has settled.
+#: Steps that all starts take; the best one goes on from there.
+STEPS = 2
+#: Fall of a log-determinant from which its cell takes another step.
 SETTLED = 1e-4
 INNER, TAIL = 0.975, 1e-6
 #: Documents that a cell needs for an estimate of its own.
@@ -107,7 +107,7 @@ def base_statistics(df: DataFrame, text_col: str, lang: str, source: str, carry:
     words = F.array_remove(F.split(text, f"[{_BLANK}]+"), "")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(f"[^{_BLANK}]"))
     cut = df.select(
-        F.struct(*[F.col(c) for c in carry]).alias("row"),
+        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row"),
         F.col(lang).cast("string").alias("lang"),
         F.col(source).cast("string").alias("source"),
         words.alias("words"),
@@ -200,10 +200,14 @@ def _factored(found: DataFrame) -> DataFrame:
     return found.select(*keys, *[f"m{i}" for i in range(_P)], *[f"l{i}{j}" for i, j in _PAIRS], log_det.alias("log_det"))
 
 
-def _estimate(rows: DataFrame, keys: list[str], weight: Column, factor: float) -> DataFrame:
-    """Weighted mean and covariance of the statistics per key, factored."""
+def _estimate(rows: DataFrame, keys: list[str], factor: float) -> DataFrame:
+    """Mean and covariance of the statistics per key, factored."""
     xs = [f"x{i}" for i in range(_P)]
-    found = _sums(rows.select(*keys, *xs, weight.alias("w")), keys, _moments([F.col(x) for x in xs], F.col("w")))
+    return _shaped(_sums(rows.select(*keys, *xs), keys, _moments([F.col(x) for x in xs], F.lit(1.0))), factor)
+
+
+def _shaped(found: DataFrame, factor: float) -> DataFrame:
+    """Sums of moments -> mean and covariance, factored."""
     found = found.withColumns({f"m{i}": F.col(f"m{i}") / F.col("n") for i in range(_P)})
     cov = lambda i, j: factor * (F.col(f"s{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}"))
     return _factored(found.withColumns({f"s{i}{j}": cov(i, j) for i, j in _PAIRS}))
@@ -267,30 +271,46 @@ def _starts(rows: DataFrame, send: Callable[[DataFrame], DataFrame]) -> DataFram
 
 
 def _concentrate(rows: DataFrame, params: DataFrame, send: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """One step of every (cell, start): the estimate over the mass nearest to the last one."""
-    keys = ["cell", "start"]
+    """One step of every (cell, start): the estimate over the mass nearest to the last one.
+
+    One pass over the rows: moments are summed by bin of distance, and the
+    bins below the mass' border, with the part of its own that it takes, add
+    up to those of the mass.
+    """
+    keys, xs = ["cell", "start"], [F.col(f"x{i}") for i in range(_P)]
     near = rows.join(send(params), "cell").withColumn("bin", _bin(_distance()))
-    near = near.select(*keys, *[f"x{i}" for i in range(_P)], "bin")
-    kept = near.join(send(_reached(near, keys, SHARE)), keys).filter("bin <= cut")
-    weight = F.when(F.col("bin") < F.col("cut"), 1.0).otherwise(F.col("part"))
-    new = _estimate(kept, keys, weight, consistency())
+    moments = _moments(xs, F.lit(1.0))
+    binned = _sums(near, [*keys, "bin"], moments)
+    whole = Window.partitionBy(*keys)
+    before = F.sum("n").over(whole.orderBy("bin")) - F.col("n")
+    part = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (SHARE * F.sum("n").over(whole) - before) / F.col("n")))
+    parts = binned.withColumn("part", part).filter("part > 0")
+    found = parts.groupBy(*keys).agg(*[F.sum(F.col("part") * F.col(m)).alias(m) for m in moments])
+    new = _shaped(found, consistency())
     return materialize(new.join(send(params.select(*keys, F.col("log_det").alias("was"))), keys), "params")
 
 
 def least_determinant(rows: DataFrame, send: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
-    """The raw estimate per cell from rows (cell, x0, x1, ...)."""
+    """The raw estimate per cell from rows (cell, x0, x1, ...).
+
+    All starts take ``STEPS`` steps. The best one of each cell goes on as long
+    as its determinant falls; a cell that has settled takes no more part.
+    Every further step lowers a log-determinant, which the floors bound, by
+    ``SETTLED``, so this ends.
+    """
     params = materialize(_starts(rows, send), "starts")
     for _ in range(STEPS):
         params = _concentrate(rows, params, send)
     every = [c for c in params.columns if c not in ("cell", "was")]
     best = params.groupBy("cell").agg(F.min_by(F.struct(*every), F.struct("log_det", "start")).alias("e"))
-    params = materialize(best.select("cell", "e.*"), "best")
-    for _ in range(MOST_STEPS):
-        params = _concentrate(rows, params, send)
-        moved = params.agg(F.max(F.abs(F.col("log_det") - F.col("was")))).first()[0]
-        if moved is None or moved < SETTLED:
-            break
-    return params
+    going, settled = materialize(best.select("cell", "e.*"), "best"), []
+    falls = F.coalesce(F.col("log_det") < F.col("was") - SETTLED, F.lit(False))
+    while True:
+        moved = _concentrate(rows, going, send)
+        settled.append(moved.filter(~falls))
+        going = moved.filter(falls).drop("was")
+        if going.isEmpty():
+            return reduce(DataFrame.unionByName, settled)
 
 
 def fit(rows: DataFrame, send: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
@@ -298,7 +318,7 @@ def fit(rows: DataFrame, send: Callable[[DataFrame], DataFrame] = lambda df: df)
     raw = least_determinant(rows, send)
     inner = rows.join(send(raw), "cell").filter(_distance() <= chi2_quantile(INNER, _P))
     xs = [f"x{i}" for i in range(_P)]
-    return materialize(_estimate(inner.select("cell", *xs), ["cell"], F.lit(1.0), consistency(INNER)), "params")
+    return materialize(_estimate(inner.select("cell", *xs), ["cell"], consistency(INNER)), "params")
 
 
 def assess(

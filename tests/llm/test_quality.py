@@ -101,12 +101,13 @@ def test_odd_rows(spark):
              "w " * 5 + "v " * 5, rep, "l1\nl1\nl1 " + " ".join(map(str, range(300)))]
     rows = [(None if i == 2 else i, t, None if i % 2 else "en", None if i % 3 else "s") for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    df = df.selectExpr("*", "1 as n_words", "2 as row", "3 as cell", "4 as key")
+    df = df.selectExpr("*", "1 as n_words", "2 as row", "3 as cell", "4 as key", "5 as `a.b`")
+    assert q.assess(df).select("row.*").columns == df.columns
     got = q.assess(df).collect()
     assert len(got) == len(texts)
     for r in got:
         want = slow_base(r.row.text)
-        assert tuple(r)[1:7] == want and r.kept == (not want[-1]) and r.row.n_words == 1
+        assert tuple(r)[1:7] == want and r.kept == (not want[-1]) and r.row.n_words == 1 and r.row["a.b"] == 5
     assert q.assess(df.limit(0)).count() == 0
 
 
