@@ -374,10 +374,13 @@ def redact_secrets(df: DataFrame, text_col: str = "text", length_col: str | None
     scanned = materialize(scan(df.select(F.lit(0).alias("id"), text_col), "id", text_col), "scanned")
     shared = df.sparkSession.sparkContext.broadcast(learn(scanned))
 
+    text_at = df.columns.index(text_col)
+    length_at = df.columns.index(length_col) if length_col in df.columns else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = shared.value
         for b in batches:
-            at = b.schema.get_field_index(text_col)
+            at = text_at
             texts = []
             for text in b.column(at).to_pylist():
                 spans = base_spans(text or "")
@@ -385,14 +388,16 @@ def redact_secrets(df: DataFrame, text_col: str = "text", length_col: str | None
                     spans = spans + f.found(text or "", SpanIndex(spans))
                 texts.append(replace(text, spans) if spans else text)
             b = b.set_column(at, b.schema.field(at), pa.array(texts, b.schema.field(at).type))
-            n = b.schema.get_field_index(length_col or "")
-            if n >= 0:
+            n = length_at
+            if n is not None:
                 old = b.column(n).to_pylist()
                 new = [len(x) if x is not None and y is not None else y for x, y in zip(texts, old)]
                 b = b.set_column(n, b.schema.field(n), pa.array(new, b.schema.field(n).type))
             yield b
 
-    return df.mapInArrow(run, df.schema)
+    # Columns go by place, so that any name will do.
+    names, places = df.columns, [f"c{k}" for k in range(len(df.columns))]
+    return df.toDF(*places).mapInArrow(run, T.StructType([T.StructField(p, f.dataType) for p, f in zip(places, df.schema)])).toDF(*names)
 
 
 def op7_inferred_secret_formats(spark, sf_dir: str) -> DataFrame:

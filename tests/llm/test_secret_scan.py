@@ -40,12 +40,12 @@ def test_documents(spark):
 
 
 def test_odd_texts(spark):
-    df = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string").selectExpr("*", "1 as base", "2 as spans", "3 as id")
+    df = spark.createDataFrame(list(enumerate(ODD)), "doc_id long, text string").selectExpr("*", "1 as base", "2 as spans", "3 as id", "4 as `a.b`")
     for r in s.find_secrets(df).collect():
         assert [tuple(x) for x in r.base] == slow_base(ODD[r.id])
     assert s.find_secrets(df.limit(0)).count() == 0
     out = {r.doc_id: r for r in s.redact_secrets(df).collect()}
-    assert out[0].text is None and out[4].text == "[access] AKIA123" and out[10].text == "dup [assign]" and out[1].spans == 2
+    assert out[0].text is None and out[4].text == "[access] AKIA123" and out[10].text == "dup [assign]" and out[1].spans == 2 and out[1]["a.b"] == 4
     assert out[5].text == "é" * 50 + " [assign]"
     assert s.redact_secrets(df).columns == df.columns
 
