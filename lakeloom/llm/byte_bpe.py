@@ -41,10 +41,14 @@ from .storage import materialize
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Most words of the corpus that are replayed once for all tasks.
 HOT = 32_768
+#: Bytes of the longest of them; longer words are replayed in the blocks that hold them.
+HOT_BYTES = 256
 #: Bins that a doubling of a word's count takes.
 _BINS = 16
 #: Distinct other words, and distinct matches, that a task remembers between blocks.
 REMEMBERED = 100_000
+#: Their bytes.
+REMEMBERED_BYTES = 32 << 20
 #: Bytes of text after which a block ends.
 BLOCK_BYTES = 2 << 20
 
@@ -118,7 +122,8 @@ class ByteBpe:
 
     def encode_block(self, texts: list[str]) -> list[np.ndarray]:
         own = len(self.pieces) - (len(self.hot[0]) if self.hot else 0)
-        if max(len(self.words), own, len(self.heads)) > REMEMBERED:
+        size = self.words.size + self.pieces.size + self.heads.size
+        if max(len(self.words), own, len(self.heads)) > REMEMBERED or size > REMEMBERED_BYTES:
             self._forget()
         code = self.pieces.__getitem__
         cut, heads = [], []
@@ -168,7 +173,8 @@ def hot_words(df: DataFrame, shared: Broadcast[bytes], text_col: str = "text", m
     """Frequent words of the corpus, their ids end to end, and how many each has.
 
     They are those found at least so often that there are no more than
-    ``most``, by bins of counts; words found once are never among them.
+    ``most``, by bins of counts; words found once, and words of more than
+    ``HOT_BYTES``, are never among them.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,7 +187,7 @@ def hot_words(df: DataFrame, shared: Broadcast[bytes], text_col: str = "text", m
 
     # Words that open or end with white space meet other rules; texts that hold one are encoded whole.
     plain = F.col("word").rlike(r"^\S(?s:.*\S)?$") & ~F.col("word").rlike(r"^\p{Z}|\p{Z}$")
-    counts = count_words(df, text_col).filter((F.col("n") > 1) & plain)
+    counts = count_words(df, text_col).filter((F.col("n") > 1) & (F.octet_length("word") <= HOT_BYTES) & plain)
     counts = materialize(counts.select("word", F.floor(F.log2("n") * _BINS).cast("int").alias("bin")), "words")
     cut, room = None, most
     for r in sorted(counts.groupBy("bin").agg(F.count("*").alias("n")).collect(), reverse=True):  # at most 64 * _BINS

@@ -165,12 +165,13 @@ class Lexicon(dict):
     """Codes of words, and the token ids of each code once ``settle`` ran.
 
     ``settle`` encodes the words met since its last call as one block. The
-    lexicon is dropped by its owner when it outgrows its bound.
+    lexicon is dropped by its owner when it outgrows its bounds of words or of
+    ``size``, the bytes of the words (by characters) and their ids.
     """
 
     def __init__(self, encode):
         super().__init__()
-        self.encode, self.fresh = encode, []
+        self.encode, self.fresh, self.size = encode, [], 0
         self.ids, self.starts, self.lens = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def __missing__(self, word):
@@ -186,6 +187,7 @@ class Lexicon(dict):
     def settle(self) -> None:
         if self.fresh:
             ids, lens = self.encode(self.fresh)
+            self.size += sum(map(len, self.fresh)) + 4 * len(ids)
             starts = len(self.ids) + np.cumsum(lens) - lens
             self.ids, self.starts, self.lens = (
                 np.concatenate(x) for x in ((self.ids, ids), (self.starts, starts), (self.lens, lens))

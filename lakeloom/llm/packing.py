@@ -53,6 +53,8 @@ LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 BLOCK_TOKENS = 2 << 20
 #: Distinct pieces, and distinct words, that a task remembers between blocks.
 REMEMBERED = 300_000
+#: Their bytes.
+REMEMBERED_BYTES = 64 << 20
 #: Bytes of text that are encoded at once.
 BLOCK_BYTES = 8 << 20
 
@@ -111,7 +113,7 @@ class WordBpe:
 
     def encode_block(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The texts' ids, end to end, and how many each has."""
-        if max(len(self.words), len(self.pieces)) > REMEMBERED:
+        if max(len(self.words), len(self.pieces)) > REMEMBERED or self.words.size + self.pieces.size > REMEMBERED_BYTES:
             self._forget()
         texts = texts.fill_null("")
         if self.specials and pc.any(pc.match_substring_regex(texts, self.specials.pattern)).as_py():

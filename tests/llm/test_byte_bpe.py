@@ -78,3 +78,18 @@ def test_forgetting_keeps_the_hot_words(monkeypatch):
     for k in range(6):
         texts = [f"a the {k} of w{j} straße the" for j in range(k + 1)]
         assert [x.tolist() for x in bpe.encode_block(texts)] == [lib.encode_ordinary(t) for t in texts]
+
+
+def test_long_repeated_words_are_neither_hot_nor_remembered(spark, monkeypatch):
+    lib, long = library(), [base64.b64encode(np.random.default_rng(k).bytes(75_000)).decode() for k in range(6)]
+    texts = [f"an image {w} and the text" for w in long * 2]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with open(P.path(byte_bpe.VOCABULARY), "rb") as f:
+        data = f.read()
+    words = byte_bpe.hot_words(docs, spark.sparkContext.broadcast(data))[0].to_pylist()
+    assert "image" in words and max(map(len, words)) <= byte_bpe.HOT_BYTES
+    monkeypatch.setattr(byte_bpe, "REMEMBERED_BYTES", 1_000_000)
+    bpe = byte_bpe.ByteBpe(data)
+    for t in texts:
+        assert bpe.encode_block([t])[0].tolist() == lib.encode_ordinary(t)
+        assert bpe.words.size + bpe.pieces.size + bpe.heads.size < 3_000_000
