@@ -196,7 +196,7 @@ def rows_of(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str
 
 def faults(rows: DataFrame) -> DataFrame:
     """Distinct rows (conv, turn, role, digest, n, blank, broken, first): ``first`` if its role and text did not occur before."""
-    ending = F.regexp_extract("text", r"([^\x20\x09-\x0D])[\x20\x09-\x0D]*$", 1)
+    ending = F.substring(F.rtrim(F.col("text"), F.lit(" \t\n\x0b\x0c\r")), -1, 1)
     each = rows.select("conv", "turn", "role", "digest", "n", ending.alias("ending")).groupBy("conv", "turn", "role", "digest")
     once = each.agg(F.sum("n").alias("n"), F.first("ending").alias("ending"))
     once = once.withColumns({"blank": F.col("ending") == "", "broken": ~F.col("ending").isin(".", "!", "?")}).drop("ending")
@@ -525,3 +525,44 @@ def op11_conversation_repair(spark, sf_dir: str) -> DataFrame:
     found = materialize(audits(rows), "audits")
     hashed = digests(rows, found).select(F.col("conv").alias("c"), F.col("sha256").alias("repaired_sha256"))
     return found.join(hashed, F.col("conv").eqNullSafe(F.col("c"))).drop("c").withColumnRenamed("conv", "conv_id")
+
+
+_INSERTS = """(VALUES (0, '', 0, 0, ''), (1, '', 1, 0, ''), (2, '', 2, 0, ''), (3, '', 3, 0, ''), (0, 'I', 2, 5, 'user:'), (1, 'I', 2, 5, 'user:'),
+    (3, 'I', 2, 5, 'user:'), (2, 'I', 3, 5, 'assistant:'), (0, 'II', 3, 10, 'user:' || chr(10) || 'assistant:'), (1, 'II', 3, 10, 'user:' || chr(10) || 'assistant:'),
+    (3, 'II', 3, 10, 'user:' || chr(10) || 'assistant:'), (2, 'II', 2, 10, 'assistant:' || chr(10) || 'user:')) AS inserts(s, letters, t, price, line)"""
+_EDITS = """(VALUES (0, 'D', '', 0, 2), (1, 'D', '', 1, 2), (2, 'D', '', 2, 2), (3, 'D', '', 3, 2), (0, 'K', 's', 1, 0), (0, 'K', 'u', 2, 0), (1, 'K', 'u', 2, 0),
+    (3, 'K', 'u', 2, 0), (2, 'K', 'a', 3, 0), (0, 'R', '', 2, 1), (1, 'R', '', 2, 1), (3, 'R', '', 2, 1), (2, 'R', '', 3, 1)) AS edits(s, letter, initial, t, price)"""
+#: The plain recursion over rows and states, each with its cheapest edits and lines so far.
+ORACLE_SQL = rf"""WITH RECURSIVE bytes AS (SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+      ORDER BY b) AS crc FROM (SELECT unnest(range(256)) AS b)),
+    convs AS (SELECT conv_id, row_number() OVER () AS c FROM (SELECT DISTINCT conv_id FROM conversations)),
+    rows AS (SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+      list_transform(string_split(coalesce(CAST(m.conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT)) AS shown
+      FROM conversations m JOIN convs ON m.conv_id IS NOT DISTINCT FROM convs.conv_id),
+    kinds AS (SELECT * EXCLUDE (shown, crc), xor(list_reduce(list_prepend(4294967295, shown), lambda a, b: xor(a >> 8, crc[CAST(xor(a, b) & 255 AS INTEGER) + 1])), 4294967295) % 20 AS kind
+      FROM rows, bytes),
+    damaged AS (SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+      CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+      unnest(range(CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM kinds),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, md5(text), copy) AS i,
+      regexp_extract(text, '([^ 	-])[ 	-]*$', 1) AS ending FROM damaged),
+    judged AS (SELECT *, CASE WHEN ending = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+      lag(role[1]) OVER (PARTITION BY c ORDER BY i) || role[1] AS pair FROM placed),
+    counted AS (SELECT c, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+      count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+      count(*) FILTER (i > 1 AND pair NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY c),
+    dp AS (SELECT c, CAST(0 AS BIGINT) AS i, 0 AS s, 0 AS cost, '' AS audit, '' AS body FROM convs
+      UNION ALL SELECT c, i, s, cost, audit, body FROM (SELECT *, row_number() OVER (PARTITION BY c, s ORDER BY cost, audit) AS best FROM (
+        SELECT dp.c, judged.i, edits.t AS s, dp.cost + inserts.price + edits.price + CASE WHEN fault = 'truncated' AND letter <> 'D' THEN 5 ELSE 0 END AS cost,
+          audit || letters || letter AS audit, body || CASE WHEN body <> '' AND line <> '' THEN chr(10) ELSE '' END || line
+            || CASE WHEN letter = 'D' THEN '' ELSE CASE WHEN body <> '' OR line <> '' THEN chr(10) ELSE '' END
+              || CASE WHEN letter = 'K' THEN role WHEN edits.t = 2 THEN 'user' ELSE 'assistant' END || ':' || text END AS body
+        FROM dp JOIN judged ON judged.c = dp.c AND judged.i = dp.i + 1 JOIN {_INSERTS} ON inserts.s = dp.s JOIN {_EDITS} ON edits.s = inserts.t
+          AND (letter <> 'K' OR edits.initial = role[1]) AND (letter = 'D' OR fault NOT IN ('blank', 'duplicate')))) WHERE best = 1),
+    ends AS (SELECT dp.c, cost + price AS cost, audit || letters AS audit, body || CASE WHEN body <> '' AND line <> '' THEN chr(10) ELSE '' END || line AS body
+      FROM dp LEFT JOIN counted ON counted.c = dp.c JOIN {_INSERTS} ON inserts.s = dp.s WHERE dp.i = coalesce(n, 0) AND inserts.t IN (0, 3)),
+    chosen AS (SELECT * FROM ends QUALIFY row_number() OVER (PARTITION BY c ORDER BY cost, audit) = 1)
+    SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+      coalesce(illegal, 0) AS illegal, CAST(cost AS BIGINT) AS cost, audit, sha256(body) AS repaired_sha256
+    FROM convs JOIN chosen USING (c) LEFT JOIN counted USING (c)"""

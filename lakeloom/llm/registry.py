@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, embedding_dedup, url_filter
+from . import conversation_repair, decontaminate, embedding_dedup, url_filter
 from .byte_bpe import op9_byte_bpe
 from .conversation_repair import op11_conversation_repair
 from .decontaminate import op13_benchmark_decontamination
@@ -35,5 +35,6 @@ QUERIES = {f.__name__: f for f in (
 ORACLES: dict[str, str] = {
     "op1_url_filters": url_filter.oracle_sql(),
     "op6_embedding_near_dedup": embedding_dedup.ORACLE_SQL,
+    "op11_conversation_repair": conversation_repair.ORACLE_SQL,
     "op13_benchmark_decontamination": decontaminate.ORACLE_SQL,
 }

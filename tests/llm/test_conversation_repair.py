@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import duckdb
 from lakeloom.llm import conversation_repair as c
 
 SPACE = " \t\n\v\f\r"
@@ -95,7 +96,7 @@ def ordered(rows):
 
 
 def some_rows(rng, n):
-    texts = ["a.", "b!", "cut", " ", "", "x? ", "y.\n", "é…", "long " * 50 + "."]
+    texts = ["a.", "b!", "cut", " ", "", "x? ", "y.\n", "é…", "long " * 50 + ".", "z.\u2028", "v.\u2029\n"]
     return [(rng.choice([None, *range(9)]), rng.choice(["system", "user", "assistant", "user", "assistant", "tool", "", "User", " "]), rng.choice(texts) or "") for _ in range(n)]
 
 
@@ -120,12 +121,19 @@ def test_matrices_and_choices_equal_the_recursion():
     assert c.run(1, 1000) == c.piece(c.packed(c.np.ones(1000, int), c.np.ones(1000, int)))
 
 
+def by_sql(path):
+    con = duckdb.connect()
+    con.execute(f"create view conversations as select * from '{path}'")
+    return sorted(con.execute(c.ORACLE_SQL).fetchall(), key=str)
+
+
 def test_whole_table(spark, sf_dir):
     rows = [tuple(r) for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text").collect()]
     want = sorted((k, *report(ordered(v))) for k, v in damage(rows).items())
     df = c.op11_conversation_repair(spark, sf_dir)
     assert df.columns == ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
-    assert sorted(map(tuple, df.collect())) == want
+    got = sorted(map(tuple, df.collect()))
+    assert got == want and by_sql(f"{sf_dir}/conversations.parquet") == sorted(got, key=str)
     assert any(r[5] for r in want) and any("R" in r[7] for r in want) and any(not r[6] for r in want)
 
 
@@ -146,6 +154,9 @@ def test_odd_rows_and_long_conversations(spark, tmp_path):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     want = {k: report(ordered(v)) for k, v in damage(rows).items()}
     assert got == want
+    few = df.filter("conv_id is null or conv_id <> 77")
+    few.coalesce(1).write.parquet(str(tmp_path / "few"))
+    assert by_sql(str(tmp_path / "few" / "*.parquet")) == sorted(((k, *v) for k, v in want.items() if k != 77), key=str)
     assert got[[k for k in range(100, 160) if zlib.crc32(f"{k}:0".encode()) % 20 == 0][0]] == (0,) * 6 + ("", hashlib.sha256(b"").hexdigest())
     empty = c.audits(c.rows_of(df.limit(0)))
     assert empty.count() == 0
