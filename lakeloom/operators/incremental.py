@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..sources.tables import bucket_of, current_version, snapshot_read_as_of, snapshot_write
+from ..sources.tables import bucket_count, bucket_of, buckets_for, current_version, snapshot_read_as_of, snapshot_write
 
 
 def sign_of_change(kind: str = "_change_type") -> Column:
@@ -89,9 +89,10 @@ def store_state(spark: SparkSession, root: str, delta: GroupState, note: str) ->
         path = f"{root}/{name}"
         last = current_version(spark, path)
         if last is None:
-            snapshot_write(rows, path, note, keys)
+            snapshot_write(rows, path, note, keys, buckets_for(rows))
         elif spark.read.parquet(f"{path}/versions").filter(F.col("note") == note).isEmpty():
-            hit = [r[0] for r in rows.select(bucket_of(keys)).distinct().collect()]  # no more than there are buckets
+            of = bucket_count(spark, path, last)
+            hit = [r[0] for r in rows.select(bucket_of(keys, of)).distinct().collect()]  # no more than there are buckets
             snapshot_write(_added(snapshot_read_as_of(spark, path, last, hit), rows, keys), path, note, keys)
     return read_state(spark, root, delta.group)
 

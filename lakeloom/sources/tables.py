@@ -242,45 +242,65 @@ def current_version(spark: SparkSession, root: str) -> int | None:
     return spark.read.parquet(f"{root}/versions").agg(F.max("version")).first()[0]
 
 
-#: Parts that the keys of a table kept by key are hashed into.
+#: Parts that the keys of a table kept by key are hashed into, where nothing else is said.
 BUCKETS = 64
+#: Bytes that a part should hold, about, and most parts.
+BUCKET_BYTES, MOST_BUCKETS = 1 << 30, 100_000
+#: Bytes of a row's JSON that take one byte in the files, about.
+_PACKED = 4
 
 
 def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
-def snapshot_write(df: DataFrame, root: str, note: str = "", keys: Sequence[str] = ()) -> int:
+def buckets_for(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """How many parts rows need that are to be kept by key, by their measured size; at least ``BUCKETS``."""
+    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))).first()[0] or 0
+    return max(BUCKETS, min(MOST_BUCKETS, -(-size // (_PACKED * bucket_bytes))))
+
+
+def bucket_count(spark: SparkSession, root: str, version: int) -> int:
+    """The number of key buckets of a version that is kept by key."""
+    return _marks(spark, root, version)[-1].of
+
+
+def snapshot_write(df: DataFrame, root: str, note: str = "", keys: Sequence[str] = (), buckets: int | None = None) -> int:
     """Write the next version; returns its number. ``note`` is kept with it.
 
     With ``keys`` the rows must be all of the key buckets that they fall in.
     Only these are written; the version has the other buckets as the last one
     has them, in the same files. A root is kept by key from its first version
-    on, or never.
+    on, or never. ``buckets`` is how many there are, by default as many as
+    before; another number asks for all rows of the table.
     """
     spark = df.sparkSession
     last = current_version(spark, root)
-    version = 0 if last is None else last + 1
-    if last is not None and bool(keys) != bool(_marks(spark, root, last)[-1].buckets):
-        raise ValueError(f"the versions of {root} are {'not ' if keys else ''}kept by key")
+    version, of = 0 if last is None else last + 1, buckets or BUCKETS
+    if last is not None:
+        mark = _marks(spark, root, last)[-1]
+        if bool(keys) != bool(mark.buckets):
+            raise ValueError(f"the versions of {root} are {'not ' if keys else ''}kept by key")
+        of = buckets or mark.of
     path, by = f"{root}/v={version}", ["_bucket"] if keys else []
-    rows = df.withColumn("_bucket", bucket_of(keys)).hint("rebalance", "_bucket") if keys else df
+    rows = df.withColumn("_bucket", bucket_of(keys, of)).hint("rebalance", "_bucket") if keys else df
     written = committed_row_count(rows, lambda d: d.write.mode("overwrite").partitionBy(*by).parquet(path))
-    buckets = None
+    found = None
     if keys and not written:  # a folder without rows, for the schema
         df.limit(0).write.mode("overwrite").parquet(f"{path}/_bucket=-1")
-        buckets = [-1]
+        found = [-1]
     elif keys:
-        buckets = sorted(r[0] for r in spark.read.parquet(path).select("_bucket").distinct().collect())  # BUCKETS at most
-    mark = spark.createDataFrame([(version, written, note, buckets)], "version int, rows bigint, note string, buckets array<int>")
+        found = sorted(r[0] for r in spark.read.parquet(path).select("_bucket").distinct().collect())  # no more than there are buckets
+    mark = spark.createDataFrame([(version, written, note, found, of)], "version int, rows bigint, note string, buckets array<int>, of int")
     mark.coalesce(1).write.mode("append").parquet(f"{root}/versions")
     return version
 
 
 def _marks(spark: SparkSession, root: str, version: int) -> list:
     """The versions up to one, in order; one row each."""
-    known = spark.read.parquet(f"{root}/versions").filter(F.col("version") <= version)
-    found = sorted(known.select("version", "buckets").collect())
+    known = spark.read.option("mergeSchema", True).parquet(f"{root}/versions").filter(F.col("version") <= version)
+    of = F.coalesce(F.col("of"), F.lit(BUCKETS)) if "of" in known.columns else F.lit(BUCKETS)
+    found = sorted(known.select("version", "buckets", of.alias("of")).collect(), key=lambda m: m.version)
     if not found or found[-1].version != version:
         raise ValueError(f"{root} has no version {version}")
     return found
@@ -291,7 +311,8 @@ def snapshot_read_as_of(spark: SparkSession, root: str, version: int, buckets: S
     marks = _marks(spark, root, version)
     if not marks[-1].buckets:
         return spark.read.parquet(f"{root}/v={version}")
-    newest = {b: f"{root}/v={m.version}/_bucket={b}" for m in marks for b in m.buckets}
+    since = max((m.version for m, after in zip(marks, marks[1:]) if m.of != after.of), default=-1)  # then all rows were dealt anew
+    newest = {b: f"{root}/v={m.version}/_bucket={b}" for m in marks if m.version > since for b in m.buckets}
     paths = [path for b, path in sorted(newest.items()) if buckets is None or b in buckets]
     return spark.read.parquet(*paths) if paths else spark.read.parquet(next(iter(newest.values()))).limit(0)
 
@@ -390,9 +411,13 @@ def sketched_profile(sketches: DataFrame, by: str | None = None) -> DataFrame:
 
 
 def changed_buckets(spark: SparkSession, root: str, old: int, new: int) -> list[int] | None:
-    """The key buckets that versions after ``old`` up to ``new`` wrote; None where the table is not kept by key."""
-    marks = _marks(spark, root, new)
-    if not marks[-1].buckets:
+    """The key buckets that versions after ``old`` up to ``new`` wrote.
+
+    None stands for all rows: where the table is not kept by key, or its
+    number of buckets changed.
+    """
+    marks = [m for m in _marks(spark, root, new) if m.version >= old]
+    if not marks[-1].buckets or len({m.of for m in marks}) > 1:
         return None
     return sorted({b for m in marks if m.version > old for b in m.buckets})
 

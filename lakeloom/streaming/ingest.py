@@ -8,7 +8,16 @@ from pyspark.sql import functions as F
 from ..operators.checks import dq_flag, rules_ratings
 from ..operators.conform import conform_ratings
 from ..operators.versioning import scd2_apply, scd2_bootstrap
-from ..sources.tables import CSV_SCHEMAS, bucket_of, current_version, snapshot_read_as_of, snapshot_write
+from ..sources.tables import (
+    BUCKET_BYTES,
+    CSV_SCHEMAS,
+    bucket_count,
+    bucket_of,
+    buckets_for,
+    current_version,
+    snapshot_read_as_of,
+    snapshot_write,
+)
 
 EVENT_KEY = ("user_id", "movie_id", "interaction_timestamp")
 NATURAL_KEY = ("user_id", "movie_id")
@@ -23,24 +32,38 @@ def flagged_ratings(raw: DataFrame) -> DataFrame:
     return dq_flag(conform_ratings(raw), rules_ratings())
 
 
-def apply_batch(raw: DataFrame, root: str, note: str) -> int:
+def apply_batch(raw: DataFrame, root: str, note: str, bucket_bytes: int = BUCKET_BYTES) -> int:
     """Conform, flag and merge raw rows into the next snapshot of ``root``.
 
     Snapshots are kept by natural key: only the buckets with keys of the batch
-    are read, merged and written again.
+    are read, merged and written again. The first batch's size sets the number
+    of buckets, and a table that has outgrown them is dealt anew over more, so
+    a batch of some keys touches a share of the table that falls as it grows.
     """
     spark, rows = raw.sparkSession, flagged_ratings(raw)
     last = current_version(spark, root)
     if last is None:
         merged = scd2_bootstrap(rows, EVENT_KEY, NATURAL_KEY, "interaction_timestamp", event_order())
-    else:
-        touched = [r[0] for r in rows.select(bucket_of(NATURAL_KEY)).distinct().collect()]  # no more than there are buckets
-        target = snapshot_read_as_of(spark, root, last, touched)
-        merged = scd2_apply(target, rows, EVENT_KEY, NATURAL_KEY, "interaction_timestamp", event_order())
+        return snapshot_write(merged, root, note, NATURAL_KEY, buckets_for(rows, bucket_bytes))
+    if last and last & (last + 1) == 0:  # seldom: before versions 2, 4, 8 and so on
+        last = rebucket(spark, root, last, bucket_bytes)
+    of = bucket_count(spark, root, last)
+    touched = [r[0] for r in rows.select(bucket_of(NATURAL_KEY, of)).distinct().collect()]  # no more than there are buckets
+    target = snapshot_read_as_of(spark, root, last, touched)
+    merged = scd2_apply(target, rows, EVENT_KEY, NATURAL_KEY, "interaction_timestamp", event_order())
     return snapshot_write(merged, root, note, NATURAL_KEY)
 
 
-def stream_ingest_incremental(spark: SparkSession, folder: str, root: str, checkpoint: str, files_per_batch: int = 1000) -> int | None:
+def rebucket(spark: SparkSession, root: str, version: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """The version to go on from: one with more buckets if these have grown to twice their size, else the same."""
+    rows = snapshot_read_as_of(spark, root, version)
+    need = buckets_for(rows, bucket_bytes)
+    if need < 2 * bucket_count(spark, root, version):
+        return version
+    return snapshot_write(rows, root, f"{need} buckets", NATURAL_KEY, need)
+
+
+def stream_ingest_incremental(spark: SparkSession, folder: str, root: str, checkpoint: str, files_per_batch: int = 1000, bucket_bytes: int = BUCKET_BYTES) -> int | None:
     """Ingest the new ``ratings_<YYYY>.csv`` files of ``folder``; returns the version.
 
     The stream's checkpoint knows the files that were read. A micro-batch that
@@ -65,7 +88,7 @@ def stream_ingest_incremental(spark: SparkSession, folder: str, root: str, check
         if not done:
             batch.persist()
             try:
-                apply_batch(batch, root, note)
+                apply_batch(batch, root, note, bucket_bytes)
             finally:
                 batch.unpersist()
 

@@ -162,3 +162,28 @@ def test_a_cluster_needs_a_shared_folder():
     for master in ("spark://host:7077", "yarn", "k8s://x"):
         with pytest.raises(RuntimeError):
             session.shared_dir(bare(master))
+
+
+def test_buckets_follow_the_size_of_the_table(spark, tmp_path):
+    root = str(tmp_path / "silver")
+    raw = lambda users, at: spark.range(users[0], users[1]).selectExpr(
+        "cast(id as int) userId", "7 movieId", "3.0d rating", f"cast({at} as bigint) timestamp", "1999 _batch_year", "timestamp '1999-01-01' _ingestion_timestamp"
+    )
+    assert ingest.apply_batch(raw((0, 3000), 915148800), root, "a", bucket_bytes=1000) == 0
+    of = s.bucket_count(spark, root, 0)
+    assert 200 < of < 1000
+    assert ingest.apply_batch(raw((10, 30), 915148900), root, "b", bucket_bytes=1000) == 1
+    old, new = (set(s.snapshot_read_as_of(spark, root, v).inputFiles()) for v in (0, 1))
+    assert len(new - old) <= 20 < 0.1 * len(old) and s.changed_buckets(spark, root, 0, 1) is not None  # twenty keys of three thousand
+    got = s.snapshot_read_as_of(spark, root, 1)
+    assert got.count() == 3020 and got.filter("is_current").count() == 3000
+
+    # The table grows fourfold: before the next batch it is dealt over more buckets.
+    assert ingest.apply_batch(raw((3000, 14_000), 915148800), root, "c", bucket_bytes=1000) == 2
+    assert ingest.apply_batch(raw((0, 5), 915149000), root, "d", bucket_bytes=2**30) == 3
+    assert ingest.apply_batch(raw((0, 5), 915149100), root, "e", bucket_bytes=1000) == 5  # version 4 deals anew
+    assert s.bucket_count(spark, root, 5) > 2 * of == 2 * s.bucket_count(spark, root, 3)
+    assert s.changed_buckets(spark, root, 3, 5) is None and len(s.changed_buckets(spark, root, 4, 5)) <= 5
+    got = s.snapshot_read_as_of(spark, root, 5)
+    assert got.count() == 14_030 and got.filter("is_current").count() == 14_000 and s.snapshot_read_as_of(spark, root, 0).count() == 3000
+    assert s.snapshot_read_as_of(spark, root, 3).count() == 14_025
