@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import pickle
 import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -63,6 +64,33 @@ def read_patterns(path: str | Path = RULES_FILE) -> list[str]:
     return found
 
 
+#: Options of a list's rules that speak of whole pages, as the addresses at hand are.
+PAGE_OPTIONS = frozenset(["document", "doc", "all"])
+
+
+def read_list(path: str | Path) -> tuple[list[str], Counter]:
+    """The patterns of a published filter list, and how many rules are left out for each option.
+
+    Rules whose options all speak of whole pages stay, without them; rules
+    with others, such as ``third-party`` or ``script``, speak of requests that
+    a page makes and are left out one by one. Options follow the last ``$``.
+    """
+    kept, left = [], Counter()
+    for line in Path(path).read_text(encoding="utf-8").splitlines():
+        rule = line.strip()
+        if not rule or rule[0] in "![" or "##" in rule or "#@#" in rule or "#?#" in rule:
+            continue
+        body, mark, options = rule.rpartition("$")
+        names = {o.split("=")[0].lstrip("~") for o in options.split(",")} if mark else set()
+        if rule.startswith("/") and rule.endswith("/") and len(rule) > 1 or mark and body.startswith("/") and body.endswith("/") and len(body) > 1:
+            left["regular expression"] += 1
+        elif names <= PAGE_OPTIONS:
+            kept.append(body if mark else rule)
+        else:
+            left.update(names - PAGE_OPTIONS)
+    return kept, left
+
+
 @dataclass(frozen=True)
 class Rule:
     text: str
@@ -118,13 +146,21 @@ def _tokens(url):
     return F.array_remove(F.array_distinct(F.split(_folded(url), "[^a-z0-9]+")), "")
 
 
-def token_counts(urls: DataFrame, rules: list[Rule], url_col: str = "url") -> dict[str, int]:
-    """How many urls hold each token that some rule has; all urls count."""
+def token_counts(urls: DataFrame, rules: list[Rule], url_col: str = "url", index_bytes: int = INDEX_BYTES) -> dict[str, int]:
+    """How many urls hold each token that some rule has; all urls count.
+
+    Tokens that no rule has, as most of a url's are, go before anything is
+    counted; where the rules' tokens are too many to be sent to the tasks,
+    they go after the count.
+    """
     wanted = sorted({t for r in rules for t in r.tokens})
     spark = urls.sparkSession
     rows = spark.createDataFrame([(t,) for t in wanted], "token string")
-    seen = urls.select(F.explode(_tokens(F.col(url_col))).alias("token")).groupBy("token").agg(F.count("*").alias("n"))
-    found = {r.token: r.n for r in seen.join(rows, "token").collect()}  # no more rows than rule tokens
+    seen = urls.select(F.explode(_tokens(F.col(url_col))).alias("token"))
+    few = sum(map(len, wanted)) + 64 * len(wanted) <= index_bytes
+    counts = lambda df: df.groupBy("token").agg(F.count("*").alias("n"))
+    counted = counts(seen.join(F.broadcast(rows), "token", "left_semi")) if few else counts(seen).join(rows, "token", "left_semi")
+    found = {r.token: r.n for r in counted.collect()}  # no more rows than rule tokens
     return {t: found.get(t, 0) for t in wanted}
 
 
@@ -177,16 +213,23 @@ def _match_in_tasks(urls: DataFrame, index: dict[str, list[Rule]]) -> DataFrame:
 
 
 def _match_by_join(urls: DataFrame, index: dict[str, list[Rule]]) -> DataFrame:
-    """The same by joining distinct urls' tokens with the rules as a table."""
+    """The same by joining distinct urls' tokens with the rules as a table.
+
+    Rules without a token are tried on every url where it lies, so they make
+    no join key that all urls share.
+    """
     spark = urls.sparkSession
-    rows = [(t, r.text, r.action, r.host, r.regex(r"\z")) for t, rs in index.items() for r in rs]
-    rules = spark.createDataFrame(rows, "token string, text string, action string, on_host boolean, regex string")
+    kind = "text string, action string, on_host boolean, regex string"
+    row = lambda r: (r.text, r.action, r.host, r.regex(r"\z"))
+    rules = spark.createDataFrame([(t, *row(r)) for t, rs in index.items() if t for r in rs], f"token string, {kind}")
     whole = r"(?s)^.*?://([^/?#]*)([^?#]*)"
     host = F.coalesce(_folded(F.regexp_extract("url", whole, 1)), F.lit(""))
     path = F.coalesce(F.regexp_extract("url", whole, 2), F.lit(""))
     once = urls.filter("url is not null").select("url").distinct().withColumns({"host": host, "path": path})
-    token = F.explode(F.array_union(_tokens(F.col("url")), F.array(F.lit(""))))
-    found = once.withColumn("token", token).join(rules, "token")
+    found = once.withColumn("token", F.explode(_tokens(F.col("url")))).join(rules, "token").drop("token")
+    if index.get(""):
+        each = F.explode(F.array(*[F.struct(*map(F.lit, row(r))) for r in index[""]]))
+        found = found.unionAll(once.withColumn("r", each).select("url", "host", "path", "r.*"))
     fits = F.when(F.col("on_host"), F.concat("host", "path")).otherwise(_folded(F.col("url")))
     hits = found.withColumn("over", fits).filter(F.expr("over rlike regex"))
     size = F.when(F.col("on_host"), F.length("text"))
@@ -211,7 +254,7 @@ def filter_urls(
     """
     rules = make_rules() if rules is None else rules
     urls = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"))
-    index = index_rules(rules, token_counts(urls, rules))
+    index = index_rules(rules, token_counts(urls, rules, index_bytes=index_bytes))
     if len(pickle.dumps(index)) <= index_bytes:
         return _match_in_tasks(urls, index)
     return _match_by_join(urls, index)

@@ -73,3 +73,26 @@ def test_thousands_of_rules_fetch_few_candidates(spark):
     index = u.index_rules(rules, u.token_counts(df.selectExpr("page_id id", "url"), rules))
     fetched = [sum(len(index.get(t, ())) for t in {"", *u._TOKEN.findall(x)}) for x in urls]
     assert len(rules) > 5000 and sum(fetched) / len(fetched) < 0.002 * len(rules)
+
+
+def test_published_lists_load_rule_by_rule(tmp_path):
+    path = tmp_path / "list.txt"
+    path.write_text("\n".join(["! title", "[Adblock Plus 2.0]", "||ads.example^$third-party", "||bad.example^$document", "||worse.example^$all,~doc", "/banner/*/img^",
+                               "||x.example^$script,domain=a.com|b.com", "@@||good.example^$document", "a.com##.ad", "/ad[0-9]+/", "/re/$script", "&price=$"]))
+    kept, left = u.read_list(path)
+    assert kept == ["||bad.example^", "||worse.example^", "/banner/*/img^", "@@||good.example^"]
+    assert left == {"third-party": 1, "script": 1, "domain": 1, "regular expression": 2, "": 1}
+
+
+def test_only_rule_tokens_are_counted(spark):
+    rules = u.make_rules(patterns=["/spam/", "casino*", "||a.b^"])
+    urls = spark.createDataFrame([(1, "http://x1.net/spam/q"), (2, "http://x2.net/spam/spam"), (3, None)], "id long, url string")
+    for size in (u.INDEX_BYTES, 0):
+        assert u.token_counts(urls, rules, index_bytes=size)["spam"] == 2
+    seen = urls.select(u.F.explode(u._tokens(u.F.col("url"))).alias("token")).join(u.F.broadcast(spark.createDataFrame([("spam",)], "token string")), "token", "left_semi")
+    text = seen.groupBy("token").count()._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Exchange hashpartitioning(token") < text.index("BroadcastHashJoin")  # what is shuffled has met the rules
+    every = [(i, x) for i, x in enumerate(URLS)]
+    df, loose = spark.createDataFrame(every, "page_id long, url string"), u.make_rules(patterns=["*track*", "|http:", "ort|"])
+    assert len(u.index_rules(loose, {})[""]) >= 2
+    assert sorted(map(tuple, u.filter_urls(df, loose).collect())) == sorted(map(tuple, u.filter_urls(df, loose, index_bytes=0).collect()))
