@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import heapq
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,28 +15,31 @@ from .tables import committed_row_count
 BITS, MOST_BITS, SAMPLE = 8, 60, 20_000
 
 
-def _sampled(rows: DataFrame, sample: int, seed: int = 1) -> list:
-    """About ``sample`` rows, dealt over the whole table."""
-    return rows.sample(min(1.0, sample / max(1, rows.count())), seed).collect()
+def sampled(df: DataFrame, columns: Sequence[str], sample: int = SAMPLE, seed: int = 1) -> list[tuple]:
+    """The columns of about ``sample`` rows, dealt over the whole table."""
+    rows = df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)])
+    return [tuple(r) for r in rows.sample(min(1.0, sample / max(1, rows.count())), seed).collect()]
 
 
-def rank_borders(df: DataFrame, columns: Sequence[str], ranges: int, sample: int = SAMPLE) -> dict[str, list]:
-    """At most ``ranges - 1`` rising values per column that cut its rows into ranges of about equal size.
+def rank_borders(rows: Sequence[tuple], ranges: int) -> list[list]:
+    """For each column at most ``ranges - 1`` rising values that cut the rows into ranges of about equal size.
 
-    The values come from about ``sample`` rows of the whole table. A value
-    that many rows share is one border.
+    A value that many rows share is one border.
     """
-    found = _sampled(df.select(*[F.col(f"`{c}`").alias(f"c{k}") for k, c in enumerate(columns)]), sample)
-    out = {}
-    for k, c in enumerate(columns):
-        values = sorted(r[k] for r in found if r[k] is not None and r[k] == r[k])
-        cuts = [values[len(values) * i // ranges] for i in range(1, ranges)] if values else []
-        out[c] = sorted(set(cuts))
+    out = []
+    for column in zip(*rows):
+        values = sorted(v for v in column if v is not None and v == v)
+        out.append(sorted({values[len(values) * i // ranges] for i in range(1, ranges)}) if values else [])
     return out
 
 
+def rank_of(value: object, borders: Sequence) -> int:
+    """How many borders are at or below the value; 0 for null, all for NaN."""
+    return 0 if value is None else len(borders) if value != value else bisect_right(borders, value)
+
+
 def range_rank(column: str, borders: Sequence, values: Sequence[int] | None = None) -> Column:
-    """How many borders are at or below the value, by halving; 0 for null. With ``values`` the one of that rank."""
+    """``rank_of`` as a column, by halving. With ``values`` the one of that rank."""
     c = F.col(f"`{column}`")
     values = range(len(borders) + 1) if values is None else values
 
@@ -54,11 +57,11 @@ def spread(rank: int, bits: int, columns: int, at: int) -> int:
     return sum((rank >> b & 1) << (b * columns + columns - 1 - at) for b in range(bits))
 
 
-def curve_place(borders: dict[str, list], bits: int) -> Column:
+def curve_place(columns: Sequence[str], borders: Sequence[list], bits: int) -> Column:
     """A row's place on the curve over the columns: rows near on it are near in every column."""
     place = F.lit(0).cast("long")
-    for k, (c, own) in enumerate(borders.items()):
-        place = place.bitwiseOR(range_rank(c, own, [spread(r, bits, len(borders), k) for r in range(len(own) + 1)]))
+    for k, (c, own) in enumerate(zip(columns, borders)):
+        place = place.bitwiseOR(range_rank(c, own, [spread(r, bits, len(columns), k) for r in range(len(own) + 1)]))
     return place
 
 
@@ -88,7 +91,9 @@ def rewrite_clustered(df: DataFrame, path: str, columns: Sequence[str], files: i
 
     Each column's values are ranked by the ranges they fall in, and the ranks'
     bits are interleaved, so that a filter on any one of the columns meets few
-    files; one column alone gives plain ranges. Rows of a box that one file
+    files; one column alone gives plain ranges. Ranges and boxes come from one
+    sample of about ``SAMPLE`` rows, which decides where rows lie and no more.
+    Rows of a box that one file
     cannot hold are dealt over several by a hash. Within a file rows are
     sorted by the curve, then by the columns. Returns the rows written.
     """
@@ -101,8 +106,10 @@ def rewrite_clustered(df: DataFrame, path: str, columns: Sequence[str], files: i
         ranged = df.withColumn("_tie", F.xxhash64(*plain)).repartitionByRange(files, *names, "_tie").sortWithinPartitions(*names)
         return committed_row_count(ranged.drop("_tie"), write)
     each = min(BITS, MOST_BITS // len(columns))
-    place = curve_place(rank_borders(df, columns, 1 << each), each)
-    cut = boxes([r[0] for r in _sampled(df.select(place), SAMPLE)], each * len(columns), files)
+    found = sampled(df, columns)
+    borders = rank_borders(found, 1 << each) or [[]] * len(columns)
+    places = [sum(spread(rank_of(v, own), each, len(columns), k) for k, (v, own) in enumerate(zip(r, borders))) for r in found]
+    place, cut = curve_place(columns, borders, each), boxes(places, each * len(columns), files)
     starts, first = [low for low, _ in cut], [sum(n for _, n in cut[:k]) for k in range(len(cut))]
     rows = df.withColumn("_place", place)
     box = range_rank("_place", starts[1:]).cast("int") + 1

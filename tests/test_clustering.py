@@ -51,6 +51,6 @@ def test_hot_values_texts_dates_and_nulls(spark, tmp_path):
 
 def test_places_interleave_the_ranks(spark):
     df = spark.createDataFrame([(a, b) for a in range(8) for b in range(8)], "a int, b int")
-    borders = {x: [1, 2, 3, 4, 5, 6, 7] for x in ("a", "b")}
-    for r in df.select("a", "b", c.range_rank("a", borders["a"]).alias("r"), c.curve_place(borders, 3).alias("z")).collect():
-        assert r.r == r.a and r.z == int("".join(x + y for x, y in zip(f"{r.a:03b}", f"{r.b:03b}")), 2)
+    borders = [[1, 2, 3, 4, 5, 6, 7]] * 2
+    for r in df.select("a", "b", c.range_rank("a", borders[0]).alias("r"), c.curve_place(["a", "b"], borders, 3).alias("z")).collect():
+        assert r.r == r.a == c.rank_of(r.a, borders[0]) and r.z == int("".join(x + y for x, y in zip(f"{r.a:03b}", f"{r.b:03b}")), 2)
