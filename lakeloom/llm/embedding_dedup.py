@@ -3,14 +3,17 @@
 Equal vectors form one class, and classes are compared instead of rows.
 Spherical k-means on a bounded sample (``SAMPLE`` classes of least hash, at
 most ``SAMPLE_BYTES``) gives cells; every class is assigned to its home cell
-and also visits later cells whose border with its home is near: a vector at
-the threshold's angle, in a direction drawn from the spread that the sample
-shows around its centroids, crosses a border that is not visited with the
-probability of a normal beyond ``Z``. A cell's home and visiting vectors are
-cut into blocks, and each pair of blocks is compared in one task, as products
-in double precision; two visitors meet in another cell. Per pair of blocks
-only link counts and a spanning forest leave the task. The smallest id of a
-group is kept.
+and also visits cells whose border with its home is near. A step to a vector
+at the threshold's angle, in a direction drawn from the spread that the sample
+shows around its centroids, crosses a border with a normal's length; the two
+vectors' distances from the border add up to it, so one of them is at most
+half of it away. So vectors visit as far as half of ``Z`` deviations, and a
+pair is missed with the probability of a normal beyond ``Z``. A cell's home
+and visiting vectors are cut into blocks, and each pair of blocks is compared
+in one task, as products in double precision; two visitors meet in another
+cell, and a pair that meets in both its home cells counts in the later one.
+Per pair of blocks only link counts and a spanning forest leave the task. The
+smallest id of a group is kept.
 
 Cells hold about ``max(CELL, 4 sqrt(n))`` classes, so small tables have one
 cell and are compared exactly; at most ``CELLS`` centroids travel to tasks. A
@@ -42,7 +45,7 @@ SAMPLE, SAMPLE_BYTES = 20_000, 32 << 20
 #: Least classes that a cell is made for, and most cells: fewer, larger cells have fewer visitors.
 CELL, CELLS = 4096, 4096
 BLOCK, BLOCK_BYTES = 8192, 16 << 20
-Z = 2.5
+Z = 2.8
 #: Rows of a block whose products are held at once.
 _STEP = 256
 _ROUNDS = 12
@@ -84,14 +87,14 @@ def spread(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 
 
 def visits(x: np.ndarray, c: np.ndarray, wide: np.ndarray, threshold: float, z: float = Z) -> tuple[np.ndarray, np.ndarray]:
-    """Home cell of each unit vector, and which later cells it visits; ``wide`` is the centroids' ``spread``."""
+    """Home cell of each unit vector, and which others it visits; ``wide`` is the centroids' ``spread``."""
     dots = x @ c.T
     home = dots.argmax(axis=1)
     own, norm = wide[home], (wide**2).sum(axis=1)
     sd = np.sqrt(np.maximum(norm[home][:, None] + norm[None, :] - 2 * (own @ wide.T), 0))
     gap = dots[np.arange(len(x)), home][:, None] - dots
-    reach = z * math.sqrt(1 - threshold**2) / threshold
-    return home, (gap <= reach * sd) & (np.arange(len(c))[None, :] > home[:, None])
+    reach = z / 2 * math.sqrt(1 - threshold**2) / threshold
+    return home, (gap <= reach * sd) & (np.arange(len(c))[None, :] != home[:, None])
 
 
 def _classes(rows: DataFrame) -> DataFrame:
@@ -144,9 +147,13 @@ def _assign(classes: DataFrame, d: int, trained: tuple[np.ndarray, np.ndarray] |
 
 
 def _dealt(placed: DataFrame) -> DataFrame:
-    """Rows per pair of blocks i <= j of a cell: (d, cell, i, j, side, own, node, n, v)."""
-    home = placed.select("d", F.col("home").alias("cell"), F.lit(True).alias("own"), "node", "n", "v")
-    visit = placed.select("d", F.explode("visits").alias("cell"), F.lit(False).alias("own"), "node", "n", "v")
+    """Rows per pair of blocks i <= j of a cell: (d, cell, i, j, side, own, node, n, v, home, visits).
+
+    Only a cell's own rows tell which cells they visit, to find the pairs that meet there as well.
+    """
+    home = placed.select("d", F.col("home").alias("cell"), F.lit(True).alias("own"), "node", "n", "v", "home", "visits")
+    visit = placed.select("d", F.explode("visits").alias("cell"), F.lit(False).alias("own"), "node", "n", "v", "home")
+    visit = visit.withColumn("visits", F.lit(None).cast("array<int>"))
     rows = home.unionByName(visit)
     most = F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_BYTES) / (8 * F.col("d")))))
     sizes = rows.groupBy("d", "cell").agg(F.count("*").alias("m"))
@@ -157,20 +164,39 @@ def _dealt(placed: DataFrame) -> DataFrame:
     earlier = F.when(b > 0, F.sequence(F.lit(0), b - 1)).otherwise(none)
     to = F.concat(F.transform(F.sequence(b, last), lambda j: pair(b, j, 0)), F.transform(earlier, lambda i: pair(i, b, 1)))
     cut = rows.join(sizes, ["d", "cell"]).withColumn("b", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    sent = cut.select("d", "cell", F.explode(to).alias("to"), "own", "node", "n", "v")
-    return sent.select("d", "cell", "to.i", "to.j", "to.side", "own", "node", "n", "v")
+    sent = cut.select("d", "cell", F.explode(to).alias("to"), "own", "node", "n", "v", "home", "visits")
+    return sent.select("d", "cell", "to.i", "to.j", "to.side", "own", "node", "n", "v", "home", "visits")
+
+
+def _also_met(cell: int, own: np.ndarray, home: np.ndarray, visits: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """What tells a cell's pairs that meet in a later home cell too: ``table[own row, at[visitor]]``."""
+    homes = np.unique(home[~own & (home > cell)])
+    table = np.zeros((len(own), len(homes) + 1), bool)
+    row = np.repeat(np.arange(len(own)), visits.value_lengths().fill_null(0).to_numpy())
+    to = visits.flatten().to_numpy()
+    place = np.searchsorted(homes, to)
+    hit = place < len(homes)
+    hit[hit] = homes[place[hit]] == to[hit]
+    table[row[hit], place[hit]] = True
+    at = np.full(len(own), len(homes))
+    late = ~own & (home > cell)
+    at[late] = np.searchsorted(homes, home[late])
+    return table, at
 
 
 def _compare(threshold: float):
-    def found(x: np.ndarray, n: np.ndarray, own: np.ndarray, left: np.ndarray, right: np.ndarray, links: np.ndarray):
+    def found(x: np.ndarray, n: np.ndarray, own: np.ndarray, met: tuple, left: np.ndarray, right: np.ndarray, links: np.ndarray):
         """Near pairs of rows, a few left rows at a time; adds to ``links``."""
-        same = left is right
+        same, (table, place) = left is right, met
         for mine in (left[own[left]], left[~own[left]]):
-            others = right if mine.size and own[mine[0]] else right[own[right]]
+            first = bool(mine.size and own[mine[0]])
+            others = right if first else right[own[right]]
             y = x[others].T
             for k in range(0, len(mine), _STEP):
                 at = mine[k : k + _STEP]
                 near = x[at] @ y >= threshold
+                if table.shape[1] > 1:
+                    near &= ~(table[at][:, place[others]] if first else table[others][:, place[at]].T)
                 if same:
                     near &= at[:, None] != others[None, :]
                 else:
@@ -182,14 +208,15 @@ def _compare(threshold: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs(batches, 4):
-            d, i, j = (t.column(k)[0].as_py() for k in (0, 2, 3))
+            d, cell, i, j = (t.column(k)[0].as_py() for k in range(4))
             side, own = t.column(4).to_numpy(), t.column(5).to_numpy()
             node, n = t.column(6).to_numpy(), t.column(7).to_numpy()
             x = _unit(t.column(8).combine_chunks().flatten().to_numpy().reshape(-1, d))
             left = np.flatnonzero(side == 0)
             right = left if i == j else np.flatnonzero(side == 1)
             links, trees = np.zeros(len(x), np.int64), []
-            for a, b in found(x, n, own, left, right, links):
+            met = _also_met(cell, own, t.column(9).to_numpy(), t.column(10).combine_chunks())
+            for a, b in found(x, n, own, met, left, right, links):
                 trees.append(forest(node[a], node[b]))
             if not trees:
                 continue

@@ -92,7 +92,24 @@ def test_pairs_meet_in_hundreds_of_cells():
         a, b = home[: n // 2], home[n // 2 :]
         meet = (a == b) | visit[np.arange(n // 2), b] | visit[n // 2 + np.arange(n // 2), a]
         assert len(c) >= 150 and meet.mean() >= 0.99, (d, rank, meet.mean())
-        assert visit.sum(axis=1).mean() < 0.7 * len(c)
+        assert visit.sum(axis=1).mean() < 0.25 * len(c)
+
+
+def test_few_cells_are_visited_where_vectors_share_a_direction():
+    """200 cells, pairs at cosine 0.905; unlike in all directions, or about a common mean."""
+    rng, d, n = np.random.default_rng(3), 128, 6000
+    for mean, most in ((0.0, 5), (0.2, 6), (0.5, 8), (0.7, 15)):
+        x = e._unit(rng.normal(size=(n, d)))
+        x = e._unit(np.sqrt(1 - mean) * x + np.sqrt(mean) * np.eye(d)[0])
+        step = rng.normal(size=(n, d))
+        step = e._unit(step - (step * x).sum(1, keepdims=True) * x)
+        y = 0.905 * x + np.sqrt(1 - 0.905**2) * step
+        c = e.spherical_kmeans(x, 200)
+        wide = e.spread(x, c)
+        (a, va), (b, vb) = (e.visits(v, c, wide, 0.9) for v in (x, y))
+        k = np.arange(n)
+        met = (a == b) | va[k, b] | vb[k, a]
+        assert len(c) == 200 and met.mean() >= 0.99 and va.sum(axis=1).mean() <= most, (mean, met.mean(), va.sum(axis=1).mean())
 
 
 def test_odd_vectors(spark):
