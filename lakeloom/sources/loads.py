@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.versioning import AUDIT, change_feed, impacted_batches, select_batches_to_process
-from .tables import available_batches, changed_buckets, current_version, replace_slices, snapshot_read_as_of, write_append
-from .tables import _existing as _schema_at
+from .tables import available_batches, changed_buckets, current_version, replace_slices, schema_at, snapshot_read_as_of, write_append
 
 #: A batch whose slice holds a version's rows: it was loaded, or the version changed nothing of it.
 LOADED, SAME = "SUCCESS", "UNCHANGED"
@@ -56,7 +55,7 @@ class SliceLoad:
 
     def loaded_versions(self, spark: SparkSession) -> dict[int, int]:
         """Each batch's last loaded source version; one entry per batch."""
-        if _schema_at(spark, self.audit_path) is None:
+        if schema_at(spark, self.audit_path) is None:
             return {}
         own = F.col("target_table") == self.target
         own &= (F.col("source_table") == self.source) & (F.col("model_version") == self.model) & F.col("status").isin(LOADED, SAME)

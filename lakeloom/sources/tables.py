@@ -152,7 +152,8 @@ def schema_guard(df: DataFrame, target: T.StructType, on_missing: str = "error")
     return df.select(*out, *[c for c in df.columns if c not in known])
 
 
-def _existing(spark: SparkSession, path: str) -> T.StructType | None:
+def schema_at(spark: SparkSession, path: str) -> T.StructType | None:
+    """The schema of the Parquet data at a path; None where there is none."""
     try:
         return spark.read.parquet(path).schema if exists(spark, path) else None
     except AnalysisException:  # a folder without data
@@ -160,7 +161,7 @@ def _existing(spark: SparkSession, path: str) -> T.StructType | None:
 
 
 def _guarded(df: DataFrame, path: str) -> DataFrame:
-    there = _existing(df.sparkSession, path)
+    there = schema_at(df.sparkSession, path)
     return df if there is None else schema_guard(df, there)
 
 
@@ -237,7 +238,7 @@ def register_table(spark: SparkSession, name: str, path: str, properties: Mappin
 
 
 def current_version(spark: SparkSession, root: str) -> int | None:
-    if _existing(spark, f"{root}/versions") is None:
+    if schema_at(spark, f"{root}/versions") is None:
         return None
     return spark.read.parquet(f"{root}/versions").agg(F.max("version")).first()[0]
 
