@@ -20,6 +20,7 @@ have any name. A text is held as a whole in the task that scans it.
 from __future__ import annotations
 
 import re
+import uuid
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -67,6 +68,17 @@ def automaton(patterns: list[tuple[bytes, str]]) -> ahocorasick.Automaton | None
     return found
 
 
+_kept: dict[str, ahocorasick.Automaton | None] = {}
+
+
+def kept_automaton(key: str, patterns: list[tuple[bytes, str]]) -> ahocorasick.Automaton | None:
+    """The automaton of a block, built once in a worker that runs several tasks; one block is kept."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = automaton(patterns)
+    return _kept[key]
+
+
 def scan(found: ahocorasick.Automaton | None, w: list[bytes]) -> tuple[list[tuple[int, int]], set[str]]:
     """Runs of hit words (first, last), in order, and the items that hit."""
     runs: list[tuple[int, int]] = []
@@ -124,10 +136,10 @@ def benchmark_patterns(items: DataFrame, n: int = WORDS, id_col: str = "item_id"
 
 def _scan_block(rows: DataFrame, block: list[tuple[bytes, str]]) -> DataFrame:
     """Rows (id, text, n_words, runs, items) with what one more block of patterns hits."""
-    shared = rows.sparkSession.sparkContext.broadcast(block)  # BLOCK_BYTES, about
+    shared, key = rows.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex  # BLOCK_BYTES, about
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = automaton(shared.value)
+        found = kept_automaton(key, shared.value)
         for b in batches:
             cols: tuple[list, list, list] = ([], [], [])
             for text, runs, items in zip(*(b.column(k).to_pylist() for k in (1, 3, 4))):
