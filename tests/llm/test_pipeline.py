@@ -50,3 +50,12 @@ def test_stages_take_empty_documents(spark, sf_dir):
     for _, stage in c.STAGES:
         docs = stage(spark, docs, sf_dir)
     assert docs.count() == 0
+
+
+def test_stages_take_columns_of_any_name(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("*", "doc_id + 7 as `a.b`", "'x' as row", "1 as id")
+    for _, stage in c.STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), "named")
+        rows = docs.collect()
+        assert docs.columns[-3:] == ["a.b", "row", "id"] and rows and all(r["a.b"] == r.doc_id + 7 and r.row == "x" and r.id == 1 for r in rows)
+    assert {r.doc_id for r in c.packed(spark, docs, sf_dir).collect()} == {r.doc_id for r in rows}
