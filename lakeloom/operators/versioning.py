@@ -81,8 +81,8 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
         rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*_sorts(order)))
         return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
     pick = F.max_by if ranked[1] else F.min_by
-    best = df.groupBy(*keys).agg(pick(F.struct(*rest), ranked[0]).alias("_row"))
-    return best.select(*[c if c in keys else F.col(f"_row.{c}") for c in df.columns])
+    best = df.groupBy(*keys).agg(pick(F.struct(*[F.col(f"`{c}`") for c in rest]), ranked[0]).alias("_row"))
+    return best.select(*[c if c in keys else F.col(f"_row.`{c}`") for c in df.columns])
 
 
 def _timeline(df: DataFrame, natural_key: Sequence[str], ts: str, event_key: Sequence[str]) -> DataFrame:

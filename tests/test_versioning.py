@@ -141,6 +141,8 @@ def test_orders_by_name_need_no_window(spark):
     mixed = v.dedup_latest(df, ["k"], ["n desc", "s"])
     assert "Window" in plan(mixed) and mixed.count() == 4
     assert v.dedup_latest(df.select("k"), ["k"], []).count() == 4
+    dotted = v.dedup_latest(df.withColumn("a.b", F.col("n")), ["k"], ["n desc", "x desc", "s desc"])
+    assert dotted.columns == [*df.columns, "a.b"] and all(r["a.b"] == r.n for r in dotted.collect())
 
 
 def test_history_reads_target_and_batch_once(spark, tmp_path):
