@@ -283,7 +283,9 @@ def audit_latest_version(audit: DataFrame, target: str, source: str) -> DataFram
 def lineage_trace(gold: DataFrame, silver_at: DataFrame, bronze: DataFrame, keys: Sequence[str], bronze_keys: Sequence[str]) -> DataFrame:
     """Gold rows with the silver row they came from and that row's raw file.
 
-    ``silver_at`` is the silver table as of the version the gold rows record.
+    ``silver_at`` is the silver table as of the version the gold rows record;
+    it holds an event once. A row whose event several raw rows tell comes once
+    for each of these.
     """
     keyed = bronze.select([F.col(b).alias(k) for k, b in zip(keys, bronze_keys)] + ["_input_file_name"])
     return gold.join(silver_at, list(keys)).join(keyed, list(keys), "left")

@@ -726,7 +726,8 @@ def lineage_trace(r):
     scan = src.scan_csv_typed(r.spark, f"{_csv_folder(r)}/ratings_*.csv", "ratings")
     raw = conform.lineage_incremental(scan, "ratings", "run-1", "jobs/load", "files")
     root = _work(r, "silver")
-    version = src.snapshot_write(flagged_ratings(raw), root)
+    history = versioning.scd2_bootstrap(flagged_ratings(raw), EVENT_KEY, NATURAL_KEY, TS, event_order())  # an event once
+    version = src.snapshot_write(history, root)
     silver = src.snapshot_read_as_of(r.spark, root, version).select("user_id", "movie_id", TS, "_dq_status")
     bronze = raw.withColumn("_at", fn.from_epoch("timestamp"))
     gold = r.fact.join(r.dim_movies, "movie_sk").select("user_id", "movie_id", TS, "rating")
