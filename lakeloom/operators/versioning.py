@@ -98,8 +98,21 @@ def _timeline(df: DataFrame, natural_key: Sequence[str], ts: str, event_key: Seq
 
 
 def scd2_bootstrap(df: DataFrame, event_key: Sequence[str], natural_key: Sequence[str], ts: str, order: Order) -> DataFrame:
-    """First load: one row per event, the latest per natural key current."""
-    return _timeline(dedup_latest(df, event_key, order), natural_key, ts, event_key).select(df.columns)
+    """First load: one row per event, the latest per natural key current.
+
+    Where the natural key and the time are of the event key and the order is
+    by name, rows are shuffled and sorted once, by natural key: the first row
+    of an event and the next event's moment are both told by that order, and
+    only columns that the result uses are carried. Rows of a key are then held
+    in one task's sort, which spills.
+    """
+    if _parts(order) is None or not {*natural_key, ts} <= set(event_key):
+        return _timeline(dedup_latest(df, event_key, order), natural_key, ts, event_key).select(df.columns)
+    later = [k for k in event_key if k not in natural_key and k != ts]
+    sorted_rows = Window.partitionBy(*natural_key).orderBy(F.col(ts).asc_nulls_first(), *later, *_sorts(order))
+    event = F.struct(ts, *later)
+    once = df.withColumn("_before", F.lag(event).over(sorted_rows)).filter(~event.eqNullSafe(F.col("_before")))
+    return _timeline(once, natural_key, ts, event_key).select(df.columns)
 
 
 #: Parts that target rows with a NULL key, which only pass through, are dealt over.
