@@ -142,13 +142,16 @@ def dim_date(df: DataFrame, ts: str) -> DataFrame:
 
 
 def bridge_movies_genres(movies: DataFrame, dim: DataFrame, genres: DataFrame) -> DataFrame:
+    """Each pair once; told apart by movie id and folded name, which are shorter than the keys they stand for."""
     pairs = explode_members(passing(movies), "movie_id", "genres", "genre_name").withColumn("_f", F.lower("genre_name"))
-    pairs = pairs.join(dim.select("movie_id", "movie_sk"), "movie_id")
-    return pairs.join(genres.select(F.lower("genre_name").alias("_f"), "genre_sk"), "_f").select("movie_sk", "genre_sk").distinct()
+    pairs = pairs.join(dim.select("movie_id", "movie_sk"), "movie_id").select("movie_id", "movie_sk", "_f").distinct()
+    return pairs.join(genres.select(F.lower("genre_name").alias("_f"), "genre_sk"), "_f").select("movie_sk", "genre_sk")
 
 
-def fact_ratings(ratings: DataFrame, movies: DataFrame, dates: DataFrame, batches: list[int] | None = None) -> DataFrame:
-    """PASS, current rows (of the batches), with their keys resolved.
+def fact_ratings(
+    ratings: DataFrame, movies: DataFrame, dates: DataFrame, batches: list[int] | None = None, also: Sequence[str] = ()
+) -> DataFrame:
+    """PASS, current rows (of the batches), with their keys resolved; ``also`` names further columns to keep.
 
     ``_processing_timestamp`` is that of the row, or now where it has none.
     """
@@ -157,7 +160,7 @@ def fact_ratings(ratings: DataFrame, movies: DataFrame, dates: DataFrame, batche
     rows = join_star_chain(rows, (movies.select("movie_id", "movie_sk"), "movie_id"), (dates.select("date_key"), "date_key"))
     stamp = F.col("_processing_timestamp") if "_processing_timestamp" in rows.columns else F.current_timestamp()
     measures = ["rating", "interaction_timestamp", "date_key", "rating_year", "is_late_arrival", "_batch_year"]
-    return rows.select("movie_sk", "user_id", *measures, stamp.alias("_processing_timestamp"))
+    return rows.select("movie_sk", "user_id", *measures, stamp.alias("_processing_timestamp"), *also)
 
 
 def fact_genome_scores(scores: DataFrame, movies: DataFrame, tags: DataFrame) -> DataFrame:
