@@ -266,14 +266,16 @@ def bucket_count(spark: SparkSession, root: str, version: int) -> int:
     return _marks(spark, root, version)[-1].of
 
 
-def snapshot_write(df: DataFrame, root: str, note: str = "", keys: Sequence[str] = (), buckets: int | None = None) -> int:
+def snapshot_write(df: DataFrame, root: str, note: str = "", keys: Sequence[str] = (), buckets: int | None = None, sums: Sequence[str] = ()) -> int:
     """Write the next version; returns its number. ``note`` is kept with it.
 
     With ``keys`` the rows must be all of the key buckets that they fall in.
     Only these are written; the version has the other buckets as the last one
     has them, in the same files. A root is kept by key from its first version
     on, or never. ``buckets`` is how many there are, by default as many as
-    before; another number asks for all rows of the table.
+    before; another number asks for all rows of the table. With ``sums`` rows
+    of one key are added up in these columns, in the shuffle by bucket; there
+    should be few of each.
     """
     spark = df.sparkSession
     last = current_version(spark, root)
@@ -284,7 +286,11 @@ def snapshot_write(df: DataFrame, root: str, note: str = "", keys: Sequence[str]
             raise ValueError(f"the versions of {root} are {'not ' if keys else ''}kept by key")
         of = buckets or mark.of
     path, by = f"{root}/v={version}", ["_bucket"] if keys else []
-    rows = df.withColumn("_bucket", bucket_of(keys, of)).hint("rebalance", "_bucket") if keys else df
+    rows = df.withColumn("_bucket", bucket_of(keys, of)) if keys else df
+    if sums:
+        rows = rows.repartition("_bucket").groupBy(*keys, "_bucket").agg(*[F.sum(c).alias(c) for c in sums])
+    elif keys:
+        rows = rows.hint("rebalance", "_bucket")
     written = committed_row_count(rows, lambda d: d.write.mode("overwrite").partitionBy(*by).parquet(path))
     found = None
     if keys and not written:  # a folder without rows, for the schema

@@ -1,8 +1,11 @@
-"""Queries on tables that the given ones do not look like: repeated events."""
+"""Queries on repeated events, and what a larger table would be shuffled or computed twice for."""
 
 import duckdb
 import pytest
+from lakeloom.operators import incremental
 from lakeloom.plans import catalog
+from lakeloom.plans.roles import Roles
+from pyspark.sql import functions as F
 
 TABLES = "customer supplier part orders lineitem".split()
 
@@ -35,6 +38,43 @@ def same_as_sql(spark, folder, name):
     assert want and sorted(str(tuple(r)) for r in df.collect()) == want
 
 
-@pytest.mark.parametrize("name", ["lineage_trace"])
+@pytest.mark.parametrize("name", ["lineage_trace", "scd2_bootstrap", "kpi_genre_performance", "kpi_genre_performance_incremental"])
 def test_repeated_events(spark, repeated, name):
     same_as_sql(spark, repeated, name)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_history_is_shuffled_and_sorted_once_and_carries_what_is_used(spark, sf_dir):
+    text = plan(Roles(spark, sf_dir).versions.select("user_id", "movie_id", "is_current"))
+    assert text.count("Exchange hashpartitioning(user_id") == 1 and "SortAggregate" not in text and "_dq_failed_rules" not in text
+
+
+def test_titles_are_parsed_once_for_the_bridge(spark, sf_dir):
+    assert "regexp" not in plan(Roles(spark, sf_dir).bridge)
+
+
+def test_a_first_state_computes_its_delta_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(x):
+        seen.add(1)
+        return x
+
+    rows = spark.createDataFrame([(2000, 1, "January", u, f"m{u % 3}", 1.0) for u in range(50)], "year int, month int, month_name string, user_id int, movie_sk string, rating double")
+    rows = rows.withColumn("rating", F.udf(told, "double").asNondeterministic()("rating")).filter("rating > 0")
+    incremental.store_state(spark, str(tmp_path / "s"), incremental.group_state(rows, incremental.MONTH, "rating", 1, incremental.MEMBERS), "first")
+    assert seen.value == 100  # once for the sums, once for the members
+
+
+def test_rows_count_for_each_group_of_their_list(spark, tmp_path):
+    fact = spark.createDataFrame([(m, u, None if u == 3 else u / 2.0) for m in range(6) for u in range(5)], "movie_id int, user_id int, rating double")
+    bridge = spark.createDataFrame([(m, g) for m in range(5) for g in range(3) if m % (g + 1) == 0], "movie_id int, genre_sk int")
+    genres = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "genre_sk int, genre_name string")
+    sign, root = F.when(F.col("user_id") == 4, -1).otherwise(1), str(tmp_path / "s")
+    incremental.store_state(spark, root, incremental.genre_state(fact, bridge, genres, None, "movie_id"), "first")
+    gone = fact.filter("user_id = 4")
+    got = incremental.kpi_figures(incremental.store_state(spark, root, incremental.genre_state(gone, bridge, genres, sign, "movie_id"), "gone"))
+    assert sorted(map(tuple, got.collect())) == [("a", 0.5, 20, 4, 5), ("b", 0.5, 12, 4, 3), ("c", 0.5, 8, 4, 2)]
