@@ -5,6 +5,7 @@ import pytest
 from lakeloom.operators import incremental
 from lakeloom.plans import catalog
 from lakeloom.plans.roles import Roles
+from lakeloom.sources import tables
 from pyspark.sql import functions as F
 
 TABLES = "customer supplier part orders lineitem".split()
@@ -78,3 +79,11 @@ def test_rows_count_for_each_group_of_their_list(spark, tmp_path):
     gone = fact.filter("user_id = 4")
     got = incremental.kpi_figures(incremental.store_state(spark, root, incremental.genre_state(gone, bridge, genres, sign, "movie_id"), "gone"))
     assert sorted(map(tuple, got.collect())) == [("a", 0.5, 20, 4, 5), ("b", 0.5, 12, 4, 3), ("c", 0.5, 8, 4, 2)]
+
+
+def test_slices_store_hexadecimal_keys_in_half_their_length(spark, tmp_path):
+    rows = spark.range(20_000).select(F.sha2(F.col("id").cast("string"), 256).alias("k"), (F.col("id") % 2).cast("int").alias("b"))
+    tables.replace_slices(rows, str(tmp_path / "t"), "b", [0, 1])
+    tables.snapshot_write(rows, str(tmp_path / "s"))
+    for folder in ("t", "s/v=0"):
+        assert sum(p.stat().st_size for p in (tmp_path / folder).rglob("*.parquet")) < 20_000 * 45
