@@ -141,11 +141,15 @@ def dim_date(df: DataFrame, ts: str) -> DataFrame:
     )
 
 
-def bridge_movies_genres(movies: DataFrame, dim: DataFrame, genres: DataFrame) -> DataFrame:
-    """Each pair once; told apart by movie id and folded name, which are shorter than the keys they stand for."""
+def bridge_movies_genres(movies: DataFrame, dim: DataFrame, genres: DataFrame, by_id: bool = False) -> DataFrame:
+    """Each pair once; told apart by movie id and folded name, which are shorter than the keys they stand for.
+
+    ``by_id`` gives (movie_id, genre_sk), for facts that are grouped by the id.
+    """
     pairs = explode_members(passing(movies), "movie_id", "genres", "genre_name").withColumn("_f", F.lower("genre_name"))
-    pairs = pairs.join(dim.select("movie_id", "movie_sk"), "movie_id").select("movie_id", "movie_sk", "_f").distinct()
-    return pairs.join(genres.select(F.lower("genre_name").alias("_f"), "genre_sk"), "_f").select("movie_sk", "genre_sk")
+    movie = ["movie_id"] if by_id else ["movie_id", "movie_sk"]
+    pairs = pairs.join(dim.select(*movie), "movie_id").select(*movie, "_f").distinct()
+    return pairs.join(genres.select(F.lower("genre_name").alias("_f"), "genre_sk"), "_f").select(movie[-1], "genre_sk")
 
 
 def fact_ratings(

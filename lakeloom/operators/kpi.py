@@ -40,8 +40,8 @@ def rating_trends_monthly(fact: DataFrame, dates: DataFrame) -> DataFrame:
     return named.groupBy("year", "month", "month_name").agg(_avg(), _rows(), _users(), _movies())
 
 
-def by_genre(fact: DataFrame, bridge: DataFrame, genres: DataFrame) -> DataFrame:
-    return fact.join(bridge, "movie_sk").join(genres.select("genre_sk", "genre_name"), "genre_sk")
+def by_genre(fact: DataFrame, bridge: DataFrame, genres: DataFrame, movie: str = "movie_sk") -> DataFrame:
+    return fact.join(bridge, movie).join(genres.select("genre_sk", "genre_name"), "genre_sk")
 
 
 def genre_performance(fact: DataFrame, bridge: DataFrame, genres: DataFrame) -> DataFrame:
@@ -76,12 +76,15 @@ def most_popular_movies(fact: DataFrame, movies: DataFrame, n: int = 30) -> Data
     return _top_movies(movie_stats(fact), movies, [F.desc("rating_count")], n)
 
 
-def genre_trends_yearly(fact: DataFrame, dates: DataFrame, bridge: DataFrame, genres: DataFrame) -> DataFrame:
-    """The fact is grouped by movie and year before the bridge multiplies it."""
+def genre_trends_yearly(fact: DataFrame, dates: DataFrame, bridge: DataFrame, genres: DataFrame, movie: str = "movie_sk") -> DataFrame:
+    """The fact is grouped by movie and year before the bridge multiplies it.
+
+    ``movie`` names the movie's key in fact and bridge; an integer one is shuffled in a sixteenth of a surrogate key's bytes.
+    """
     dated = fact.join(dates.select("date_key", "year"), "date_key")
     units, known, rows = fn.mean_parts("rating", 1)
-    movies = dated.groupBy("movie_sk", "year").agg(units.alias("units"), known.alias("known"), rows.alias("rows"))
-    return by_genre(movies, bridge, genres).groupBy("year", "genre_name").agg(
+    movies = dated.groupBy(movie, "year").agg(units.alias("units"), known.alias("known"), rows.alias("rows"))
+    return by_genre(movies, bridge, genres, movie).groupBy("year", "genre_name").agg(
         fn.mean_of_parts(F.sum("units"), F.sum("known"), 1, 2).alias("avg_rating"), F.sum("rows").alias("rating_count")
     )
 

@@ -8,6 +8,7 @@ written beside its input and nothing is changed in place.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -92,9 +93,8 @@ def _timeline(df: DataFrame, natural_key: Sequence[str], ts: str, event_key: Seq
     """
     later = [k for k in event_key if k not in natural_key and k != ts]
     oldest = Window.partitionBy(*natural_key).orderBy(F.col(ts).asc_nulls_first(), *later)
-    after = F.lead(F.struct(F.col(ts).alias("ts"))).over(oldest)
-    rows = df.withColumn("_after", after)
-    return rows.withColumns({CURRENT: F.col("_after").isNull(), START: F.col(ts), END: F.col("_after.ts")}).drop("_after")
+    rows = df.withColumns({"_after": F.lead(F.lit(True)).over(oldest), "_end": F.lead(ts).over(oldest)})
+    return rows.withColumns({CURRENT: F.col("_after").isNull(), START: F.col(ts), END: F.col("_end")}).drop("_after", "_end")
 
 
 def scd2_bootstrap(df: DataFrame, event_key: Sequence[str], natural_key: Sequence[str], ts: str, order: Order) -> DataFrame:
@@ -110,8 +110,11 @@ def scd2_bootstrap(df: DataFrame, event_key: Sequence[str], natural_key: Sequenc
         return _timeline(dedup_latest(df, event_key, order), natural_key, ts, event_key).select(df.columns)
     later = [k for k in event_key if k not in natural_key and k != ts]
     sorted_rows = Window.partitionBy(*natural_key).orderBy(F.col(ts).asc_nulls_first(), *later, *_sorts(order))
-    event = F.struct(ts, *later)
-    once = df.withColumn("_before", F.lag(event).over(sorted_rows)).filter(~event.eqNullSafe(F.col("_before")))
+    # Plain columns, not a struct of them, which would be built before the shuffle and sent through it.
+    lagged = {f"_before{k}": F.lag(c).over(sorted_rows) for k, c in enumerate([ts, *later])}
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_before{k}")) for k, c in enumerate([ts, *later])])
+    seen = df.withColumns({"_before": F.lag(F.lit(True)).over(sorted_rows), **lagged})
+    once = seen.filter(F.col("_before").isNull() | ~same).drop("_before", *lagged)
     return _timeline(once, natural_key, ts, event_key).select(df.columns)
 
 

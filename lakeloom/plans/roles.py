@@ -162,6 +162,15 @@ class Roles:
     def fact(self) -> DataFrame:
         return keys.fact_ratings(self.versions, self.dim_movies, self.dim_date)
 
+    @cached_property
+    def fact_by_id(self) -> DataFrame:
+        """``fact`` with the movies' ids beside their surrogate keys, which go where nothing reads them."""
+        return keys.fact_ratings(self.versions, self.dim_movies, self.dim_date, also=["movie_id"])
+
+    @cached_property
+    def bridge_by_id(self) -> DataFrame:
+        return keys.bridge_movies_genres(self.silver_movies, self.dim_movies, self.dim_genres, by_id=True)
+
     @cached_property
     def fact_scores(self) -> DataFrame:
         return keys.fact_genome_scores(self.genome_scores, self.dim_movies, self.dim_genome_tags)
@@ -178,7 +187,7 @@ class Roles:
 
     @cached_property
     def genre_trend(self) -> DataFrame:
-        return kpi.genre_trends_yearly(self.fact, self.dim_date, self.bridge, self.dim_genres)
+        return kpi.genre_trends_yearly(self.fact_by_id, self.dim_date, self.bridge_by_id, self.dim_genres, "movie_id")
 
     @cached_property
     def yearly(self) -> DataFrame:

@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from lakeloom.operators import incremental
+from lakeloom.operators import incremental, versioning
 from lakeloom.plans import catalog
 from lakeloom.plans.roles import Roles
 from lakeloom.sources import tables
@@ -44,6 +44,11 @@ def test_repeated_events(spark, repeated, name):
     same_as_sql(spark, repeated, name)
 
 
+@pytest.mark.parametrize("name", ["kpi_genre_trends_yearly", "dq_flag"])
+def test_repeated_events_by_compiled_flags(spark, repeated, name):
+    same_as_sql(spark, repeated, name)
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -53,6 +58,24 @@ def test_a_history_is_shuffled_and_sorted_once_and_carries_what_is_used(spark, s
     assert text.count("Exchange hashpartitioning(user_id") == 1 and "SortAggregate" not in text and "_dq_failed_rules" not in text
 
 
+def test_flags_are_compiled_and_a_history_sends_plain_columns(spark, sf_dir):
+    roles = Roles(spark, sf_dir)
+    assert "lambda" not in plan(roles.ratings)
+    assert "struct(" not in plan(roles.versions)
+
+
+def test_a_history_keeps_one_row_of_an_event_without_a_moment(spark):
+    rows = spark.createDataFrame([(1, None, 1, 2.0), (1, None, 1, 3.0), (1, 5, 1, 1.0), (1, 5, 2, 4.0), (2, None, 1, 1.0)], "k int, ts int, e int, rating double")
+    rows = rows.selectExpr("*", "false is_current", "0 effective_start_date", "0 effective_end_date")
+    got = versioning.scd2_bootstrap(rows, ["k", "ts", "e"], ["k"], "ts", ["rating desc"]).select("k", "ts", "e", "rating", "is_current", "effective_end_date")
+    want = [(1, None, 1, 3.0, False, 5), (1, 5, 1, 1.0, False, 5), (1, 5, 2, 4.0, True, None), (2, None, 1, 1.0, True, None)]
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def test_yearly_trends_are_grouped_by_the_movies_id(spark, sf_dir):
+    assert "movie_sk" not in plan(Roles(spark, sf_dir).genre_trend)
+
+
 def test_titles_are_parsed_once_for_the_bridge(spark, sf_dir):
     assert "regexp" not in plan(Roles(spark, sf_dir).bridge)
 
