@@ -249,7 +249,15 @@ def top_n(ranking: DataFrame, n: int, *order: Column | str) -> DataFrame:
     return ranking.orderBy(*order).limit(n)
 
 
-def top_genres_trend(trend: DataFrame, genres: DataFrame, n: int = 5) -> DataFrame:
+def top_genres_trend(trend: DataFrame, genres: DataFrame | None = None, n: int = 5) -> DataFrame:
+    """The trend's rows of the genres with the most ratings, by a ranking or by the trend's own sums.
+
+    Without a ranking the trend is computed once, and the fact not grouped again: a genre's rows, one per year, go with its sum.
+    """
+    if genres is None:
+        rows = F.collect_list(F.struct(*trend.columns)).alias("_rows")
+        years = trend.groupBy("genre_name").agg(F.sum("rating_count").alias("_all"), rows)
+        return years.orderBy(F.desc("_all"), "genre_name").limit(n).select(F.inline("_rows"))
     largest = genres.orderBy(F.desc("rating_count"), "genre_name").limit(n)
     return trend.join(largest.select("genre_name"), "genre_name", "left_semi").select(trend.columns)
 

@@ -2,7 +2,7 @@
 
 import duckdb
 import pytest
-from lakeloom.operators import incremental, versioning
+from lakeloom.operators import incremental, kpi, versioning
 from lakeloom.plans import catalog
 from lakeloom.plans.roles import Roles
 from lakeloom.sources import tables
@@ -44,7 +44,7 @@ def test_repeated_events(spark, repeated, name):
     same_as_sql(spark, repeated, name)
 
 
-@pytest.mark.parametrize("name", ["kpi_genre_trends_yearly", "dq_flag"])
+@pytest.mark.parametrize("name", ["kpi_genre_trends_yearly", "kpi_top_genres_trend", "dq_flag"])
 def test_repeated_events_by_compiled_flags(spark, repeated, name):
     same_as_sql(spark, repeated, name)
 
@@ -76,6 +76,14 @@ def test_yearly_trends_are_grouped_by_the_movies_id(spark, sf_dir):
     assert "movie_sk" not in plan(Roles(spark, sf_dir).genre_trend)
 
 
+def test_the_largest_genres_trend_computes_its_fact_once(spark, sf_dir):
+    assert plan(catalog.BUILDS["kpi_top_genres_trend"](Roles(spark, sf_dir))).count("lineitem.parquet") <= plan(Roles(spark, sf_dir).genre_trend).count("lineitem.parquet")
+    trend = spark.createDataFrame([(y, g, 3.0, n) for y in (2000, 2001) for g, n in zip("abcd", (2, 5, 2, 1))], "year int, genre_name string, avg_rating double, rating_count bigint")
+    ranking = trend.groupBy("genre_name").agg(F.sum("rating_count").alias("rating_count"))
+    for got in (kpi.top_genres_trend(trend, n=2), kpi.top_genres_trend(trend, ranking, 2)):
+        assert got.columns == trend.columns and sorted(map(tuple, got.collect())) == [(2000, "a", 3.0, 2), (2000, "b", 3.0, 5), (2001, "a", 3.0, 2), (2001, "b", 3.0, 5)]
+
+
 def test_titles_are_parsed_once_for_the_bridge(spark, sf_dir):
     assert "regexp" not in plan(Roles(spark, sf_dir).bridge)
 
