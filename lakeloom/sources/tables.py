@@ -9,6 +9,7 @@ writer at a time is assumed.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -250,8 +251,10 @@ def current_version(spark: SparkSession, root: str) -> int | None:
 BUCKETS = 64
 #: Bytes that a part should hold, about, and most parts.
 BUCKET_BYTES, MOST_BUCKETS = 1 << 30, 100_000
-#: Bytes of a row's JSON that take one byte in the files, about.
+#: Bytes of a row as text that take one byte in the files, about.
 _PACKED = 4
+#: Bytes of a value as text, about, by type; other types are measured. A name with its marks comes to each.
+_TEXT_BYTES = {T.BooleanType: 5, T.ByteType: 3, T.ShortType: 5, T.IntegerType: 8, T.LongType: 10, T.FloatType: 6, T.DoubleType: 6, T.DateType: 12, T.TimestampType: 26}
 
 
 def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
@@ -259,8 +262,22 @@ def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
 
 
 def buckets_for(df: DataFrame, bucket_bytes: int = BUCKET_BYTES) -> int:
-    """How many parts rows need that are to be kept by key, by their measured size; at least ``BUCKETS``."""
-    size = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))).cast("long"))).first()[0] or 0
+    """How many parts rows need that are to be kept by key, by their size as text; at least ``BUCKETS``.
+
+    Only texts and nested values are measured, the others count by their type,
+    nulls like the rest: a table of numbers and times is only counted, so
+    that none of its columns are read or computed.
+    """
+    fixed, measured = 0, []
+    for f in df.schema:
+        c, kind = F.col(f"`{f.name}`"), type(f.dataType)
+        fixed += len(f.name) + 4 + _TEXT_BYTES.get(kind, 0)
+        if kind in (T.StringType, T.BinaryType):
+            measured.append(F.octet_length(c))
+        elif kind not in _TEXT_BYTES:
+            measured.append(F.octet_length(F.to_json(F.struct(c))))
+    sums = [F.coalesce(F.sum(m.cast("long")), F.lit(0)) for m in measured]
+    size = df.agg(reduce(Column.__add__, sums, F.count(F.lit(1)) * fixed)).first()[0]
     return max(BUCKETS, min(MOST_BUCKETS, -(-size // (_PACKED * bucket_bytes))))
 
 
@@ -269,7 +286,7 @@ def bucket_count(spark: SparkSession, root: str, version: int) -> int:
     return _marks(spark, root, version)[-1].of
 
 
-def snapshot_write(df: DataFrame, root: str, note: str = "", keys: Sequence[str] = (), buckets: int | None = None, sums: Sequence[str] = ()) -> int:
+def snapshot_write(df: DataFrame, root: str, note: str = "", keys: Sequence[str] = (), buckets: int | None = None, sums: Sequence[str] = (), finish: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Write the next version; returns its number. ``note`` is kept with it.
 
     With ``keys`` the rows must be all of the key buckets that they fall in.
@@ -278,7 +295,8 @@ def snapshot_write(df: DataFrame, root: str, note: str = "", keys: Sequence[str]
     on, or never. ``buckets`` is how many there are, by default as many as
     before; another number asks for all rows of the table. With ``sums`` rows
     of one key are added up in these columns, in the shuffle by bucket; there
-    should be few of each.
+    should be few of each. ``finish`` adds columns row by row, after the
+    shuffle by bucket, so that they are not sent through it.
     """
     spark = df.sparkSession
     last = current_version(spark, root)
@@ -294,10 +312,11 @@ def snapshot_write(df: DataFrame, root: str, note: str = "", keys: Sequence[str]
         rows = rows.repartition("_bucket").groupBy(*keys, "_bucket").agg(*[F.sum(c).alias(c) for c in sums])
     elif keys:
         rows = rows.hint("rebalance", "_bucket")
+    rows = finish(rows) if finish else rows
     written = committed_row_count(rows, lambda d: d.write.mode("overwrite").option("compression", _CODEC).partitionBy(*by).parquet(path))
     found = None
     if keys and not written:  # a folder without rows, for the schema
-        df.limit(0).write.mode("overwrite").parquet(f"{path}/_bucket=-1")
+        rows.drop("_bucket").limit(0).write.mode("overwrite").parquet(f"{path}/_bucket=-1")
         found = [-1]
     elif keys:
         found = sorted(r[0] for r in spark.read.parquet(path).select("_bucket").distinct().collect())  # no more than there are buckets

@@ -29,7 +29,11 @@ def event_order() -> list[str]:
 
 
 def flagged_ratings(raw: DataFrame) -> DataFrame:
-    return dq_flag(conform_ratings(raw), rules_ratings())
+    return _flagged(conform_ratings(raw))
+
+
+def _flagged(rows: DataFrame) -> DataFrame:
+    return dq_flag(rows, rules_ratings())
 
 
 def apply_batch(raw: DataFrame, root: str, note: str, bucket_bytes: int = BUCKET_BYTES) -> int:
@@ -39,12 +43,16 @@ def apply_batch(raw: DataFrame, root: str, note: str, bucket_bytes: int = BUCKET
     are read, merged and written again. The first batch's size sets the number
     of buckets, and a table that has outgrown them is dealt anew over more, so
     a batch of some keys touches a share of the table that falls as it grows.
+    A first batch is told its flags as it is written: no row's place in the
+    history depends on them, and so they are not shuffled.
     """
-    spark, rows = raw.sparkSession, flagged_ratings(raw)
+    spark = raw.sparkSession
     last = current_version(spark, root)
     if last is None:
+        rows = conform_ratings(raw)
         merged = scd2_bootstrap(rows, EVENT_KEY, NATURAL_KEY, "interaction_timestamp", event_order())
-        return snapshot_write(merged, root, note, NATURAL_KEY, buckets_for(rows, bucket_bytes))
+        return snapshot_write(merged, root, note, NATURAL_KEY, buckets_for(rows, bucket_bytes), finish=_flagged)
+    rows = flagged_ratings(raw)
     if last and last & (last + 1) == 0:  # seldom: before versions 2, 4, 8 and so on
         last = rebucket(spark, root, last, bucket_bytes)
     of = bucket_count(spark, root, last)

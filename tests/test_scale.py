@@ -6,6 +6,7 @@ from lakeloom.operators import incremental, kpi, versioning
 from lakeloom.plans import catalog
 from lakeloom.plans.roles import Roles
 from lakeloom.sources import tables
+from lakeloom.streaming import ingest
 from pyspark.sql import functions as F
 
 TABLES = "customer supplier part orders lineitem".split()
@@ -118,3 +119,30 @@ def test_slices_store_hexadecimal_keys_in_half_their_length(spark, tmp_path):
     tables.snapshot_write(rows, str(tmp_path / "s"))
     for folder in ("t", "s/v=0"):
         assert sum(p.stat().st_size for p in (tmp_path / folder).rglob("*.parquet")) < 20_000 * 45
+
+
+def test_numbers_and_times_are_only_counted_to_choose_buckets(spark):
+    broken = F.udf(lambda x: 1 // 0, "int").asNondeterministic()("id")
+    rows = spark.range(1000).select(broken.alias("a"), F.current_timestamp().alias("b"))
+    assert tables.buckets_for(rows, 50) > tables.buckets_for(rows, 1 << 30) == tables.BUCKETS
+    text = spark.range(1000).select(F.lit("x" * 1000).alias("a"))
+    nested = text.select(F.array("a").alias("a"))
+    for df in (text, nested):
+        assert 240 < tables.buckets_for(df, 1000) < 270
+    assert tables.buckets_for(text.limit(0), 1) == tables.BUCKETS
+
+
+def test_a_first_batch_shuffles_no_flags(spark, sf_dir, tmp_path, monkeypatch):
+    seen, raw, root = [], Roles(spark, sf_dir).raw_ratings, str(tmp_path / "s")
+    write = tables.committed_row_count
+    monkeypatch.setattr(tables, "committed_row_count", lambda df, w: seen.append(df) or write(df, w))
+    assert ingest.apply_batch(raw, root, "first") == 0
+    (df,) = seen
+    below = df._jdf.queryExecution().optimizedPlan().toString().split("RebalancePartitions")[1]
+    assert "QUARANTINE" not in below and "NULL_USER_ID" not in below
+    flagged = ingest.flagged_ratings(raw)
+    want = versioning.scd2_bootstrap(flagged, ingest.EVENT_KEY, ingest.NATURAL_KEY, "interaction_timestamp", ingest.event_order())
+    got = tables.snapshot_read_as_of(spark, root, 0)
+    assert got.columns == want.columns and got.schema["_dq_failed_rules"].dataType == want.schema["_dq_failed_rules"].dataType
+    shown = lambda d: sorted(map(str, map(tuple, d.collect())))
+    assert shown(got) == shown(want) and got.filter("_dq_status = 'QUARANTINE'").count() > 0
